@@ -132,7 +132,13 @@ ENGAGEMENT_COLUMNS = (
 
 
 def engagement_summary(stg_submissions: DataFrame, cfg: ScoreConfig = DEFAULT_CONFIG) -> DataFrame:
-    """D7+D8+D10 in one chain of pre-aggregations, one row per account with events."""
+    """D7+D8+D10 in one chain of pre-aggregations, one row per account with events.
+
+    events -> (account, user, product) -> each row emitted once keyed by its
+    user and once by its product -> (account, kind, key) -> account.  The
+    (account, kind, key) level gives per-user flags (MAU, growth buckets) and
+    per-product activity in the same pass, so the event scan and the dedup
+    run once and every shuffle carries pre-aggregated rows."""
     tagged = tag_periods(stg_submissions, cfg)
     per_user_product = tagged.groupBy("account_id", "user_id", "product").agg(
         F.count_if(F.col("period") == RECENT).alias("rc"),
@@ -140,28 +146,35 @@ def engagement_summary(stg_submissions: DataFrame, cfg: ScoreConfig = DEFAULT_CO
         F.max(F.coalesce(_is_historical(cfg), F.lit(False))).alias("hist"),
         F.max("submission_date").alias("last"),
     )
-    per_user = per_user_product.groupBy("account_id", "user_id").agg(
+    keyed = per_user_product.select(
+        "account_id", "rc", "pc", "hist", "last",
+        F.explode(F.array(
+            F.struct(F.lit("u").alias("kind"), F.col("user_id").alias("key")),
+            F.struct(F.lit("p").alias("kind"), F.col("product").alias("key")),
+        )).alias("k"),
+    )
+    per_key = keyed.groupBy("account_id", F.col("k.kind").alias("kind"), F.col("k.key").alias("key")).agg(
         F.sum("rc").alias("rc"), F.sum("pc").alias("pc"),
         F.max("hist").alias("hist"), F.max("last").alias("last"),
     )
-    r, p, h = F.col("rc") > 0, F.col("pc") > 0, F.col("hist")
+    user = F.col("kind") == "u"
+    r, p, h = user & (F.col("rc") > 0), user & (F.col("pc") > 0), F.col("hist")
     retained, new, resurrected, churned = _growth_columns(r, p, h)
-    users = per_user.groupBy("account_id").agg(
+    sum_user = lambda c: F.sum(F.when(user, F.col(c)))
+    per_account = per_key.groupBy("account_id").agg(
         F.max("last").alias("last_submission_date"),
-        F.sum("rc").alias("recent_submissions"),
-        F.sum("pc").alias("prior_submissions"),
+        sum_user("rc").alias("recent_submissions"),
+        sum_user("pc").alias("prior_submissions"),
         # NULL user ids form a growth group but are no distinct active user
-        F.count_if(r & F.col("user_id").isNotNull()).alias("recent_mau"),
-        F.count_if(p & F.col("user_id").isNotNull()).alias("prior_mau"),
+        F.count_if(r & F.col("key").isNotNull()).alias("recent_mau"),
+        F.count_if(p & F.col("key").isNotNull()).alias("prior_mau"),
+        F.count_if((F.col("kind") == "p") & (F.col("rc") > 0) & F.col("key").isNotNull())
+        .alias("products_active_recent"),
         retained.alias("retained_users"), new.alias("new_users"),
-        resurrected.alias("resurrected_users"), churned.alias("churned_users"),
-    )
-    products = (
-        per_user_product.groupBy("account_id", "product").agg(F.max(F.col("rc") > 0).alias("active"))
-        .groupBy("account_id")
-        .agg(F.count_if(F.col("active") & F.col("product").isNotNull()).alias("products_active_recent"))
+        resurrected.alias("resurrected_users"),
+        churned.alias("churned_users"),
     )
-    return users.join(products, "account_id").select(
+    return per_account.select(
         "account_id", "last_submission_date", "recent_submissions", "prior_submissions",
         "recent_mau", "prior_mau", "products_active_recent",
         F.datediff(F.lit(cfg.as_of), F.col("last_submission_date")).alias("days_since_last_submission"),

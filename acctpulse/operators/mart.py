@@ -77,7 +77,7 @@ def account_base(staged: Staged, cfg: ScoreConfig = DEFAULT_CONFIG, engagement:
         F.coalesce(F.col("user_churn_rate"), F.lit(0.0)).alias("user_churn_rate"),
         F.coalesce(F.col("_has_events"), F.lit(False)).alias("_has_events"),
     )
-    return cut_lineage(base) if materialize else base
+    return cut_lineage(base, "account_base") if materialize else base
 
 
 def peer_benchmarks(base: DataFrame, cfg: ScoreConfig = DEFAULT_CONFIG, median: str = "split") -> DataFrame:
@@ -136,10 +136,16 @@ def scored_accounts(raw: dict[str, DataFrame], cfg: ScoreConfig = DEFAULT_CONFIG
     """Every account with all scores and the peer percentile (before the shell filter)."""
     staged = stage_all(raw, cfg)
     base = account_base(staged, cfg, engagement, materialize)
+    return score_base(base, cfg, staged.n_peer_groups, median=median, percentile=percentile)
+
+
+def score_base(base: DataFrame, cfg: ScoreConfig = DEFAULT_CONFIG, n_peer_groups: int | None = None, *,
+               median: str = "split", percentile: str = "histogram") -> DataFrame:
+    """Scores and peer percentile over an account base (see ``account_base``)."""
     bench = peer_benchmarks(base, cfg, median)
-    scored = score_components(base, bench, cfg, staged.n_peer_groups)
+    scored = score_components(base, bench, cfg, n_peer_groups)
     # percentile ranks include shell accounts: rank first, filter after
-    return with_peer_percentile(scored, cfg, percentile, staged.n_peer_groups)
+    return with_peer_percentile(scored, cfg, percentile, n_peer_groups)
 
 
 def score_accounts(raw: dict[str, DataFrame], cfg: ScoreConfig = DEFAULT_CONFIG, *, ordered: bool = False,

@@ -32,7 +32,8 @@ def exact_quantile(df: DataFrame, group_cols, value_col: str, q: float = 0.5,
     counts = (df.filter(F.col(value_col).isNotNull())
               .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("_cnt")))
     ranged = cut_lineage(
-        counts.repartitionByRange(num_partitions, *g, value_col).withColumn("_part", F.spark_partition_id()))
+        counts.repartitionByRange(num_partitions, *g, value_col).withColumn("_part", F.spark_partition_id()),
+        "quantile_ranges")
 
     gk = [f"_g{i}" for i in range(len(g))]
     blocks = ranged.groupBy(*g, "_part").agg(F.sum("_cnt").alias("_bcnt"))

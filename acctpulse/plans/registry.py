@@ -14,7 +14,7 @@ from ..operators import engagement as E
 from ..operators import profiling as R
 from ..operators import quality as Q
 from ..operators.mart import (MART_COLUMNS, account_base, exclude_shells, peer_benchmarks, scored_accounts,
-                              score_accounts, stage_all)
+                              score_accounts, score_base, stage_all)
 from ..sources.fixtures import raw_tables
 from . import oracle as O
 
@@ -73,7 +73,7 @@ def _check_models(spark, sf_dir, cfg: ScoreConfig = FIXTURE_CONFIG) -> dict[str,
     staged = _staged(spark, sf_dir, cfg)
     periods = E.tag_periods(staged.submissions, cfg)
     base = account_base(staged, cfg)
-    scored = scored_accounts(_raw(spark, sf_dir), cfg)
+    scored = score_base(base, cfg, staged.n_peer_groups)
     return {
         "stg_accounts": staged.accounts,
         "stg_subscriptions": staged.subscriptions,

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,12 +51,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for lineage cuts")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialize ``df`` into the shared checkpoint folder and return a frame
-    that reads it back: later actions neither recompute the plan nor depend on
-    executors that may be lost."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as a Parquet table under the shared checkpoint folder
+    and return a lazy read of it: later actions neither recompute the plan nor
+    depend on executors that may be lost, and readers prune columns.  (An RDD
+    checkpoint would run the final stage twice: once to count, once to save.)"""
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/acctpulse/{name}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
 
 
 def broadcast_if_bounded(df: DataFrame, row_bound: int, max_rows: int) -> DataFrame:

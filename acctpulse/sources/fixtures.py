@@ -37,6 +37,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_scan(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread a scan over fewer files than the cluster has cores (the
+    driver's tables are one file with one row group: one task); a table of
+    many files already has enough splits and is left shuffle-free."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= cores:
+        return df
+    return df.repartition(cores, key)
+
+
 def _acc(key) -> F.Column:
     return F.concat(F.lit("ACC-"), key.cast("string"))
 
@@ -88,8 +98,8 @@ def raw_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate")
+    li = spread_scan(_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"), "l_orderkey")
     o = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     p = _table(spark, sf_dir, "part").select("p_partkey", "p_size")
     c = _table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
