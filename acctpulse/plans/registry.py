@@ -15,6 +15,8 @@ from ..operators import profiling as R
 from ..operators import quality as Q
 from ..operators.mart import (MART_COLUMNS, account_base, exclude_shells, peer_benchmarks, scored_accounts,
                               score_accounts, score_base, stage_all)
+from ..session import ensure_checkpoint_dir
+from ..sources import raw as SRC
 from ..sources.fixtures import raw_tables
 from . import oracle as O
 
@@ -130,6 +132,7 @@ def queries() -> dict[str, Query]:
             .select("account_id", "products_subscribed", "days_since_last_submission")),
         "account_score_mart": lambda s, d: portable(score_accounts(_raw(s, d), cfg)),
         "account_score_mart_quarters": lambda s, d: portable(score_accounts(_raw(s, d), FIXTURE_QUARTERS_CONFIG)),
+        "account_score_mart_from_csv": lambda s, d: portable(_mart_through_csv(s, d)),
         # data quality
         "dq_not_null": _checks("not_null"),
         "dq_unique": _checks("unique"),
@@ -162,6 +165,16 @@ def queries() -> dict[str, Query]:
     return q
 
 
+def _mart_through_csv(spark, sf_dir, cfg=FIXTURE_CONFIG):
+    """S1+S2+S5 on derived data: raw tables -> CSV -> typed load -> Parquet
+    tables -> mart.  Files go under the session's checkpoint folder."""
+    import uuid
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/acctpulse/raw-load-{uuid.uuid4().hex}"
+    csv_paths = SRC.write_raw_csv(_raw(spark, sf_dir), f"{folder}/csv")
+    locations = SRC.load_raw(spark, csv_paths, f"{folder}/tables")
+    return score_accounts(SRC.read_raw_tables(spark, locations), cfg)
+
+
 def _dimensions(spark, sf_dir, cfg=FIXTURE_CONFIG):
     staged = _staged(spark, sf_dir, cfg)
     return E.account_dimensions(staged.accounts, staged.subscriptions, cfg)
@@ -227,6 +240,7 @@ def oracle_sql() -> dict[str, str]:
                                        "OR days_since_last_submission IS NOT NULL")),
         "account_score_mart": W(P(O.MART_COLS, "mart")),
         "account_score_mart_quarters": O.with_ctes(P(O.MART_COLS, "mart"), FIXTURE_QUARTERS_CONFIG),
+        "account_score_mart_from_csv": W(P(O.MART_COLS, "mart")),
         "dq_not_null": _dq_sql("not_null"),
         "dq_unique": _dq_sql("unique"),
         "dq_accepted_values": _dq_sql("accepted_values"),
