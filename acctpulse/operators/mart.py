@@ -74,15 +74,21 @@ def account_base(staged: Staged, cfg: ScoreConfig = DEFAULT_CONFIG, engagement:
         *[F.col(c) for c in dims.columns if c != "account_id"], "account_id",
         "last_submission_date", "days_since_last_submission",
         *[F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c) for c in COUNT_COLUMNS],
-        F.coalesce(F.col("user_churn_rate"), F.lit(0.0)).alias("user_churn_rate"),
+        "user_churn_rate",   # NULL without prior users; the mart shows 0
         F.coalesce(F.col("_has_events"), F.lit(False)).alias("_has_events"),
     )
     return cut_lineage(base, "account_base") if materialize else base
 
 
+def with_history(base: DataFrame) -> DataFrame:
+    """Accounts of the base with any event history: the grain of the
+    period-metrics and growth-accounting tables."""
+    return base.filter(F.col("_has_events"))
+
+
 def peer_benchmarks(base: DataFrame, cfg: ScoreConfig = DEFAULT_CONFIG, median: str = "split") -> DataFrame:
     """D11-D12 from the account base: only accounts with event history take part."""
-    rate = base.filter(F.col("_has_events")).select(
+    rate = with_history(base).select(
         "account_id", *cfg.peer_group_cols, S.submissions_per_user().alias("recent_submissions_per_mau"))
     return segment_benchmarks(rate, cfg.peer_group_cols, method=median)
 
@@ -98,6 +104,7 @@ def score_components(base: DataFrame, benchmarks: DataFrame, cfg: ScoreConfig =
     cond = [base[c] == bench[f"_b_{c}"] for c in g]
     joined = base.join(bench, cond, "left").drop(*[f"_b_{c}" for c in g])
     scored = joined.withColumns({
+        "user_churn_rate": F.coalesce(F.col("user_churn_rate"), F.lit(0.0)),
         "submission_trend_score": S.submission_trend_score(cfg),
         "mau_trend_score": S.mau_trend_score(cfg),
         "recency_score": S.recency_score(cfg),

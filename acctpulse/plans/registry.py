@@ -14,7 +14,7 @@ from ..operators import engagement as E
 from ..operators import profiling as R
 from ..operators import quality as Q
 from ..operators.mart import (MART_COLUMNS, account_base, exclude_shells, peer_benchmarks, scored_accounts,
-                              score_accounts, score_base, stage_all)
+                              score_accounts, score_base, stage_all, with_history)
 from ..session import ensure_checkpoint_dir
 from ..sources import raw as SRC
 from ..sources.fixtures import raw_tables
@@ -73,17 +73,17 @@ def _component(name: str) -> Query:
 
 def _check_models(spark, sf_dir, cfg: ScoreConfig = FIXTURE_CONFIG) -> dict[str, DataFrame]:
     staged = _staged(spark, sf_dir, cfg)
-    periods = E.tag_periods(staged.submissions, cfg)
-    base = account_base(staged, cfg)
+    base = account_base(staged, cfg)   # one pass over the events for every model below
+    history = with_history(base)
     scored = score_base(base, cfg, staged.n_peer_groups)
     return {
         "stg_accounts": staged.accounts,
         "stg_subscriptions": staged.subscriptions,
         "stg_submissions": staged.submissions,
         "account_dimensions": E.account_dimensions(staged.accounts, staged.subscriptions, cfg),
-        "period_metrics": E.period_metrics(periods, cfg),
+        "period_metrics": history.select(*PERIOD_METRICS),
         "segment_benchmarks": peer_benchmarks(base, cfg),
-        "user_growth_accounting": E.growth_accounting(E.user_flags(periods, cfg)),
+        "user_growth_accounting": history.select(*GROWTH),
         "account_score_mart": exclude_shells(scored).select(*MART_COLUMNS),
     }
 
