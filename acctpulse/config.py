@@ -45,7 +45,6 @@ K12_SPELLING = "k12"
 UNKNOWN_REGION = "Unknown"
 DIVISIONS = ("Higher Ed", "K12")
 REGIONS = ("NAM", "EMEA", "APAC", "LATAM", "Unknown")
-PRODUCTS = ("Originality", "Feedback Studio", "Gradescope")
 HEALTH_TIERS = ("Healthy", "At Risk", "Critical")
 URGENCIES = ("Urgent", "Watch", "Monitor")
 MAU_STATUSES = ("Green", "Yellow", "Red", "New")
@@ -87,10 +86,11 @@ class ScoreConfig:
     k12_spelling: str = K12_SPELLING
     unknown_region: str = UNKNOWN_REGION
 
-    # accepted values used by the data-quality checks
+    # accepted values used by the data-quality checks; the product catalogue
+    # is the deployment's own list (empty: the product check is not run)
     divisions: tuple = DIVISIONS
     regions: tuple = REGIONS
-    products: tuple = PRODUCTS
+    products: tuple = ()
 
     # execution knobs (not semantics)
     broadcast_max_rows: int = 2_000_000

@@ -114,7 +114,7 @@ def catalog(cfg: ScoreConfig) -> list[Check]:
     )
     checks = [Check("not_null", m, c) for m, cols in nn.items() for c in cols]
     checks += [Check("unique", m, uq_col.get(m, "account_id")) for m in uq]
-    checks += [Check("accepted_values", m, c, v) for m, c, v in av]
+    checks += [Check("accepted_values", m, c, v) for m, c, v in av if v]
     checks += [Check("relationships", m, "account_id", parent="stg_accounts")
                for m in ("stg_subscriptions", "stg_submissions")]
     return checks
