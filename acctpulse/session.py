@@ -32,6 +32,24 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     return spark
 
 
+def cluster_conf(event_bytes: int, executors_cores: int, checkpoint_dir: str) -> dict[str, str]:
+    """Settings for a cluster run sized from the raw event volume: about
+    200 MB per initial shuffle partition (never fewer than two per core),
+    adaptive coalescing and skew splitting, and the shared lineage folder."""
+    partitions = max(2 * executors_cores, event_bytes // (200 * 1024 * 1024))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": "512m",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.checkpoint.dir": checkpoint_dir,
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, as named by the cluster in
     ``spark.checkpoint.dir``.  Only a local-mode session (tests, the bench)
