@@ -93,6 +93,38 @@ def peer_benchmarks(base: DataFrame, cfg: ScoreConfig = DEFAULT_CONFIG, median:
     return segment_benchmarks(rate, cfg.peer_group_cols, method=median)
 
 
+_COLUMN_CACHE: dict = {}
+
+
+def _score_columns(spark, cfg: ScoreConfig) -> tuple[dict, dict, dict, dict]:
+    """The score expressions, built once per application and config (each
+    builder is dozens of JVM calls; the expressions themselves are plain,
+    session-independent Column trees)."""
+    key = (spark.sparkContext.applicationId, cfg)
+    if key not in _COLUMN_CACHE:
+        _COLUMN_CACHE[key] = (
+            {
+                "user_churn_rate": F.coalesce(F.col("user_churn_rate"), F.lit(0.0)),
+                "submission_trend_score": S.submission_trend_score(cfg),
+                "mau_trend_score": S.mau_trend_score(cfg),
+                "recency_score": S.recency_score(cfg),
+                "product_adoption_score": S.product_adoption_score(cfg),
+                "recent_submissions_per_mau": S.submissions_per_user(),
+            },
+            {"relative_activity_score": S.relative_activity_score(cfg)},
+            {"composite_health_score": S.composite_score(cfg)},
+            {
+                "health_tier": S.health_tier(cfg),
+                "mau_benchmark_status": S.mau_benchmark_status(cfg),
+                "arr_tier": S.arr_tier(cfg),
+                "new_user_rate": S.new_user_rate(),
+                "renewal_urgency": S.renewal_urgency(cfg),
+                "arr_at_risk": S.arr_at_risk(cfg),
+            },
+        )
+    return _COLUMN_CACHE[key]
+
+
 def score_components(base: DataFrame, benchmarks: DataFrame, cfg: ScoreConfig = DEFAULT_CONFIG,
                      n_peer_groups: int | None = None) -> DataFrame:
     """D13-D19, D21-D25 on every account (shells included)."""
@@ -103,24 +135,9 @@ def score_components(base: DataFrame, benchmarks: DataFrame, cfg: ScoreConfig =
     bench = benchmarks.select(*[F.col(c).alias(f"_b_{c}") for c in g], MEDIAN_COL)
     cond = [base[c] == bench[f"_b_{c}"] for c in g]
     joined = base.join(bench, cond, "left").drop(*[f"_b_{c}" for c in g])
-    scored = joined.withColumns({
-        "user_churn_rate": F.coalesce(F.col("user_churn_rate"), F.lit(0.0)),
-        "submission_trend_score": S.submission_trend_score(cfg),
-        "mau_trend_score": S.mau_trend_score(cfg),
-        "recency_score": S.recency_score(cfg),
-        "product_adoption_score": S.product_adoption_score(cfg),
-        "recent_submissions_per_mau": S.submissions_per_user(),
-    })
-    scored = scored.withColumn("relative_activity_score", S.relative_activity_score(cfg))
-    scored = scored.withColumn("composite_health_score", S.composite_score(cfg))
-    return scored.withColumns({
-        "health_tier": S.health_tier(cfg),
-        "mau_benchmark_status": S.mau_benchmark_status(cfg),
-        "arr_tier": S.arr_tier(cfg),
-        "new_user_rate": S.new_user_rate(),
-        "renewal_urgency": S.renewal_urgency(cfg),
-        "arr_at_risk": S.arr_at_risk(cfg),
-    })
+    components, relative, composite, statuses = _score_columns(base.sparkSession, cfg)
+    # each step reads the columns the previous one defined
+    return joined.withColumns(components).withColumns(relative).withColumns(composite).withColumns(statuses)
 
 
 def with_peer_percentile(scored: DataFrame, cfg: ScoreConfig = DEFAULT_CONFIG, method: str = "histogram",

@@ -33,8 +33,17 @@ USER_MOD = 5
 GHOST_ACCOUNT = "ACC-GHOST"
 
 
+_READERS: dict[tuple[str, str], DataFrame] = {}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A lazy reader per session and path: the Parquet footer is read (a small
+    schema job) once, not on every query over the same read-only tables."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _READERS:
+        _READERS[key] = spark.read.parquet(path)
+    return _READERS[key]
 
 
 def spread_scan(df: DataFrame, key: str) -> DataFrame:
