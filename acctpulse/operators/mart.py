@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT_CONFIG, ScoreConfig
 from ..functions import scores as S
-from ..session import broadcast_if_bounded, cut_lineage
+from ..session import app_key, broadcast_if_bounded, cut_lineage
 from .benchmarks import MEDIAN_COL, segment_benchmarks
 from .engagement import account_dimensions, activity_rate, engagement_summary, plain_engagement
 from .percentile import peer_percentile_histogram, peer_percentile_window
@@ -100,7 +100,7 @@ def _score_columns(spark, cfg: ScoreConfig) -> tuple[dict, dict, dict, dict]:
     """The score expressions, built once per application and config (each
     builder is dozens of JVM calls; the expressions themselves are plain,
     session-independent Column trees)."""
-    key = (spark.sparkContext.applicationId, cfg)
+    key = (app_key(spark), cfg)
     if key not in _COLUMN_CACHE:
         _COLUMN_CACHE[key] = (
             {

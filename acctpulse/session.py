@@ -50,23 +50,49 @@ def cluster_conf(event_bytes: int, executors_cores: int, checkpoint_dir: str) ->
     }
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # a session without a local SparkContext (e.g. Spark Connect)
+        return None
+
+
+def app_key(spark: SparkSession) -> str:
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else (spark.conf.get("spark.app.id", None) or str(id(spark)))
+
+
+def parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.default.parallelism", None) or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _master(spark: SparkSession) -> str:
+    sc = _context(spark)
+    return sc.master if sc is not None else (spark.conf.get("spark.master", None) or "")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, as named by the cluster in
     ``spark.checkpoint.dir``.  Only a local-mode session (tests, the bench)
     without one gets a fresh scratch folder; a cluster must name a shared one."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    sc = _context(spark)
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
-    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if named:
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and sc is not None:
+        named = sc.getConf().get("spark.checkpoint.dir")
+    if not named and _master(spark).startswith("local"):
+        named = tempfile.mkdtemp(prefix="acctpulse-ckpt-", dir=os.environ.get("ACCTPULSE_SCRATCH"))
+    if not named:
+        raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for lineage cuts")
+    if sc is not None:
         sc.setCheckpointDir(named)
-        return named
-    if sc.master.startswith("local"):
-        scratch = tempfile.mkdtemp(prefix="acctpulse-ckpt-", dir=os.environ.get("ACCTPULSE_SCRATCH"))
-        sc.setCheckpointDir(scratch)
-        return scratch
-    raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for lineage cuts")
+        return sc.getCheckpointDir() or named
+    return named
 
 
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -11,6 +11,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import app_key, parallelism
+
 # Fixed values of the adapter (FIXTURES.md section 2).
 DIVISION_BY_KEY_MOD4 = ("K12", "Higher Ed", "k12", "highered")
 NULL_REGION_EVERY = 37
@@ -40,7 +42,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A lazy reader per session and path: the Parquet footer is read (a small
     schema job) once, not on every query over the same read-only tables."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    key = (app_key(spark), path)
     if key not in _READERS:
         _READERS[key] = spark.read.parquet(path)
     return _READERS[key]
@@ -50,7 +52,7 @@ def spread_scan(df: DataFrame, key: str) -> DataFrame:
     """Hash-spread a scan over fewer files than the cluster has cores (the
     driver's tables are one file with one row group: one task); a table of
     many files already has enough splits and is left shuffle-free."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
+    cores = parallelism(df.sparkSession)
     if len(df.inputFiles()) >= cores:
         return df
     return df.repartition(cores, key)
