@@ -18,7 +18,7 @@ from ..functions import scores as S
 from ..session import app_key, broadcast_if_bounded, cut_lineage
 from .benchmarks import MEDIAN_COL, segment_benchmarks
 from .engagement import account_dimensions, activity_rate, engagement_summary, plain_engagement
-from .percentile import peer_percentile_histogram, peer_percentile_window
+from .percentile import peer_percentile
 from .staging import stage_accounts, stage_submissions, stage_subscriptions
 
 MART_COLUMNS = (
@@ -142,11 +142,9 @@ def score_components(base: DataFrame, benchmarks: DataFrame, cfg: ScoreConfig =
 
 def with_peer_percentile(scored: DataFrame, cfg: ScoreConfig = DEFAULT_CONFIG, method: str = "histogram",
                          n_peer_groups: int | None = None) -> DataFrame:
-    g = cfg.peer_group_cols
-    if method == "window":
-        return peer_percentile_window(scored, g)
     bound = None if n_peer_groups is None else n_peer_groups * cfg.composite_domain_size()
-    return peer_percentile_histogram(scored, g, row_bound=bound, max_broadcast_rows=cfg.broadcast_max_rows)
+    return peer_percentile(scored, method, cfg.peer_group_cols, row_bound=bound,
+                           max_broadcast_rows=cfg.broadcast_max_rows)
 
 
 def exclude_shells(df: DataFrame) -> DataFrame:

@@ -44,3 +44,12 @@ def peer_percentile_histogram(df: DataFrame, group_cols=("division", "segment"),
         hist = broadcast_if_bounded(hist, row_bound, max_broadcast_rows)
     cond = [df[c].eqNullSafe(hist[k]) for c, k in zip(g, gk)] + [df[score_col] == hist["_pscore"]]
     return df.join(hist, cond, "left").drop(*gk, "_pscore")
+
+
+def peer_percentile(df: DataFrame, method: str = "histogram", group_cols=("division", "segment"),
+                    score_col: str = "composite_health_score", out: str = "peer_percentile_rank",
+                    row_bound: int | None = None, max_broadcast_rows: int = 2_000_000) -> DataFrame:
+    """D20 with a choice of plan: ``'histogram'`` (default, scale-safe) or ``'window'``."""
+    if method == "window":
+        return peer_percentile_window(df, group_cols, score_col, out)
+    return peer_percentile_histogram(df, group_cols, score_col, out, row_bound, max_broadcast_rows)

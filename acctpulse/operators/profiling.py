@@ -136,8 +136,11 @@ def duplicate_submissions(events: DataFrame) -> DataFrame:
     """Every row of a submission_id seen more than once, by id and date.
 
     The repeated ids come from a pre-aggregated count (a hot id is combined
-    map-side); the join back lets adaptive execution split a skewed id."""
+    map-side); the join back lets adaptive execution split a skewed id.  The
+    remaining columns break ties in the sort, so its range partitioning can
+    split even one id's rows across tasks."""
     dupes = (events.groupBy("submission_id").agg(F.count(F.lit(1)).alias("occurrences"))
              .filter(F.col("occurrences") > 1))
     return (events.join(dupes.select("submission_id"), "submission_id")
-            .orderBy("submission_id", "submission_date"))
+            .orderBy("submission_id", "submission_date", "submission_timestamp", "account_id", "product",
+                     "user_id"))
