@@ -12,7 +12,7 @@ split by a global range sort instead:
    (a window over at most one row per partition and group);
 4. per partition a running count -> every distinct value's rank interval;
 5. keep the one or two values whose interval holds floor/ceil of (n-1)*q and
-   interpolate ``(1-d)*lo + d*hi`` as ``percentile_cont`` does.
+   interpolate between them exactly as ``percentile`` does.
 """
 
 from __future__ import annotations
@@ -66,9 +66,11 @@ def exact_quantile(df: DataFrame, group_cols, value_col: str, q: float = 0.5,
             F.max(F.when(holds("_k_hi"), F.col(value_col))).alias("_hi"),
             F.max("_pos").alias("_pos"),
             F.max("_k_lo").alias("_k_lo"),
+            F.max("_k_hi").alias("_k_hi"),
         )
     )
-    d = F.col("_pos") - F.col("_k_lo")
-    value = (F.when((d == 0) | (F.col("_lo") == F.col("_hi")), F.col("_lo").cast("double"))
-             .otherwise((F.lit(1.0) - d) * F.col("_lo") + d * F.col("_hi")))
+    # the same interpolation, term for term, as Spark's percentile / percentile_cont
+    value = (F.when((F.col("_k_lo") == F.col("_k_hi")) | (F.col("_lo") == F.col("_hi")), F.col("_lo").cast("double"))
+             .otherwise((F.col("_k_hi") - F.col("_pos")) * F.col("_lo")
+                        + (F.col("_pos") - F.col("_k_lo")) * F.col("_hi")))
     return picked.select(*g, value.alias(out))
