@@ -58,3 +58,24 @@ def test_histogram_rank_equals_window(spark):
     w = {r.id: r.peer_percentile_rank for r in peer_percentile_window(df).collect()}
     assert h == w
     assert h[99999] == 0.0
+
+
+try:
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+except ImportError:  # pragma: no cover
+    given = None
+
+if given is not None:
+    @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+    @given(values=st.lists(st.tuples(st.sampled_from(["a", "b", None]),
+                                     st.integers(min_value=0, max_value=30),
+                                     st.integers(min_value=1, max_value=6)), min_size=1, max_size=300),
+           parts=st.integers(min_value=1, max_value=9),
+           q=st.sampled_from([0.5, 0.1, 0.75]))
+    def test_exact_quantile_property(spark, values, parts, q):
+        rows = [(g, n / d) for g, n, d in values] + [("hot", float(i % 7)) for i in range(len(values))]
+        df = spark.createDataFrame(rows, "g string, v double")
+        got = {r.g: r.m for r in exact_quantile(df, ["g"], "v", q, out="m", num_partitions=parts).collect()}
+        exp = {r.g: r.m for r in df.groupBy("g").agg(F.percentile("v", F.lit(q)).alias("m")).collect()}
+        assert got == exp
