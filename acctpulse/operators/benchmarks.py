@@ -12,10 +12,12 @@ from .quantiles import exact_quantile
 MEDIAN_COL = "median_submissions_per_mau"
 
 
-def segment_benchmarks(rate: DataFrame, group_cols=("division", "segment"), method: str = "split") -> DataFrame:
+def segment_benchmarks(rate: DataFrame, group_cols=("division", "segment"), method: str = "split",
+                       row_bound: int | None = None) -> DataFrame:
     """``method='split'`` ranks values across many tasks (see ``quantiles``);
-    ``'percentile'`` is Spark's single-reducer exact ``percentile`` per group."""
+    ``'percentile'`` is Spark's single-reducer exact ``percentile`` per group.
+    ``row_bound`` bounds the rows of ``rate`` (one per account)."""
     if method == "percentile":
         return rate.groupBy(*group_cols).agg(
             F.percentile(F.col("recent_submissions_per_mau"), F.lit(0.5)).alias(MEDIAN_COL))
-    return exact_quantile(rate, group_cols, "recent_submissions_per_mau", 0.5, out=MEDIAN_COL)
+    return exact_quantile(rate, group_cols, "recent_submissions_per_mau", 0.5, out=MEDIAN_COL, row_bound=row_bound)

@@ -86,11 +86,13 @@ def with_history(base: DataFrame) -> DataFrame:
     return base.filter(F.col("_has_events"))
 
 
-def peer_benchmarks(base: DataFrame, cfg: ScoreConfig = DEFAULT_CONFIG, median: str = "split") -> DataFrame:
-    """D11-D12 from the account base: only accounts with event history take part."""
+def peer_benchmarks(base: DataFrame, cfg: ScoreConfig = DEFAULT_CONFIG, median: str = "split",
+                    n_accounts: int | None = None) -> DataFrame:
+    """D11-D12 from the account base: only accounts with event history take part
+    (at most ``n_accounts`` rows)."""
     rate = with_history(base).select(
         "account_id", *cfg.peer_group_cols, S.submissions_per_user().alias("recent_submissions_per_mau"))
-    return segment_benchmarks(rate, cfg.peer_group_cols, method=median)
+    return segment_benchmarks(rate, cfg.peer_group_cols, method=median, row_bound=n_accounts)
 
 
 _COLUMN_CACHE: dict = {}
@@ -158,13 +160,14 @@ def scored_accounts(raw: dict[str, DataFrame], cfg: ScoreConfig = DEFAULT_CONFIG
     """Every account with all scores and the peer percentile (before the shell filter)."""
     staged = stage_all(raw, cfg)
     base = account_base(staged, cfg, engagement, materialize)
-    return score_base(base, cfg, staged.n_peer_groups, median=median, percentile=percentile)
+    return score_base(base, cfg, staged.n_peer_groups, median=median, percentile=percentile,
+                      n_accounts=staged.n_accounts)
 
 
 def score_base(base: DataFrame, cfg: ScoreConfig = DEFAULT_CONFIG, n_peer_groups: int | None = None, *,
-               median: str = "split", percentile: str = "histogram") -> DataFrame:
+               median: str = "split", percentile: str = "histogram", n_accounts: int | None = None) -> DataFrame:
     """Scores and peer percentile over an account base (see ``account_base``)."""
-    bench = peer_benchmarks(base, cfg, median)
+    bench = peer_benchmarks(base, cfg, median, n_accounts)
     scored = score_components(base, bench, cfg, n_peer_groups)
     # percentile ranks include shell accounts: rank first, filter after
     return with_peer_percentile(scored, cfg, percentile, n_peer_groups)

@@ -23,17 +23,35 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 
+ROWS_PER_RANGE = 50_000
+
+
+def range_partitions(spark, row_bound: int | None, rows_per_range: int = ROWS_PER_RANGE) -> int:
+    """Ranges for ``row_bound`` distinct (group, value) rows: about
+    ``rows_per_range`` each, at most ``spark.sql.shuffle.partitions``."""
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if row_bound is None:
+        return most
+    return max(1, min(most, -(-row_bound // rows_per_range)))
+
+
 def exact_quantile(df: DataFrame, group_cols, value_col: str, q: float = 0.5,
-                   out: str = "quantile", num_partitions: int | None = None) -> DataFrame:
+                   out: str = "quantile", num_partitions: int | None = None,
+                   row_bound: int | None = None) -> DataFrame:
+    """``row_bound``: a proven upper bound on the rows of ``df`` (sizes the ranges)."""
     g = list(group_cols)
     spark = df.sparkSession
     if num_partitions is None:
-        num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        num_partitions = range_partitions(spark, row_bound)
     counts = (df.filter(F.col(value_col).isNotNull())
               .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("_cnt")))
-    ranged = cut_lineage(
-        counts.repartitionByRange(num_partitions, *g, value_col).withColumn("_part", F.spark_partition_id()),
-        "quantile_ranges")
+    if num_partitions == 1:
+        # every row fits one range (at most ROWS_PER_RANGE): nothing to pin
+        ranged = counts.withColumn("_part", F.lit(0))
+    else:
+        ranged = cut_lineage(
+            counts.repartitionByRange(num_partitions, *g, value_col).withColumn("_part", F.spark_partition_id()),
+            "quantile_ranges")
 
     gk = [f"_g{i}" for i in range(len(g))]
     blocks = ranged.groupBy(*g, "_part").agg(F.sum("_cnt").alias("_bcnt"))

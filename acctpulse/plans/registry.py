@@ -75,14 +75,14 @@ def _check_models(spark, sf_dir, cfg: ScoreConfig = FIXTURE_CONFIG) -> dict[str,
     staged = _staged(spark, sf_dir, cfg)
     base = account_base(staged, cfg)   # one pass over the events for every model below
     history = with_history(base)
-    scored = score_base(base, cfg, staged.n_peer_groups)
+    scored = score_base(base, cfg, staged.n_peer_groups, n_accounts=staged.n_accounts)
     return {
         "stg_accounts": staged.accounts,
         "stg_subscriptions": staged.subscriptions,
         "stg_submissions": staged.submissions,
         "account_dimensions": E.account_dimensions(staged.accounts, staged.subscriptions, cfg),
         "period_metrics": history.select(*PERIOD_METRICS),
-        "segment_benchmarks": peer_benchmarks(base, cfg),
+        "segment_benchmarks": peer_benchmarks(base, cfg, n_accounts=staged.n_accounts),
         "user_growth_accounting": history.select(*GROWTH),
         "account_score_mart": exclude_shells(scored).select(*MART_COLUMNS),
     }
@@ -123,7 +123,7 @@ def queries() -> dict[str, Query]:
         "user_activity_flags": lambda s, d: portable(E.user_flags(_periods(s, d), cfg)),
         "user_growth_accounting": lambda s, d: portable(E.growth_accounting(E.user_flags(_periods(s, d), cfg))),
         "account_activity_rate": lambda s, d: portable(_activity_rate(s, d)),
-        "segment_benchmarks": lambda s, d: portable(peer_benchmarks(account_base(_staged(s, d), cfg), cfg)),
+        "segment_benchmarks": lambda s, d: portable(_benchmarks(s, d)),
     }
     q.update({name: _component(name) for name in COMPONENTS})
     q.update({
@@ -175,6 +175,11 @@ def _mart_through_csv(spark, sf_dir, cfg=FIXTURE_CONFIG):
     return score_accounts(SRC.read_raw_tables(spark, locations), cfg)
 
 
+def _benchmarks(spark, sf_dir, cfg=FIXTURE_CONFIG):
+    staged = _staged(spark, sf_dir, cfg)
+    return peer_benchmarks(account_base(staged, cfg), cfg, n_accounts=staged.n_accounts)
+
+
 def _dimensions(spark, sf_dir, cfg=FIXTURE_CONFIG):
     staged = _staged(spark, sf_dir, cfg)
     return E.account_dimensions(staged.accounts, staged.subscriptions, cfg)

@@ -29,7 +29,7 @@ def main() -> None:
     }
     base = account_base(staged, CFG)
     jobs["account_score_mart (after the account base is written)"] = exclude_shells(
-        score_base(base, CFG, staged.n_peer_groups)).select(*MART_COLUMNS)
+        score_base(base, CFG, staged.n_peer_groups, n_accounts=staged.n_accounts)).select(*MART_COLUMNS)
     for title, df in jobs.items():
         print(f"\n===== {title} =====")
         df.explain(mode)

@@ -37,7 +37,7 @@ def test_scan_pruning_and_pushdown(raw_small):
 def test_mart_has_no_group_sized_window_or_reducer(raw_small):
     staged = stage_all(raw_small, FIXTURE_CONFIG)
     base = account_base(staged, FIXTURE_CONFIG)
-    mart = exclude_shells(score_base(base, FIXTURE_CONFIG, staged.n_peer_groups)).select(*MART_COLUMNS)
+    mart = exclude_shells(score_base(base, FIXTURE_CONFIG, staged.n_peer_groups, n_accounts=staged.n_accounts)).select(*MART_COLUMNS)
     p = plan(mart)
     assert "percent_rank" not in p
     assert "percentile(" not in p

@@ -79,3 +79,13 @@ if given is not None:
         got = {r.g: r.m for r in exact_quantile(df, ["g"], "v", q, out="m", num_partitions=parts).collect()}
         exp = {r.g: r.m for r in df.groupBy("g").agg(F.percentile("v", F.lit(q)).alias("m")).collect()}
         assert got == exp
+
+
+def test_range_sizing(spark):
+    from acctpulse.operators.quantiles import ROWS_PER_RANGE, range_partitions
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert range_partitions(spark, 10) == 1
+    assert range_partitions(spark, ROWS_PER_RANGE) == 1
+    assert range_partitions(spark, ROWS_PER_RANGE + 1) == min(2, most)
+    assert range_partitions(spark, 10**12) == most
+    assert range_partitions(spark, None) == most
