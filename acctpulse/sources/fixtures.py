@@ -92,7 +92,8 @@ def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _table(spark, sf_dir, "orders")
+    o = spread_scan(_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"), "o_orderkey")
     key = F.col("o_orderkey")
     start = F.col("o_orderdate").cast("date")
     arr = F.expr("CAST(CAST(o_totalprice AS DECIMAL(14,2)) * 0.01 AS DECIMAL(18,4))")
