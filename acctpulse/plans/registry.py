@@ -15,7 +15,7 @@ from ..operators import profiling as R
 from ..operators import quality as Q
 from ..operators.mart import (MART_COLUMNS, account_base, exclude_shells, peer_benchmarks, scored_accounts,
                               score_accounts, score_base, stage_all, with_history)
-from ..session import ensure_checkpoint_dir
+from ..session import app_key, ensure_checkpoint_dir
 from ..sources import raw as SRC
 from ..sources.fixtures import raw_tables
 from . import oracle as O
@@ -54,8 +54,17 @@ COMPONENTS = {
 }
 
 
+_RAW: dict = {}
+
+
 def _raw(spark, sf_dir):
-    return raw_tables(spark, sf_dir)
+    """The adapter's lazy frames over the read-only driver tables, built once
+    per application and folder (plans only; every query still runs in full,
+    and the size checks are counted afresh)."""
+    key = (app_key(spark), sf_dir.rstrip("/"))
+    if key not in _RAW:
+        _RAW[key] = raw_tables(spark, sf_dir)
+    return dict(_RAW[key])
 
 
 def _staged(spark, sf_dir, cfg=FIXTURE_CONFIG):
