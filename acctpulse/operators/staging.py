@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_CONFIG, ScoreConfig
-from ..session import broadcast_if_bounded
+from ..session import broadcast_if_bounded, cut_lineage
 
 
 def stage_accounts(accounts: DataFrame, cfg: ScoreConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -61,17 +61,12 @@ def stage_subscriptions(subscriptions: DataFrame, stg_accounts: DataFrame,
     )
 
 
-def stage_submissions(submissions: DataFrame, stg_accounts: DataFrame,
-                      cfg: ScoreConfig = DEFAULT_CONFIG, n_accounts: int | None = None) -> DataFrame:
-    """D3: events of known accounts, one row per submission_id.
+SUBMISSION_COLUMNS = ("submission_id", "submission_date", "submission_timestamp", "account_id", "product",
+                      "user_id")
 
-    Ghost-account rows go first (map-side semi join), then the first copy of
-    each id by timestamp (NULL last) with the remaining columns as tie-break.
-    ``row_number() = 1`` is planned with a partial per-partition limit before
-    the single shuffle on submission_id, so a hot id ships at most one row per
-    map task."""
-    ids = known_account_ids(stg_accounts, cfg, n_accounts)
-    typed = submissions.join(ids, "account_id", "left_semi").select(
+
+def _typed_submissions(submissions: DataFrame) -> DataFrame:
+    return submissions.select(
         "submission_id",
         F.col("submission_date").cast("date").alias("submission_date"),
         F.col("submission_timestamp").cast("timestamp_ntz").alias("submission_timestamp"),
@@ -79,10 +74,49 @@ def stage_submissions(submissions: DataFrame, stg_accounts: DataFrame,
         "product",
         "user_id",
     )
+
+
+def _first_copy(df: DataFrame, *lead) -> DataFrame:
+    """First row per submission_id by (``lead``, timestamp NULL last, account,
+    product, user).  ``row_number() = 1`` is planned with a partial
+    per-partition limit before the single shuffle on submission_id, so a hot
+    id ships at most one row per map task."""
     first = Window.partitionBy("submission_id").orderBy(
+        *lead,
         F.col("submission_timestamp").asc_nulls_last(),
         F.col("account_id").asc_nulls_last(),
         F.col("product").asc_nulls_last(),
         F.col("user_id").asc_nulls_last(),
     )
-    return typed.withColumn("_copy", F.row_number().over(first)).filter(F.col("_copy") == 1).drop("_copy")
+    return df.withColumn("_copy", F.row_number().over(first)).filter(F.col("_copy") == 1).drop("_copy")
+
+
+def stage_submissions(submissions: DataFrame, stg_accounts: DataFrame,
+                      cfg: ScoreConfig = DEFAULT_CONFIG, n_accounts: int | None = None) -> DataFrame:
+    """D3: events of known accounts, one row per submission_id: ghost-account
+    rows are dropped first, then the first copy of each id is kept.
+
+    * Accounts within the broadcast bound: a map-side semi join, then the dedup.
+    * More accounts than that: the unknown account ids are found at account
+      scale (distinct event accounts minus accounts).  When they are few
+      (checked count), each event is flagged map-side against them and the
+      dedup orders ghost copies last, then drops a ghost winner.  That keeps
+      the first known copy, as filtering first does, and the only shuffle of
+      events stays the one on submission_id.  Otherwise a shuffle semi join.
+    """
+    ids = stg_accounts.select("account_id")
+    if n_accounts is None:
+        n_accounts = ids.count()
+    typed = _typed_submissions(submissions)
+    if n_accounts <= cfg.broadcast_max_rows:
+        return _first_copy(typed.join(F.broadcast(ids), "account_id", "left_semi")).select(*SUBMISSION_COLUMNS)
+    ghosts = cut_lineage(
+        typed.select("account_id").filter(F.col("account_id").isNotNull()).distinct()
+        .join(ids, "account_id", "left_anti"),
+        "ghost_accounts")
+    if ghosts.count() > cfg.broadcast_max_rows:
+        return _first_copy(typed.join(ids, "account_id", "left_semi")).select(*SUBMISSION_COLUMNS)
+    flagged = (typed.join(F.broadcast(ghosts.withColumn("_ghost", F.lit(True))), "account_id", "left")
+               .withColumn("_ghost", F.coalesce(F.col("_ghost"), F.lit(False)) | F.col("account_id").isNull()))
+    return (_first_copy(flagged, F.col("_ghost").asc())
+            .filter(~F.col("_ghost")).select(*SUBMISSION_COLUMNS))

@@ -33,3 +33,38 @@ def test_hot_account_and_hot_submission_id(spark):
     assert fused.exceptAll(plain).count() == 0 and plain.exceptAll(fused).count() == 0
     total = fused.agg(F.sum("recent_submissions")).first()[0]
     assert total == staged.filter(F.col("submission_date").between(CFG.recent_start, CFG.recent_end)).count()
+
+
+def test_many_accounts_paths_equal_broadcast_path(spark, raw_small):
+    """Above the broadcast bound the ghost filter runs as flag-and-order (few
+    ghosts) or as a shuffle semi join (many); both equal the broadcast path."""
+    from dataclasses import replace
+
+    from acctpulse.config import FIXTURE_CONFIG
+
+    stg_a = stage_accounts(raw_small["accounts"], FIXTURE_CONFIG)
+    ref = stage_submissions(raw_small["submissions"], stg_a, FIXTURE_CONFIG)
+    for bound in (10, 0):   # 150 accounts > bound; 1 ghost account <= 10, > 0
+        cfg = replace(FIXTURE_CONFIG, broadcast_max_rows=bound)
+        got = stage_submissions(raw_small["submissions"], stg_a, cfg)
+        assert got.columns == ref.columns
+        assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0, bound
+
+
+def test_ghost_copy_first_is_replaced_by_known_copy(spark):
+    from dataclasses import replace
+    accounts = spark.createDataFrame(
+        [(f"A{i}", "n", "K12", "NAM", "School", "X", "2020-01-01", "c", "2025-12-01") for i in range(3)], ACC_SCHEMA)
+    ts = datetime(2025, 5, 1)
+    ev = spark.createDataFrame([
+        ("S1", date(2025, 5, 1), ts, "GHOST", "P", "u1"),            # earliest copy is a ghost
+        ("S1", date(2025, 5, 2), datetime(2025, 5, 2), "A1", "P", "u2"),
+        ("S2", date(2025, 5, 1), ts, "GHOST", "P", "u1"),            # only ghost copies
+        ("S3", date(2025, 5, 1), ts, None, "P", "u1"),               # NULL account
+        ("S4", date(2025, 5, 1), ts, "A2", "P", "u3"),
+    ], EV_SCHEMA)
+    stg_a = stage_accounts(accounts, CFG)
+    for bound in (1_000, 1, 0):
+        out = {r.submission_id: r.user_id for r in
+               stage_submissions(ev, stg_a, replace(CFG, broadcast_max_rows=bound)).collect()}
+        assert out == {"S1": "u2", "S4": "u3"}, bound
