@@ -17,7 +17,7 @@ from ..config import DEFAULT_CONFIG, ScoreConfig
 from ..functions import scores as S
 from ..session import app_key, broadcast_if_bounded, cut_lineage
 from .benchmarks import MEDIAN_COL, segment_benchmarks
-from .engagement import account_dimensions, activity_rate, engagement_summary, plain_engagement
+from .engagement import account_dimensions, engagement_summary, plain_engagement
 from .percentile import peer_percentile
 from .staging import stage_accounts, stage_submissions, stage_subscriptions
 
