@@ -13,12 +13,12 @@ from ..functions.portable import portable
 from ..operators import engagement as E
 from ..operators import profiling as R
 from ..operators import quality as Q
-from ..operators.mart import (MART_COLUMNS, account_base, exclude_shells, peer_benchmarks, scored_accounts,
-                              score_accounts, score_base, stage_all, with_history)
+from ..operators.mart import account_base, exclude_shells, peer_benchmarks, scored_accounts, score_accounts, stage_all
 from ..session import app_key, ensure_checkpoint_dir
 from ..sources import raw as SRC
 from ..sources.fixtures import raw_tables
 from . import oracle as O
+from .models import GROWTH, PERIOD_METRICS, build_models
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,9 +30,6 @@ STG_SUBMISSIONS = ("submission_id", "submission_date", "submission_timestamp", "
                    "user_id")
 DIMENSIONS = ("account_id", "account_name", "division", "region", "segment", "country", "customer_since",
               "csm_owner", "renewal_date", "days_to_renewal", "total_arr", "products_subscribed")
-PERIOD_METRICS = ("account_id", "last_submission_date", "recent_submissions", "prior_submissions",
-                  "recent_mau", "prior_mau", "products_active_recent", "days_since_last_submission")
-GROWTH = ("account_id", "retained_users", "new_users", "resurrected_users", "churned_users", "user_churn_rate")
 
 # component-score keys: the score with the inputs it reads, over every account
 COMPONENTS = {
@@ -81,20 +78,7 @@ def _component(name: str) -> Query:
 
 
 def _check_models(spark, sf_dir, cfg: ScoreConfig = FIXTURE_CONFIG) -> dict[str, DataFrame]:
-    staged = _staged(spark, sf_dir, cfg)
-    base = account_base(staged, cfg)   # one pass over the events for every model below
-    history = with_history(base)
-    scored = score_base(base, cfg, staged.n_peer_groups, n_accounts=staged.n_accounts)
-    return {
-        "stg_accounts": staged.accounts,
-        "stg_subscriptions": staged.subscriptions,
-        "stg_submissions": staged.submissions,
-        "account_dimensions": E.account_dimensions(staged.accounts, staged.subscriptions, cfg),
-        "period_metrics": history.select(*PERIOD_METRICS),
-        "segment_benchmarks": peer_benchmarks(base, cfg, n_accounts=staged.n_accounts),
-        "user_growth_accounting": history.select(*GROWTH),
-        "account_score_mart": exclude_shells(scored).select(*MART_COLUMNS),
-    }
+    return build_models(_raw(spark, sf_dir), cfg)   # one pass over the events for every model
 
 
 def _checks(kind: str) -> Query:
