@@ -51,4 +51,5 @@ def load_and_refresh(spark: SparkSession, incoming_folder: str, raw_table: str,
 
 def read_loaded_submissions(spark: SparkSession, raw_table: str) -> DataFrame:
     """The loaded raw submissions, without the epoch folder column."""
-    return spark.read.schema(RAW_SCHEMAS["submissions"]).parquet(raw_table)
+    schema = RAW_SCHEMAS["submissions"]
+    return spark.read.schema(schema).parquet(raw_table).select(*schema.fieldNames())

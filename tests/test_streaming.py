@@ -23,6 +23,7 @@ def test_load_and_refresh(spark, raw_small):
     q.awaitTermination(300)
     assert refreshed
     loaded = read_loaded_submissions(spark, f"{root}/raw_submissions")
+    assert loaded.columns == SRC.RAW_SCHEMAS["submissions"].fieldNames()
     assert loaded.count() == raw_small["submissions"].count()
     mart = spark.read.parquet(f"{root}/mart")
     assert mart.count() == score_accounts(raw_small, FIXTURE_CONFIG).count()
