@@ -31,9 +31,11 @@ from ..session import cut_lineage
 ROWS_PER_RANGE = 50_000
 
 
-def range_partitions(spark, row_bound: int | None, rows_per_range: int = ROWS_PER_RANGE) -> int:
+def range_partitions(spark, row_bound: int | None, rows_per_range: int | None = None) -> int:
     """Ranges for ``row_bound`` distinct (group, value) rows: about
-    ``rows_per_range`` each, at most ``spark.sql.shuffle.partitions``."""
+    ``rows_per_range`` (default ``ROWS_PER_RANGE``) each, at most
+    ``spark.sql.shuffle.partitions``."""
+    rows_per_range = rows_per_range or ROWS_PER_RANGE
     most = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if row_bound is None:
         return most

@@ -84,3 +84,14 @@ def test_method_variants_agree(spark, raw_small):
     a = score_accounts(raw_small, FIXTURE_CONFIG)
     b = score_accounts(raw_small, FIXTURE_CONFIG, engagement="plain", median="percentile", percentile="window")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_mart_with_many_median_ranges(spark, raw_small, monkeypatch):
+    """Force the split median onto several pinned ranges inside the full mart."""
+    from acctpulse.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "ROWS_PER_RANGE", 7)
+    assert quantiles.range_partitions(spark, 150) > 1
+    split = score_accounts(raw_small, FIXTURE_CONFIG)
+    single = score_accounts(raw_small, FIXTURE_CONFIG, median="percentile")
+    assert split.exceptAll(single).count() == 0 and single.exceptAll(split).count() == 0
