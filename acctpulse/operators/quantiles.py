@@ -50,8 +50,8 @@ def exact_quantile(df: DataFrame, group_cols, value_col: str, q: float = 0.5,
     spark = df.sparkSession
     if num_partitions is None:
         num_partitions = range_partitions(spark, row_bound)
-    counts = (df.filter(F.col(value_col).isNotNull())
-              .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("_cnt")))
+    # NULL values stay as a zero-count row, so a group of only NULLs still gets its (NULL) quantile
+    counts = df.groupBy(*g, value_col).agg(F.count(F.col(value_col)).alias("_cnt"))
     if num_partitions == 1:
         # every row fits one range (at most ROWS_PER_RANGE): nothing to pin
         ranged = counts.withColumn("_part", F.lit(0))
@@ -84,8 +84,7 @@ def exact_quantile(df: DataFrame, group_cols, value_col: str, q: float = 0.5,
     )
     holds = lambda k: (F.col("_lo_rank") <= F.col(k)) & (F.col(k) < F.col("_hi_rank"))
     picked = (
-        located.filter(holds("_k_lo") | holds("_k_hi"))
-        .groupBy(*g)
+        located.groupBy(*g)   # conditional maxima: map-side combined, one row per group
         .agg(
             F.max(F.when(holds("_k_lo"), F.col(value_col))).alias("_lo"),
             F.max(F.when(holds("_k_hi"), F.col(value_col))).alias("_hi"),

@@ -18,6 +18,8 @@ def _rows(seed=7, n=3000):
         g = groups[0] if i % 3 == 0 else rnd.choice(groups[:4])   # one hot group
         rows.append((g[0], g[1], rnd.randint(0, 40) / rnd.randint(1, 7)))
     rows.append(("Solo", "Z", 2.5))
+    rows.append(("Nulls", "N", None))          # a group of only NULL values: NULL quantile
+    rows.append(("Solo", "Z", None))
     rows.append(("Pair", "P", 1.0))
     rows.append(("Pair", "P", 4.0))
     return rows
@@ -33,7 +35,7 @@ def test_exact_quantile_matches_percentile(spark):
         assert got.keys() == exp.keys()
         for k in exp:
             assert got[k] == exp[k], (parts, k, got[k], exp[k])
-    assert got[("Pair", "P")] == 2.5 and got[("Solo", "Z")] == 2.5
+    assert got[("Pair", "P")] == 2.5 and got[("Solo", "Z")] == 2.5 and got[("Nulls", "N")] is None
 
 
 def test_exact_quantile_other_q(spark):
