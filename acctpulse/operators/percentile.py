@@ -42,7 +42,8 @@ def peer_percentile_histogram(df: DataFrame, group_cols=("division", "segment"),
                        F.round(rank * 100, 0).alias(out))
     if row_bound is not None:
         hist = broadcast_if_bounded(hist, row_bound, max_broadcast_rows)
-    cond = [df[c].eqNullSafe(hist[k]) for c, k in zip(g, gk)] + [df[score_col] == hist["_pscore"]]
+    # null-safe on the score too: the window sorts NULL scores first and ranks them
+    cond = [df[c].eqNullSafe(hist[k]) for c, k in zip(g, gk)] + [df[score_col].eqNullSafe(hist["_pscore"])]
     return df.join(hist, cond, "left").drop(*gk, "_pscore")
 
 

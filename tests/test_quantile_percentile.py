@@ -55,6 +55,7 @@ def test_histogram_rank_equals_window(spark):
     rows = [(i, rnd.choice(["K12", "Higher Ed"]), rnd.choice(["A", "B", None]), rnd.choice(vals[:40]))
             for i in range(4000)]
     rows.append((99999, "Solo", "Z", Decimal("12.5")))
+    rows += [(100000 + i, "K12", "A", None) for i in range(3)]   # NULL scores rank first
     df = spark.createDataFrame(rows, "id long, division string, segment string, composite_health_score decimal(5,1)")
     h = {r.id: r.peer_percentile_rank for r in peer_percentile_histogram(df, row_bound=100).collect()}
     w = {r.id: r.peer_percentile_rank for r in peer_percentile_window(df).collect()}
