@@ -27,3 +27,8 @@ def test_load_and_refresh(spark, raw_small):
     assert loaded.count() == raw_small["submissions"].count()
     mart = spark.read.parquet(f"{root}/mart")
     assert mart.count() == score_accounts(raw_small, FIXTURE_CONFIG).count()
+    # a restart on the same checkpoint finds no new files: nothing is loaded twice
+    q = load_and_refresh(spark, f"{root}/incoming/submissions.csv", f"{root}/raw_submissions",
+                         f"{root}/ckpt", refresh, available_now=True, null_value=SRC.NULL_MARK)
+    q.awaitTermination(300)
+    assert read_loaded_submissions(spark, f"{root}/raw_submissions").count() == raw_small["submissions"].count()
