@@ -43,3 +43,16 @@ def test_mart_has_no_group_sized_window_or_reducer(raw_small):
     assert "percentile(" not in p
     assert "BroadcastHashJoin" in p            # peer medians and rank histogram: bounded, broadcast
     assert "lineitem.parquet" not in p         # the events were read once, into the account base
+
+
+def test_many_accounts_ghost_filter_does_not_shuffle_events_on_account(raw_small):
+    from dataclasses import replace
+
+    from acctpulse.operators.staging import stage_accounts, stage_submissions
+
+    cfg = replace(FIXTURE_CONFIG, broadcast_max_rows=10)   # 150 accounts: above the bound, 1 ghost below it
+    stg = stage_submissions(raw_small["submissions"], stage_accounts(raw_small["accounts"], cfg), cfg)
+    p = plan(stg)
+    assert "hashpartitioning(account_id" not in p
+    assert "hashpartitioning(submission_id" in p and "WindowGroupLimit" in p
+    assert "BroadcastHashJoin" in p and "LeftOuter" in p      # map-side flag against the unknown accounts
