@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from acctpulse.llm import jaccard_join, language_id, quality_rules
+from acctpulse.llm import decontaminate, jaccard_join, language_id, piece_codec, quality_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.round_trip(_table(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(_table(spark, sf_dir, "documents"))
 
@@ -25,9 +29,13 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(_table(spark, sf_dir, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_language_id, op6_quality_rules, op8_jaccard_join)}
+    return {f.__name__: f for f in (op3_sentencepiece, op4_language_id, op6_quality_rules, op8_jaccard_join, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_decontamination": decontaminate.REPORT_SQL}
