@@ -15,6 +15,10 @@ block by block: no size is capped, dropped or sampled.  ``runs`` follows from
 the target recall for pairs exactly at the threshold; every found pair is
 verified on the exact sets.
 
+Before sets are shipped, the members of a small bucket compare their minhashes:
+one that agrees with no other in ``AGREE`` of ``SKETCH`` values leaves the bucket
+(a pair at the threshold is missed so with a probability below 1e-5).
+
 Within a bucket the comparison emits, for each class, the number of linked
 documents and an edge to the smallest member it is connected with, never the
 pairs.  A pair that meets in several buckets is counted in the first one only.
@@ -48,7 +52,9 @@ LEAF = 128
 BLOCK_SETS = 2048
 BLOCK_SHINGLES = 2_000_000
 DENSE = 0.5  # mean similarity from which a large bucket is compared at once
-SKETCH = 8
+SKETCH = 16
+AGREE = 5
+BROADCAST_IDS = 500_000
 SLICE = 4096
 
 
@@ -269,6 +275,47 @@ def _compared(rows: DataFrame, threshold: float, order: list[str]) -> DataFrame:
     return rows.repartition("cell").sortWithinPartitions(*order).mapInArrow(run, "k long, links long, root long")
 
 
+def _plausible(members: DataFrame, low: DataFrame) -> DataFrame:
+    """(bucket, k) of small buckets' members that agree with another in AGREE minhashes."""
+
+    def flush(held: list[tuple], out: list[tuple]) -> None:
+        if len(held) > 1:
+            marks = np.stack([r[2] for r in held])
+            near = (marks[:, None] == marks[None]).sum(axis=2) >= AGREE
+            np.fill_diagonal(near, False)
+            out += [held[i][:2] for i in np.flatnonzero(near.any(axis=1))]
+
+    def run(batches):
+        held: list[tuple] = []
+        for batch in batches:
+            out: list[tuple] = []
+            bucket, key = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            marks = _lists(batch.column(2))[1].reshape(-1, SKETCH).copy()
+            for i in range(len(bucket)):
+                if held and held[0][0] != bucket[i]:
+                    flush(held, out)
+                    held = []
+                held.append((bucket[i], key[i], marks[i]))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["bucket", "k"])
+        out = []
+        flush(held, out)
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["bucket", "k"])
+
+    rows = members.join(low, "k").select("bucket", "k", "low")
+    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "bucket long, k long")
+
+
+def _small(level: DataFrame, leaf: int, low: DataFrame) -> DataFrame:
+    """(bucket, k) of the buckets to compare at once; equal buckets count as one."""
+    small = level.filter(F.col("size") <= leaf)
+    lists = small.groupBy("path").agg(F.sort_array(F.collect_list("k")).alias("ks"))
+    lists = lists.groupBy("ks").agg(F.min("path").alias("path"))
+    members = lists.select(F.col("path").bitwiseAND(F.lit((1 << 62) - 1)).alias("bucket"), F.explode("ks").alias("k"))
+    return written(_plausible(members, low), "small")
+
+
 def _merged(giants: DataFrame) -> DataFrame:
     """(bucket, k): large buckets that share half of their members with the first
     bucket of those members become one bucket."""
@@ -309,32 +356,35 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_R
     classes = written(named.groupBy("k").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("w")), "classes")
     reps = marks.join(classes.select("k", F.col("rep").alias("doc_id")), ["k", "doc_id"]).dropDuplicates(["k"])
 
-    level = _buckets(reps.select(F.explode(F.array_distinct("paths")).alias("path"), "k"), "level1")
-    alive = classes.join(level.select("k").distinct(), "k", "left_semi").select("k", F.col("rep").alias("doc_id"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(alive, "doc_id").select("k", "text")
-    sets = written(_sets(texts).dropDuplicates(["k"]) if _repeats(named) else _sets(texts), "sets")
     low = reps.select("k", "low")
+    level = _buckets(reps.select(F.explode(F.array_distinct("paths")).alias("path"), "k"), "level1")
+    small, giants = _small(level, leaf, low), None
+    large = level.filter(F.col("size") > leaf)
+
+    # the sets of the classes that are still in some bucket
+    open_ = small.select("k").union(large.select("k")).distinct()
+    alive = written(classes.join(open_, "k", "left_semi").select("k", F.col("rep").alias("doc_id")), "alive")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(alive) if alive.count() <= BROADCAST_IDS else alive, "doc_id")
+    sets = _sets(texts.select("k", "text"))
+    sets = written(sets.dropDuplicates(["k"]) if _repeats(named) else sets, "sets")
 
-    small, giants = None, None
-    add = lambda x, y: y if x is None else x.union(y)
     for depth in range(1, MAX_DEPTH + 1):
-        small = add(small, level.filter(F.col("size") <= leaf).select("path", "k"))
-        large = level.filter(F.col("size") > leaf)
         if large.isEmpty():
             break
         dense = written(_dense(large, low), "dense") if depth < MAX_DEPTH else large.select("path").distinct()
-        giants = add(giants, large.join(dense, "path", "left_semi").select("path", "k"))
+        big = large.join(dense, "path", "left_semi").select("path", "k")
+        giants = big if giants is None else giants.union(big)
         if depth < MAX_DEPTH:
             open_paths = large.join(dense, "path", "left_anti").groupBy("k").agg(F.collect_list("path").alias("paths"))
             level = _buckets(_children(open_paths.join(sets, "k"), threshold), f"level{depth + 1}")
+            small = small.union(_small(level, leaf, low))
+            large = level.filter(F.col("size") > leaf)
 
     # bucket ids: large ones are negative, so that they come first
-    member = small.groupBy("path").agg(F.sort_array(F.collect_list("k")).alias("ks"))
-    member = member.groupBy("ks").agg(F.min("path").alias("path")).select(F.col("path").bitwiseAND(F.lit((1 << 62) - 1)).alias("bucket"), F.explode("ks").alias("k"))
-    assigned = member
+    assigned = small
     if giants is not None:
         big = giants.select((-1 - F.col("path").bitwiseAND(F.lit((1 << 62) - 1))).alias("bucket"), "k").distinct()
-        assigned = member.union(_merged(written(big, "giants")))
+        assigned = small.union(_merged(written(big, "giants")))
     assigned = written(assigned, "buckets")
     rows = sets.join(classes.select("k", "w"), "k").join(assigned.groupBy("k").agg(F.sort_array(F.collect_set("bucket")).alias("ids")), "k")
 
