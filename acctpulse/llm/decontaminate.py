@@ -93,14 +93,17 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, row: str, size: int = WIN
     wanted = written(looked.select(F.explode(F.array("term1", "term2")).alias("term")).distinct(), "wanted")
     postings = written(index(docs, row, wanted, wanted.count()), "postings")
 
-    def starts(k: int) -> DataFrame:
-        own = looked.select("window_id", F.col(f"term{k}").alias("term"), F.col(f"at{k}").alias("at"))
-        return postings.join(_small(own, n_windows), "term").select("window_id", row, (F.col("place") - F.col("at")).alias("start"))
-
-    both = starts(1).intersect(starts(2))
-    candidates = written(both.filter("start >= 0"), "candidates")
-    texts = docs.join(candidates.select(row).distinct(), row, "left_semi").select(row, words(F.col("text")).alias("w"))
-    windows = windows.select("window_id", "terms", "item_ids")
+    # all lists of a document meet in one task; a start that the rarest and the
+    # second rarest term agree on has both bits
+    spots = looked.select("window_id", F.explode(F.array(
+        F.struct(F.col("term1").alias("term"), F.col("at1").alias("at"), F.lit(1).alias("role")),
+        F.struct(F.col("term2").alias("term"), F.col("at2").alias("at"), F.lit(2).alias("role")))).alias("s")).select("window_id", "s.*")
+    starts = postings.repartition(row).join(_small(spots, 2 * n_windows), "term").select(row, "window_id", (F.col("place") - F.col("at")).alias("start"), "role")
+    both = starts.filter("start >= 0").groupBy(row, "window_id", "start").agg(F.bit_or("role").alias("roles"))
+    candidates = written(both.filter("roles = 3").select(row, "window_id", "start"), "candidates")
+
+    rows = candidates.select(row).distinct()
+    texts = docs.join(_small(rows, rows.count()), row, "left_semi").select(row, words(F.col("text")).alias("w"))
     held = candidates.join(_small(windows, n_windows), "window_id").join(texts, row)
     exact = held.filter(F.slice("w", F.col("start") + 1, F.size("terms")) == F.col("terms"))
     return exact.select(row, "start", F.size("terms").alias("length"), "item_ids")
