@@ -20,11 +20,13 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,7 +35,7 @@ from acctpulse.llm.common import append_columns, list_column
 
 MARK = "▁"
 MEMO_UNITS = 300_000
-BATCH_CHARS = 1 << 21
+BATCH_CHARS = 1 << 20
 LONG_UNIT = 256  # characters from which a unit is relaxed by a heap of its own
 _NEVER = np.int64(1 << 30)
 
@@ -60,7 +62,8 @@ class PieceModel:
         score = np.array([sp.get_score(int(i)) for i in self.ids])
         self.rank = np.unique(-score, return_inverse=True)[1].astype(np.int64)
         self.length = np.array([len(p) for p in own])
-        self.codes = [np.frombuffer(p.encode("utf-32-le"), np.uint32) for p in own]
+        self.flat = np.frombuffer("".join(own).encode("utf-32-le"), np.uint32)
+        self.first = np.cumsum(self.length) - self.length
         self.longest = int(self.length.max())
         #: a unit may start at each run of marks if no piece has a mark after another character
         self.split = not any(re.search(f"[^{MARK}]{MARK}", p) for p in own)
@@ -72,7 +75,7 @@ class PieceModel:
 
     def edges(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places, lengths and piece numbers of all occurrences of all pieces, by place."""
-        alphabet = np.unique(np.concatenate([text, *self.codes]))
+        alphabet = np.unique(text)
         bits = int(len(alphabet)).bit_length()
         per_key = 63 // bits
         n_keys = -(-self.longest // per_key)
@@ -85,21 +88,25 @@ class PieceModel:
         order = np.lexsort(keys[::-1])  # the suffix array, as deep as a piece can reach
         keys = [k[order] for k in keys]
 
-        low = np.zeros((n_keys, len(self.codes)), np.uint64)
-        high = np.zeros((n_keys, len(self.codes)), np.uint64)
-        flat = np.searchsorted(alphabet, np.concatenate(self.codes)).astype(np.uint64) + np.uint64(1)
-        who = np.repeat(np.arange(len(self.codes)), self.length)
-        place = np.arange(len(flat)) - np.repeat(np.cumsum(self.length) - self.length, self.length)
-        grid = np.zeros((len(self.codes), n_keys * per_key), np.uint64)
+        # pieces of the text's own characters; others cannot occur
+        at = np.minimum(np.searchsorted(alphabet, self.flat), len(alphabet) - 1)
+        can = np.logical_and.reduceat(alphabet[at] == self.flat, self.first)
+        own, size = np.flatnonzero(can), self.length[can]
+        flat = (at[np.repeat(can, self.length)] + 1).astype(np.uint64)
+        who = np.repeat(np.arange(len(own)), size)
+        place = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
+        grid = np.zeros((len(own), n_keys * per_key), np.uint64)
         grid[who, place] = flat
-        top = np.where(np.arange(n_keys * per_key)[None] < self.length[:, None], grid, np.uint64((1 << bits) - 1))
+        top = np.where(np.arange(n_keys * per_key)[None] < size[:, None], grid, np.uint64((1 << bits) - 1))
+        low = np.zeros((n_keys, len(own)), np.uint64)
+        high = np.zeros((n_keys, len(own)), np.uint64)
         for k in range(n_keys):
             for j in range(per_key):
                 low[k] = (low[k] << np.uint64(bits)) | grid[:, k * per_key + j]
                 high[k] = (high[k] << np.uint64(bits)) | top[:, k * per_key + j]
         first, last = self._search(keys, low, False), self._search(keys, high, True)
         count = last - first
-        piece = np.repeat(np.arange(len(count)), count)
+        piece = np.repeat(own, count)
         at = order[np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)]
         by_place = np.lexsort((self.length[piece], at))
         return at[by_place], self.length[piece][by_place], piece[by_place]
@@ -223,14 +230,15 @@ def load(path: str) -> PieceModel:
     return PieceModel(path)
 
 
-def _by_chars(texts: list[str | None]):
-    """Slices of about BATCH_CHARS characters."""
-    first, chars = 0, 0
-    for i, t in enumerate(texts):
-        chars += len(t or "")
-        if chars >= BATCH_CHARS or i == len(texts) - 1:
-            yield texts[first : i + 1]
-            first, chars = i + 1, 0
+def _by_chars(column: pa.Array) -> Iterator[list[str | None]]:
+    """The texts of a column in slices of about BATCH_CHARS bytes."""
+    n, first = len(column), 0
+    size = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)) if n else []
+    while first < n:
+        done = size[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(size, done + BATCH_CHARS, "right")))
+        yield column.slice(first, last - first).to_pylist()
+        first = last
 
 
 def encode(docs: DataFrame, text: str = "text", ids: str = "ids", path: str | None = None, keep: list[str] | None = None) -> DataFrame:
@@ -238,7 +246,7 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", path: str | No
     path = path or default_model()
 
     def run(column: pa.Array) -> list[pa.Array]:
-        return [list_column(list(chain.from_iterable(map(load(path).encode, _by_chars(column.to_pylist())))), np.int32)]
+        return [list_column(list(chain.from_iterable(map(load(path).encode, _by_chars(column)))), np.int32)]
 
     return append_columns(docs, text, [T.StructField(ids, T.ArrayType(T.IntegerType()))], run, keep)
 
@@ -260,24 +268,25 @@ def decode(docs: DataFrame, ids: str = "ids", text: str = "decoded", path: str |
     return append_columns(docs, ids, [T.StructField(text, T.StringType())], run, keep)
 
 
-def digest(docs: DataFrame, ids: str, keep: list[str]) -> DataFrame:
-    """``keep`` and n_ids, ids_crc32 (little-endian unsigned 32-bit ids) of an id column."""
-    fields = [T.StructField("n_ids", T.LongType()), T.StructField("ids_crc32", T.LongType())]
+def crc(ids: np.ndarray) -> int:
+    """Unsigned crc32 of the ids as little-endian unsigned 32-bit integers."""
+    return zlib.crc32(ids.astype("<u4").tobytes())
 
-    def run(column: pa.Array) -> list[pa.Array]:
-        parts = _ids(column)
-        return [pa.array([len(x) for x in parts], pa.int64()), pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in parts], pa.int64())]
-
-    return append_columns(docs, ids, fields, run, keep)
 
+def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """Per document: doc_id, n_ids, ids_crc32, and whether its ids decode to its text."""
+    path = path or default_model()
+    fields = [T.StructField("n_ids", T.LongType()), T.StructField("ids_crc32", T.LongType()), T.StructField("round_trip", T.BooleanType())]
 
-def round_trip(docs: DataFrame) -> DataFrame:
-    """Per document: n_ids, ids_crc32, and whether its ids decode to its text."""
-    plain = F.translate(F.coalesce("text", F.lit("")), MARK, " ")
-    coded = encode(docs.select("doc_id", "text").withColumn("text_md5", F.md5(plain)), keep=["doc_id", "text_md5"])
-    back = decode(coded, keep=["doc_id", "text_md5", "ids"])
-    back = back.select("doc_id", "ids", (F.md5("decoded") == F.col("text_md5")).alias("round_trip"))
-    return digest(back, "ids", ["doc_id", "round_trip"]).select("doc_id", "n_ids", "ids_crc32", "round_trip")
+    def run(column: pa.Array) -> list[pa.Array]:
+        model, rows = load(path), []
+        for texts in _by_chars(column):
+            for text, ids in zip(texts, model.encode(texts)):
+                rows.append((len(ids), crc(ids), model.decode(ids) == (text or "").replace(MARK, " ")))
+        n, checks, same = zip(*rows) if rows else ((), (), ())
+        return [pa.array(n, pa.int64()), pa.array(checks, pa.int64()), pa.array(same, pa.bool_())]
+
+    return append_columns(docs.select("doc_id", "text"), "text", fields, run, ["doc_id"])
 
 
 def encode_documents(docs: DataFrame) -> DataFrame:
