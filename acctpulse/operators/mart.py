@@ -8,14 +8,14 @@ scores, composite, tier, peer percentile, statuses -> shell filter.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_CONFIG, ScoreConfig
 from ..functions import scores as S
-from ..session import app_key, broadcast_if_bounded, cut_lineage
+from ..session import broadcast_if_bounded, cut_lineage
 from .benchmarks import MEDIAN_COL, segment_benchmarks
 from .engagement import account_dimensions, engagement_summary, plain_engagement
 from .percentile import peer_percentile
@@ -36,32 +36,45 @@ COUNT_COLUMNS = ("recent_submissions", "prior_submissions", "recent_mau", "prior
                  "churned_users")
 
 
-@dataclass
 class Staged:
-    accounts: DataFrame
-    subscriptions: DataFrame
-    submissions: DataFrame
-    n_accounts: int
-    n_peer_groups: int
+    """The staged tables, each built when first asked for, so that a key that
+    reads only accounts or subscriptions never touches the events.  The size
+    checks (one aggregate over the accounts) run only where a broadcast hangs
+    on them."""
+
+    def __init__(self, raw: dict[str, DataFrame], cfg: ScoreConfig):
+        self._raw, self._cfg = raw, cfg
+
+    @cached_property
+    def accounts(self) -> DataFrame:
+        return stage_accounts(self._raw["accounts"], self._cfg)
+
+    @cached_property
+    def subscriptions(self) -> DataFrame:
+        """Known accounts by a plain semi join: adaptive execution picks the
+        broadcast from the measured size, so nothing runs here."""
+        return stage_subscriptions(self._raw["subscriptions"], self.accounts)
+
+    @cached_property
+    def submissions(self) -> DataFrame:
+        return stage_submissions(self._raw["submissions"], self.accounts, self._cfg, self.n_accounts)
+
+    @cached_property
+    def _sizes(self):
+        groups = F.count_distinct(F.struct(*[F.col(c) for c in self._cfg.peer_group_cols]))
+        return self.accounts.agg(F.count(F.lit(1)).alias("n"), groups.alias("groups")).first()
+
+    @property
+    def n_accounts(self) -> int:
+        return int(self._sizes["n"])
+
+    @property
+    def n_peer_groups(self) -> int:
+        return int(self._sizes["groups"])
 
 
 def stage_all(raw: dict[str, DataFrame], cfg: ScoreConfig = DEFAULT_CONFIG) -> Staged:
-    """Stage the three raw tables.  One small aggregate over the account
-    dimension sizes the two lookups that may be broadcast (account ids, peer
-    groups); the event table is not touched by it."""
-    stg_a = stage_accounts(raw["accounts"], cfg)
-    stats = stg_a.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_distinct(F.struct(*[F.col(c) for c in cfg.peer_group_cols])).alias("groups"),
-    ).first()
-    n_acc, n_groups = int(stats["n"]), int(stats["groups"])
-    return Staged(
-        accounts=stg_a,
-        subscriptions=stage_subscriptions(raw["subscriptions"], stg_a, cfg, n_acc),
-        submissions=stage_submissions(raw["submissions"], stg_a, cfg, n_acc),
-        n_accounts=n_acc,
-        n_peer_groups=n_groups,
-    )
+    return Staged(raw, cfg)
 
 
 def account_base(staged: Staged, cfg: ScoreConfig = DEFAULT_CONFIG, engagement: str = "fused",
@@ -95,36 +108,17 @@ def peer_benchmarks(base: DataFrame, cfg: ScoreConfig = DEFAULT_CONFIG, median:
     return segment_benchmarks(rate, cfg.peer_group_cols, method=median, row_bound=n_accounts)
 
 
-_COLUMN_CACHE: dict = {}
-
-
-def _score_columns(spark, cfg: ScoreConfig) -> tuple[dict, dict, dict, dict]:
-    """The score expressions, built once per application and config (each
-    builder is dozens of JVM calls; the expressions themselves are plain,
-    session-independent Column trees)."""
-    key = (app_key(spark), cfg)
-    if key not in _COLUMN_CACHE:
-        _COLUMN_CACHE[key] = (
-            {
-                "user_churn_rate": F.coalesce(F.col("user_churn_rate"), F.lit(0.0)),
-                "submission_trend_score": S.submission_trend_score(cfg),
-                "mau_trend_score": S.mau_trend_score(cfg),
-                "recency_score": S.recency_score(cfg),
-                "product_adoption_score": S.product_adoption_score(cfg),
-                "recent_submissions_per_mau": S.submissions_per_user(),
-            },
-            {"relative_activity_score": S.relative_activity_score(cfg)},
-            {"composite_health_score": S.composite_score(cfg)},
-            {
-                "health_tier": S.health_tier(cfg),
-                "mau_benchmark_status": S.mau_benchmark_status(cfg),
-                "arr_tier": S.arr_tier(cfg),
-                "new_user_rate": S.new_user_rate(),
-                "renewal_urgency": S.renewal_urgency(cfg),
-                "arr_at_risk": S.arr_at_risk(cfg),
-            },
-        )
-    return _COLUMN_CACHE[key]
+def own_scores(cfg: ScoreConfig) -> dict:
+    """The scores and statuses that need neither the peer median nor the composite."""
+    return {
+        "submission_trend_score": S.submission_trend_score(cfg),
+        "mau_trend_score": S.mau_trend_score(cfg),
+        "recency_score": S.recency_score(cfg),
+        "product_adoption_score": S.product_adoption_score(cfg),
+        "mau_benchmark_status": S.mau_benchmark_status(cfg),
+        "arr_tier": S.arr_tier(cfg),
+        "new_user_rate": S.new_user_rate(),
+    }
 
 
 def score_components(base: DataFrame, benchmarks: DataFrame, cfg: ScoreConfig = DEFAULT_CONFIG,
@@ -137,9 +131,17 @@ def score_components(base: DataFrame, benchmarks: DataFrame, cfg: ScoreConfig =
     bench = benchmarks.select(*[F.col(c).alias(f"_b_{c}") for c in g], MEDIAN_COL)
     cond = [base[c] == bench[f"_b_{c}"] for c in g]
     joined = base.join(bench, cond, "left").drop(*[f"_b_{c}" for c in g])
-    components, relative, composite, statuses = _score_columns(base.sparkSession, cfg)
     # each step reads the columns the previous one defined
-    return joined.withColumns(components).withColumns(relative).withColumns(composite).withColumns(statuses)
+    return (
+        joined.withColumns(own_scores(cfg) | {
+            "user_churn_rate": F.coalesce(F.col("user_churn_rate"), F.lit(0.0)),
+            "recent_submissions_per_mau": S.submissions_per_user()})
+        .withColumn("relative_activity_score", S.relative_activity_score(cfg))
+        .withColumn("composite_health_score", S.composite_score(cfg))
+        .withColumns({
+            "health_tier": S.health_tier(cfg), "renewal_urgency": S.renewal_urgency(cfg),
+            "arr_at_risk": S.arr_at_risk(cfg)})
+    )
 
 
 def with_peer_percentile(scored: DataFrame, cfg: ScoreConfig = DEFAULT_CONFIG, method: str = "histogram",

@@ -3,9 +3,13 @@ report is an aggregate job returning a small DataFrame."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import broadcast_if_bounded, cut_lineage
+
 
 def _nulls(c) -> F.Column:
     """``sum(case when c then 1 else 0 end)``: NULL on an empty table, like the original."""
@@ -18,20 +22,24 @@ def _blank(name: str) -> F.Column:
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """R1."""
-    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
-             for name, df in tables.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return reduce(DataFrame.unionByName, [
+        df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        for name, df in tables.items()])
+
+
+NEUTRAL_TYPES = {"string": "text", "decimal": "decimal", "date": "date", "timestamp_ntz": "timestamp"}
 
 
 def schema_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """R2: column name and type per table (read from the schema, no data scan)."""
-    spark = next(iter(tables.values())).sparkSession
-    rows = [(name, i + 1, f.name, f.dataType.simpleString())
-            for name, df in tables.items() for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, "table_name string, ordinal int, column_name string, data_type string")
+    """R2: type, rows and filled values of every column, one aggregate per table."""
+    parts = []
+    for name, df in tables.items():
+        filled = df.agg(F.count(F.lit(1)).alias("row_count"), *[F.count(F.col(f.name)).alias(f"c{i}") for i, f in enumerate(df.schema)])
+        kinds = [NEUTRAL_TYPES.get(f.dataType.typeName().split("(")[0], f.dataType.typeName()) for f in df.schema]
+        stack = ", ".join(f"'{f.name}', '{k}', c{i}" for i, (f, k) in enumerate(zip(df.schema, kinds)))
+        parts.append(filled.selectExpr("row_count", f"stack({len(kinds)}, {stack}) AS (column_name, data_type, filled)").select(
+            F.lit(name).alias("table_name"), "column_name", "data_type", "row_count", "filled"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def accounts_blanks(accounts: DataFrame) -> DataFrame:
@@ -79,14 +87,17 @@ def arr_stats(subs: DataFrame) -> DataFrame:
     )
 
 
-def _orphans(child: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Child rows whose account_id has no account (NULL ids included, as a left join + IS NULL does)."""
-    return child.join(accounts.select("account_id").distinct(), "account_id", "left_anti")
+def _orphan_rows(child: DataFrame, accounts: DataFrame, out: str) -> DataFrame:
+    """How many child rows have no account (NULL ids included, as a left join + IS
+    NULL does).  Rows are counted per id before the join."""
+    ids = child.groupBy("account_id").agg(F.count(F.lit(1)).alias("n"))
+    return (ids.join(accounts.select("account_id").distinct(), "account_id", "left_anti")
+            .agg(F.coalesce(F.sum("n"), F.lit(0)).alias(out)))
 
 
 def orphan_subscriptions(subs: DataFrame, accounts: DataFrame) -> DataFrame:
     """R8."""
-    return _orphans(subs, accounts).agg(F.count(F.lit(1)).alias("orphan_subs"))
+    return _orphan_rows(subs, accounts, "orphan_subs")
 
 
 def submission_date_range(events: DataFrame) -> DataFrame:
@@ -105,23 +116,30 @@ def submissions_nulls(events: DataFrame) -> DataFrame:
 
 
 def submissions_by_product(events: DataFrame) -> DataFrame:
-    """Rows, distinct users and distinct accounts per product."""
-    return (events.groupBy("product")
-            .agg(F.count(F.lit(1)).alias("submissions"),
-                 F.count_distinct("user_id").alias("unique_users"),
-                 F.count_distinct("account_id").alias("accounts"))
+    """Rows, distinct users and distinct accounts per product.  Events are
+    combined per (product, account, user) first; each combination is then listed
+    once under its user and once under its account."""
+    seen = events.groupBy("product", "account_id", "user_id").agg(F.count(F.lit(1)).alias("n"))
+    keyed = seen.select("product", F.explode(F.array(
+        F.struct(F.lit("u").alias("kind"), F.col("user_id").alias("key"), F.col("n")),
+        F.struct(F.lit("a").alias("kind"), F.col("account_id").alias("key"), F.lit(0).cast("bigint").alias("n")))).alias("k"))
+    keys = keyed.groupBy("product", F.col("k.kind").alias("kind"), F.col("k.key").alias("key")).agg(F.sum("k.n").alias("n"))
+    filled = lambda kind: F.count_if((F.col("kind") == kind) & F.col("key").isNotNull())
+    return (keys.groupBy("product")
+            .agg(F.sum("n").alias("submissions"), filled("u").alias("unique_users"), filled("a").alias("accounts"))
             .orderBy(F.desc("submissions")))
 
 
 def orphan_submissions(events: DataFrame, accounts: DataFrame) -> DataFrame:
     """R12."""
-    return _orphans(events, accounts).agg(F.count(F.lit(1)).alias("orphan_submissions"))
+    return _orphan_rows(events, accounts, "orphan_submissions")
 
 
 def ghost_accounts(events: DataFrame, accounts: DataFrame) -> DataFrame:
     """Distinct unknown account ids referenced by events."""
-    ids = _orphans(events.select("account_id").filter(F.col("account_id").isNotNull()).distinct(), accounts)
-    return ids.agg(F.count(F.lit(1)).alias("ghost_accounts"))
+    ids = events.select("account_id").filter(F.col("account_id").isNotNull()).distinct()
+    return (ids.join(accounts.select("account_id").distinct(), "account_id", "left_anti")
+            .agg(F.count(F.lit(1)).alias("ghost_accounts")))
 
 
 def subscribed_no_submissions(subs: DataFrame, events: DataFrame) -> DataFrame:
@@ -132,15 +150,17 @@ def subscribed_no_submissions(subs: DataFrame, events: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("accounts_no_submissions"))
 
 
-def duplicate_submissions(events: DataFrame) -> DataFrame:
+def duplicate_submissions(events: DataFrame, max_broadcast_rows: int = 2_000_000) -> DataFrame:
     """Every row of a submission_id seen more than once, by id and date.
 
-    The repeated ids come from a pre-aggregated count (a hot id is combined
-    map-side); the join back lets adaptive execution split a skewed id.  The
+    The repeated ids come from a pre-aggregated count and are written once; within
+    the counted bound they are broadcast, so no event row is shuffled but those
+    of the result; beyond it, adaptive execution splits a skewed id.  The
     remaining columns break ties in the sort, so its range partitioning can
     split even one id's rows across tasks."""
-    dupes = (events.groupBy("submission_id").agg(F.count(F.lit(1)).alias("occurrences"))
-             .filter(F.col("occurrences") > 1))
-    return (events.join(dupes.select("submission_id"), "submission_id")
+    dupes = cut_lineage(events.groupBy("submission_id").agg(F.count(F.lit(1)).alias("n"))
+                        .filter(F.col("n") > 1).select("submission_id"), "repeated_ids")
+    dupes = broadcast_if_bounded(dupes, dupes.count(), max_broadcast_rows)
+    return (events.join(dupes, "submission_id", "left_semi")
             .orderBy("submission_id", "submission_date", "submission_timestamp", "account_id", "product",
                      "user_id"))

@@ -5,12 +5,14 @@ per checked table for the null checks."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import ScoreConfig
+from ..config import ARR_TIERS, HEALTH_TIERS, MAU_STATUSES, URGENCIES, ScoreConfig
 
 
 # ------------------------------------------------------------- generic checks
@@ -75,10 +77,19 @@ def growth_identity(mart: DataFrame) -> DataFrame:
             .select("account_id", "recent_mau", "retained_users", "new_users", "resurrected_users"))
 
 
+ASSERTIONS = {
+    "no_negative_arr": no_negative_arr,
+    "score_range": score_range,
+    "percentile_range": percentile_range,
+    "urgent_is_critical": urgent_is_critical,
+    "growth_identity": growth_identity,
+}
+
+
 # ------------------------------------------------------------- check catalog
 @dataclass(frozen=True)
 class Check:
-    kind: str          # not_null | unique | accepted_values | relationships
+    kind: str          # not_null | unique | accepted_values | relationships | assertion
     model: str
     column: str
     values: tuple = ()
@@ -107,47 +118,67 @@ def catalog(cfg: ScoreConfig) -> list[Check]:
         ("stg_accounts", "region", tuple(cfg.regions)),
         ("stg_subscriptions", "product", tuple(cfg.products)),
         ("stg_submissions", "product", tuple(cfg.products)),
-        ("account_score_mart", "health_tier", ("Healthy", "At Risk", "Critical")),
-        ("account_score_mart", "renewal_urgency", ("Urgent", "Watch", "Monitor")),
-        ("account_score_mart", "mau_benchmark_status", ("Green", "Yellow", "Red", "New")),
-        ("account_score_mart", "arr_tier", ("Enterprise", "Mid-Market", "SMB")),
+        ("account_score_mart", "health_tier", HEALTH_TIERS),
+        ("account_score_mart", "renewal_urgency", URGENCIES),
+        ("account_score_mart", "mau_benchmark_status", MAU_STATUSES),
+        ("account_score_mart", "arr_tier", ARR_TIERS),
     )
     checks = [Check("not_null", m, c) for m, cols in nn.items() for c in cols]
     checks += [Check("unique", m, uq_col.get(m, "account_id")) for m in uq]
-    checks += [Check("accepted_values", m, c, v) for m, c, v in av if v]
+    for m, c, v in av:
+        if not v:
+            raise ValueError(f"no accepted values for {m}.{c}: name them in the ScoreConfig")
+        checks.append(Check("accepted_values", m, c, v))
     checks += [Check("relationships", m, "account_id", parent="stg_accounts")
                for m in ("stg_subscriptions", "stg_submissions")]
+    checks += [Check("assertion", "account_score_mart", name) for name in ASSERTIONS]
     return checks
 
 
+def raw_catalog(cfg: ScoreConfig) -> list[Check]:
+    """The staged tables' contracts, held against the uncleaned tables."""
+    raw = {f"stg_{n}": f"raw_{n}" for n in ("accounts", "subscriptions", "submissions")}
+    return [replace(c, model=raw[c.model]) for c in catalog(cfg) if c.model in raw]
+
+
 def _summary_row(check: Check, failures) -> DataFrame:
     return failures.agg(F.count(F.lit(1)).alias("failures")).select(
         F.lit(check.kind).alias("check_name"), F.lit(check.model).alias("model"),
         F.lit(check.column).alias("column_name"), "failures")
 
 
-def run_checks(models: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
-    """Summary frame (check_name, model, column_name, failures).  Null checks of
-    one model share a single aggregate pass."""
+def _orphan_count(child: DataFrame, column: str, parent: DataFrame) -> DataFrame:
+    """How many rows have a key without a parent: rows are counted per key first,
+    so only one row per key and task is shuffled."""
+    keys = child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    orphans = keys.join(parent.select(F.col("account_id").alias(column)), column, "left_anti")
+    return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures"))
+
+
+def run_checks(models: Mapping[str, DataFrame], checks: list[Check]) -> DataFrame:
+    """Summary frame (check_name, model, column_name, failures).  Only the models
+    that the checks name are asked for.  Null checks and mart assertions of one
+    model share a single aggregate pass."""
     parts = []
-    by_model: dict[str, list[str]] = {}
+    plain: dict[tuple[str, str], list[str]] = {}
     for ch in checks:
-        if ch.kind == "not_null":
-            by_model.setdefault(ch.model, []).append(ch.column)
-    for model, cols in by_model.items():
-        counts = models[model].agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)])
-        stack = ", ".join(f"'{c}', n{i}" for i, c in enumerate(cols))
-        parts.append(counts.selectExpr(f"stack({len(cols)}, {stack}) AS (column_name, failures)").select(
-            F.lit("not_null").alias("check_name"), F.lit(model).alias("model"), "column_name", "failures"))
+        if ch.kind in ("not_null", "assertion"):
+            plain.setdefault((ch.kind, ch.model), []).append(ch.column)
+    for (kind, model), names in plain.items():
+        if kind == "not_null":
+            counts = models[model].agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(names)])
+            stack = ", ".join(f"'{c}', n{i}" for i, c in enumerate(names))
+            parts.append(counts.selectExpr(f"stack({len(names)}, {stack}) AS (column_name, failures)").select(
+                F.lit(kind).alias("check_name"), F.lit(model).alias("model"), "column_name", "failures"))
+        else:
+            parts += [_summary_row(Check(kind, model, c), ASSERTIONS[c](models[model])) for c in names]
     for ch in checks:
         if ch.kind == "unique":
             parts.append(_summary_row(ch, unique(models[ch.model], ch.column)))
         elif ch.kind == "accepted_values":
             parts.append(_summary_row(ch, accepted_values(models[ch.model], ch.column, ch.values)))
         elif ch.kind == "relationships":
-            parts.append(_summary_row(
-                ch, relationships(models[ch.model], ch.column, models[ch.parent], "account_id")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+            parts.append(_orphan_count(models[ch.model], ch.column, models[ch.parent]).select(
+                F.lit(ch.kind).alias("check_name"), F.lit(ch.model).alias("model"),
+                F.lit(ch.column).alias("column_name"), "failures"))
+    return reduce(DataFrame.unionByName, parts)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_CONFIG, ScoreConfig
-from ..session import broadcast_if_bounded, cut_lineage
+from ..session import cut_lineage
 
 
 def stage_accounts(accounts: DataFrame, cfg: ScoreConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -30,25 +30,11 @@ def stage_accounts(accounts: DataFrame, cfg: ScoreConfig = DEFAULT_CONFIG) -> Da
     )
 
 
-def known_account_ids(stg_accounts: DataFrame, cfg: ScoreConfig = DEFAULT_CONFIG,
-                      n_accounts: int | None = None) -> DataFrame:
-    """The account-id lookup side of the existence checks.  Broadcast only when
-    the account count (a cheap count over the dimension) is within the bound;
-    otherwise the semi join shuffles on account_id and adaptive skew handling
-    splits a hot account."""
-    ids = stg_accounts.select("account_id")
-    if n_accounts is None:
-        n_accounts = ids.count()
-    return broadcast_if_bounded(ids, n_accounts, cfg.broadcast_max_rows)
-
-
-def stage_subscriptions(subscriptions: DataFrame, stg_accounts: DataFrame,
-                        cfg: ScoreConfig = DEFAULT_CONFIG, n_accounts: int | None = None) -> DataFrame:
+def stage_subscriptions(subscriptions: DataFrame, stg_accounts: DataFrame) -> DataFrame:
     """Paid subscriptions of known accounts.  Status is passed through."""
-    ids = known_account_ids(stg_accounts, cfg, n_accounts)
     return (
         subscriptions.filter(F.col("arr_usd") > 0)
-        .join(ids, "account_id", "left_semi")
+        .join(stg_accounts.select("account_id"), "account_id", "left_semi")
         .select(
             "subscription_id",
             "account_id",

@@ -1,41 +1,93 @@
-"""The model tables of one scoring run, built on a single account base (one
-pass over the events), and their registration as views (S3)."""
+"""The model tables of one scoring run on a single account base, their
+registration as views (S3), and a run that builds, checks and writes."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import cached_property
+
 from pyspark.sql import DataFrame
 
 from ..config import DEFAULT_CONFIG, ScoreConfig
 from ..operators import engagement as E
-from ..operators.mart import (MART_COLUMNS, account_base, exclude_shells, peer_benchmarks, score_base, stage_all,
-                              with_history)
-from ..sources.raw import register_views
+from ..operators import quality as Q
+from ..operators.mart import (MART_COLUMNS, account_base, exclude_shells, peer_benchmarks, score_components, stage_all,
+                              with_history, with_peer_percentile)
+from ..session import cut_lineage
+from ..sources.raw import register_views, write_mart
 
 PERIOD_METRICS = ("account_id", "last_submission_date", "recent_submissions", "prior_submissions",
                   "recent_mau", "prior_mau", "products_active_recent", "days_since_last_submission")
 GROWTH = ("account_id", "retained_users", "new_users", "resurrected_users", "churned_users", "user_churn_rate")
 
 
-def build_models(raw: dict[str, DataFrame], cfg: ScoreConfig = DEFAULT_CONFIG) -> dict[str, DataFrame]:
-    """Staged, intermediate and mart tables by name.  The account base is
-    written once; every account-level model reads it."""
-    staged = stage_all(raw, cfg)
-    base = account_base(staged, cfg)
-    history = with_history(base)
-    scored = score_base(base, cfg, staged.n_peer_groups, n_accounts=staged.n_accounts)
-    return {
-        "stg_accounts": staged.accounts,
-        "stg_subscriptions": staged.subscriptions,
-        "stg_submissions": staged.submissions,
-        "account_dimensions": E.account_dimensions(staged.accounts, staged.subscriptions, cfg),
-        "submission_periods": E.tag_periods(staged.submissions, cfg),
-        "period_metrics": history.select(*PERIOD_METRICS),
-        "user_growth_accounting": history.select(*GROWTH),
-        "segment_benchmarks": peer_benchmarks(base, cfg, n_accounts=staged.n_accounts),
-        "account_score_mart": exclude_shells(scored).select(*MART_COLUMNS),
-    }
+class Models(Mapping):
+    """Staged, intermediate and mart tables by name, each built when first asked
+    for.  The account base is written once and every account-level model reads
+    it; staged events are a second scan, only for those who ask for them."""
+
+    NAMES = ("stg_accounts", "stg_subscriptions", "stg_submissions", "account_dimensions", "submission_periods",
+             "period_metrics", "user_growth_accounting", "segment_benchmarks", "account_score_mart")
+
+    def __init__(self, raw: dict[str, DataFrame], cfg: ScoreConfig = DEFAULT_CONFIG):
+        self._staged, self._cfg = stage_all(raw, cfg), cfg
+        self._made: dict[str, DataFrame] = {}
+
+    @cached_property
+    def base(self) -> DataFrame:
+        return account_base(self._staged, self._cfg)
+
+    @cached_property
+    def benchmarks(self) -> DataFrame:
+        return peer_benchmarks(self.base, self._cfg, n_accounts=self._staged.n_accounts)
+
+    def _make(self, name: str) -> DataFrame:
+        st, cfg = self._staged, self._cfg
+        if name == "submission_periods":
+            return E.tag_periods(st.submissions, cfg)
+        if name == "account_dimensions":
+            return E.account_dimensions(st.accounts, st.subscriptions, cfg)
+        if name == "period_metrics":
+            return with_history(self.base).select(*PERIOD_METRICS)
+        if name == "user_growth_accounting":
+            return with_history(self.base).select(*GROWTH)
+        if name == "segment_benchmarks":
+            return self.benchmarks
+        if name == "account_score_mart":
+            scored = score_components(self.base, self.benchmarks, cfg, st.n_peer_groups)
+            return exclude_shells(with_peer_percentile(scored, cfg, n_peer_groups=st.n_peer_groups)).select(*MART_COLUMNS)
+        return getattr(st, name.removeprefix("stg_"))
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.NAMES:
+            raise KeyError(name)
+        if name not in self._made:
+            self._made[name] = self._make(name)
+        return self._made[name]
+
+    def __iter__(self):
+        return iter(self.NAMES)
+
+    def __len__(self) -> int:
+        return len(self.NAMES)
 
 
 def register_models(raw: dict[str, DataFrame], cfg: ScoreConfig = DEFAULT_CONFIG) -> list[str]:
     """Expose every model as a temporary view for SQL users."""
-    return register_views(build_models(raw, cfg))
+    return register_views(Models(raw, cfg))
+
+
+class ChecksFailed(Exception):
+    """The failing checks of a run, as (check_name, model, column_name, failures)."""
+
+
+def publish(raw: dict[str, DataFrame], target: str, cfg: ScoreConfig = DEFAULT_CONFIG) -> DataFrame:
+    """One run: builds the models, runs all checks, and writes the mart only if
+    none fails.  Returns the check summary (one row per check)."""
+    models = Models(raw, cfg)
+    summary = cut_lineage(Q.run_checks(models, Q.catalog(cfg)), "check_summary")
+    failed = summary.filter("failures > 0").collect()   # at most one row per check
+    if failed:
+        raise ChecksFailed([tuple(r) for r in failed])
+    write_mart(models["account_score_mart"], target)
+    return summary

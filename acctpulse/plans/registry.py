@@ -8,29 +8,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..config import FIXTURE_CONFIG, FIXTURE_QUARTERS_CONFIG, ScoreConfig
+from ..config import FIXTURE_CONFIG, FIXTURE_QUARTERS_CONFIG
 from ..functions.portable import portable
 from ..operators import engagement as E
 from ..operators import profiling as R
 from ..operators import quality as Q
-from ..operators.mart import account_base, exclude_shells, peer_benchmarks, scored_accounts, score_accounts, stage_all
-from ..session import app_key, ensure_checkpoint_dir
-from ..sources import raw as SRC
+from ..operators.benchmarks import segment_benchmarks
+from ..operators.mart import account_base, exclude_shells, own_scores, score_accounts, scored_accounts, stage_all
 from ..sources.fixtures import raw_tables
 from . import oracle as O
-from .models import GROWTH, PERIOD_METRICS, build_models
+from .models import PERIOD_METRICS, Models
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-STG_ACCOUNTS = ("account_id", "account_name", "segment", "country", "customer_since", "csm_owner",
-                "renewal_date", "division", "region")
-STG_SUBSCRIPTIONS = ("subscription_id", "account_id", "product", "arr_usd", "term_start_date",
-                     "term_end_date", "status")
-STG_SUBMISSIONS = ("submission_id", "submission_date", "submission_timestamp", "account_id", "product",
-                   "user_id")
-DIMENSIONS = ("account_id", "account_name", "division", "region", "segment", "country", "customer_since",
-              "csm_owner", "renewal_date", "days_to_renewal", "total_arr", "products_subscribed")
-
 # component-score keys: the score with the inputs it reads, over every account
 COMPONENTS = {
     "submission_trend_score": ("recent_submissions", "prior_submissions", "recent_mau", "prior_mau"),
@@ -51,21 +41,8 @@ COMPONENTS = {
 }
 
 
-_RAW: dict = {}
-
-
-def _raw(spark, sf_dir):
-    """The adapter's lazy frames over the read-only driver tables, built once
-    per application and folder (plans only; every query still runs in full,
-    and the size checks are counted afresh)."""
-    key = (app_key(spark), sf_dir.rstrip("/"))
-    if key not in _RAW:
-        _RAW[key] = raw_tables(spark, sf_dir)
-    return dict(_RAW[key])
-
-
 def _staged(spark, sf_dir, cfg=FIXTURE_CONFIG):
-    return stage_all(_raw(spark, sf_dir), cfg)
+    return stage_all(raw_tables(spark, sf_dir), cfg)
 
 
 def _periods(spark, sf_dir, cfg=FIXTURE_CONFIG):
@@ -73,28 +50,42 @@ def _periods(spark, sf_dir, cfg=FIXTURE_CONFIG):
 
 
 def _component(name: str) -> Query:
-    cols = ("account_id", *COMPONENTS[name], name)
-    return lambda spark, sf_dir: portable(scored_accounts(_raw(spark, sf_dir), FIXTURE_CONFIG).select(*cols))
-
-
-def _check_models(spark, sf_dir, cfg: ScoreConfig = FIXTURE_CONFIG) -> dict[str, DataFrame]:
-    return build_models(_raw(spark, sf_dir), cfg)   # one pass over the events for every model
+    """The score over every account, from no more than it needs: the dimensions,
+    the account base, or (with a peer median or composite in it) all scores."""
+    def run(spark, sf_dir, cfg=FIXTURE_CONFIG):
+        if name == "arr_tier":
+            frame = _dimensions(spark, sf_dir).withColumn(name, own_scores(cfg)[name])
+        elif name in own_scores(cfg):
+            frame = account_base(_staged(spark, sf_dir), cfg, materialize=False).withColumn(name, own_scores(cfg)[name])
+        else:
+            frame = scored_accounts(raw_tables(spark, sf_dir), cfg)
+        return portable(frame.select("account_id", *COMPONENTS[name], name))
+    return run
 
 
 def _checks(kind: str) -> Query:
     def run(spark, sf_dir):
         checks = [c for c in Q.catalog(FIXTURE_CONFIG) if c.kind == kind]
-        return portable(Q.run_checks(_check_models(spark, sf_dir), checks))
+        return portable(Q.run_checks(Models(raw_tables(spark, sf_dir), FIXTURE_CONFIG), checks))
+    return run
+
+
+def _raw_checks(kind: str) -> Query:
+    """The staged tables' checks on the uncleaned tables, where they do fail."""
+    def run(spark, sf_dir):
+        raw = raw_tables(spark, sf_dir)
+        models = {f"raw_{n}": df for n, df in raw.items()} | {"stg_accounts": stage_all(raw, FIXTURE_CONFIG).accounts}
+        return portable(Q.run_checks(models, [c for c in Q.raw_catalog(FIXTURE_CONFIG) if c.kind == kind]))
     return run
 
 
 def _mart_check(fn) -> Query:
-    return lambda spark, sf_dir: portable(fn(score_accounts(_raw(spark, sf_dir), FIXTURE_CONFIG)))
+    return lambda spark, sf_dir: portable(fn(score_accounts(raw_tables(spark, sf_dir), FIXTURE_CONFIG)))
 
 
 def _raw_report(fn, *tables) -> Query:
     def run(spark, sf_dir):
-        raw = _raw(spark, sf_dir)
+        raw = raw_tables(spark, sf_dir)
         return portable(fn(*[raw[t] for t in tables]))
     return run
 
@@ -111,7 +102,7 @@ def queries() -> dict[str, Query]:
         "account_dimensions": lambda s, d: portable(_dimensions(s, d)),
         "submission_periods": lambda s, d: portable(_periods(s, d)),
         "account_recency": lambda s, d: portable(E.last_activity(_staged(s, d).submissions)),
-        "period_metrics": lambda s, d: portable(E.period_metrics(_periods(s, d), cfg).select(*PERIOD_METRICS)),
+        "period_metrics": lambda s, d: portable(E.engagement_summary(_staged(s, d).submissions, cfg).select(*PERIOD_METRICS)),
         "engagement_summary": lambda s, d: portable(E.engagement_summary(_staged(s, d).submissions, cfg)),
         "user_activity_flags": lambda s, d: portable(E.user_flags(_periods(s, d), cfg)),
         "user_growth_accounting": lambda s, d: portable(E.growth_accounting(E.user_flags(_periods(s, d), cfg))),
@@ -121,24 +112,27 @@ def queries() -> dict[str, Query]:
     q.update({name: _component(name) for name in COMPONENTS})
     q.update({
         "shell_account_exclusion": lambda s, d: portable(
-            exclude_shells(scored_accounts(_raw(s, d), cfg))
+            exclude_shells(account_base(_staged(s, d), cfg, materialize=False))
             .select("account_id", "products_subscribed", "days_since_last_submission")),
-        "account_score_mart": lambda s, d: portable(score_accounts(_raw(s, d), cfg)),
-        "account_score_mart_quarters": lambda s, d: portable(score_accounts(_raw(s, d), FIXTURE_QUARTERS_CONFIG)),
-        "account_score_mart_from_csv": lambda s, d: portable(_mart_through_csv(s, d)),
+        "account_score_mart": lambda s, d: portable(score_accounts(raw_tables(s, d), cfg)),
+        "account_score_mart_quarters": lambda s, d: portable(score_accounts(raw_tables(s, d), FIXTURE_QUARTERS_CONFIG)),
         # data quality
         "dq_not_null": _checks("not_null"),
         "dq_unique": _checks("unique"),
         "dq_accepted_values": _checks("accepted_values"),
         "dq_relationships": _checks("relationships"),
+        "dq_raw_not_null": _raw_checks("not_null"),
+        "dq_raw_unique": _raw_checks("unique"),
+        "dq_raw_accepted_values": _raw_checks("accepted_values"),
+        "dq_raw_relationships": _raw_checks("relationships"),
         "dq_no_negative_arr": _mart_check(Q.no_negative_arr),
         "dq_score_range": _mart_check(Q.score_range),
         "dq_percentile_range": _mart_check(Q.percentile_range),
         "dq_urgent_is_critical": _mart_check(Q.urgent_is_critical),
         "dq_growth_identity": _mart_check(Q.growth_identity),
         # profiling
-        "profile_row_counts": lambda s, d: portable(R.row_counts(_raw(s, d))),
-        "profile_schema": lambda s, d: R.schema_report(_raw(s, d)),
+        "profile_row_counts": lambda s, d: portable(R.row_counts(raw_tables(s, d))),
+        "profile_schema": lambda s, d: portable(R.schema_report(raw_tables(s, d))),
         "profile_accounts_blanks": _raw_report(R.accounts_blanks, "accounts"),
         "profile_division_counts": _raw_report(lambda a: R.value_counts(a, "division"), "accounts"),
         "profile_region_counts": _raw_report(lambda a: R.value_counts(a, "region"), "accounts"),
@@ -158,19 +152,11 @@ def queries() -> dict[str, Query]:
     return q
 
 
-def _mart_through_csv(spark, sf_dir, cfg=FIXTURE_CONFIG):
-    """S1+S2+S5 on derived data: raw tables -> CSV -> typed load -> Parquet
-    tables -> mart.  Files go under the session's checkpoint folder."""
-    import uuid
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/acctpulse/raw-load-{uuid.uuid4().hex}"
-    csv_paths = SRC.write_raw_csv(_raw(spark, sf_dir), f"{folder}/csv")
-    locations = SRC.load_raw(spark, csv_paths, f"{folder}/tables")
-    return score_accounts(SRC.read_raw_tables(spark, locations), cfg)
-
-
 def _benchmarks(spark, sf_dir, cfg=FIXTURE_CONFIG):
+    """Peer medians from the engagement of the accounts alone: no subscription is read."""
     staged = _staged(spark, sf_dir, cfg)
-    return peer_benchmarks(account_base(staged, cfg), cfg, n_accounts=staged.n_accounts)
+    rate = E.activity_rate(E.engagement_summary(staged.submissions, cfg), staged.accounts)
+    return segment_benchmarks(rate, cfg.peer_group_cols, row_bound=staged.n_accounts)
 
 
 def _dimensions(spark, sf_dir, cfg=FIXTURE_CONFIG):
@@ -185,133 +171,5 @@ def _activity_rate(spark, sf_dir, cfg=FIXTURE_CONFIG):
     return E.activity_rate(metrics, dims)
 
 
-# --------------------------------------------------------------------- SQL
-def _dq_sql(kind: str, cfg: ScoreConfig = FIXTURE_CONFIG) -> str:
-    sources = {"account_score_mart": "mart"}
-    parts = []
-    for ch in Q.catalog(cfg):
-        if ch.kind != kind:
-            continue
-        src = sources.get(ch.model, ch.model)
-        head = f"SELECT '{ch.kind}' AS check_name, '{ch.model}' AS model, '{ch.column}' AS column_name, "
-        if kind == "not_null":
-            parts.append(head + f"count(*) AS failures FROM {src} WHERE {ch.column} IS NULL")
-        elif kind == "unique":
-            parts.append(head + f"count(*) AS failures FROM (SELECT {ch.column} FROM {src} "
-                         f"WHERE {ch.column} IS NOT NULL GROUP BY {ch.column} HAVING count(*) > 1) t")
-        elif kind == "accepted_values":
-            values = ", ".join("'" + v.replace("'", "''") + "'" for v in ch.values)
-            parts.append(head + f"count(*) AS failures FROM (SELECT {ch.column} FROM {src} "
-                         f"WHERE {ch.column} IS NOT NULL AND {ch.column} NOT IN ({values}) GROUP BY {ch.column}) t")
-        elif kind == "relationships":
-            parts.append(head + f"count(*) AS failures FROM {src} c WHERE c.{ch.column} IS NOT NULL "
-                         f"AND c.{ch.column} NOT IN (SELECT account_id FROM {ch.parent})")
-    body = "\nUNION ALL\n".join(f"SELECT check_name, model, column_name, CAST(failures AS BIGINT) AS failures "
-                                f"FROM ({p}) x" for p in parts)
-    return O.with_ctes(body, cfg)
-
-
 def oracle_sql() -> dict[str, str]:
-    W, P = O.with_ctes, O.present
-    comps = {name: W(P(("account_id", *cols, name), "scored")) for name, cols in COMPONENTS.items()}
-    sql = {
-        "stg_accounts": W(P(STG_ACCOUNTS, "stg_accounts")),
-        "stg_subscriptions": W(P(STG_SUBSCRIPTIONS, "stg_subscriptions")),
-        "stg_submissions": W(P(STG_SUBMISSIONS, "stg_submissions")),
-        "subscription_summary": W(P(("account_id", "total_arr", "products_subscribed"), "subscription_summary")),
-        "account_dimensions": W(P(DIMENSIONS, "account_dimensions")),
-        "submission_periods": W(P(("account_id", "user_id", "product", "submission_date", "period"),
-                                  "submission_periods")),
-        "account_recency": W(P(("account_id", "last_submission_date"), "account_recency")),
-        "period_metrics": W(P(PERIOD_METRICS, "period_metrics")),
-        "engagement_summary": W(P(PERIOD_METRICS + GROWTH[1:],
-                                  "period_metrics JOIN user_growth_accounting USING (account_id)")),
-        "user_activity_flags": W(P(("account_id", "user_id", "active_recent", "active_prior", "active_historical"),
-                                   "user_activity_flags")),
-        "user_growth_accounting": W(P(GROWTH, "user_growth_accounting")),
-        "account_activity_rate": W(P(("account_id", "division", "segment", "recent_submissions_per_mau"),
-                                     "account_activity_rate")),
-        "segment_benchmarks": W(P(("division", "segment", "median_submissions_per_mau"), "segment_benchmarks")),
-        **comps,
-        "shell_account_exclusion": W(P(("account_id", "products_subscribed", "days_since_last_submission"),
-                                       "scored WHERE products_subscribed > 0 "
-                                       "OR days_since_last_submission IS NOT NULL")),
-        "account_score_mart": W(P(O.MART_COLS, "mart")),
-        "account_score_mart_quarters": O.with_ctes(P(O.MART_COLS, "mart"), FIXTURE_QUARTERS_CONFIG),
-        "account_score_mart_from_csv": W(P(O.MART_COLS, "mart")),
-        "dq_not_null": _dq_sql("not_null"),
-        "dq_unique": _dq_sql("unique"),
-        "dq_accepted_values": _dq_sql("accepted_values"),
-        "dq_relationships": _dq_sql("relationships"),
-        "dq_no_negative_arr": W(P(("account_id", "total_arr"), "mart WHERE total_arr < 0")),
-        "dq_score_range": W(P(("account_id", *Q.SCORE_COLUMNS),
-                              "mart WHERE " + " OR ".join(f"{c} < 0 OR {c} > 100" for c in Q.SCORE_COLUMNS))),
-        "dq_percentile_range": W(P(("account_id", "peer_percentile_rank", "division", "segment"),
-                                   "mart WHERE peer_percentile_rank < 0 OR peer_percentile_rank > 100")),
-        "dq_urgent_is_critical": W(P(("account_id", "health_tier", "renewal_urgency", "composite_health_score",
-                                      "days_to_renewal"),
-                                     "mart WHERE renewal_urgency = 'Urgent' AND health_tier != 'Critical'")),
-        "dq_growth_identity": W(P(("account_id", "recent_mau", "retained_users", "new_users", "resurrected_users"),
-                                  "mart WHERE recent_mau <> retained_users + new_users + resurrected_users")),
-        "profile_row_counts": W(
-            "SELECT 'accounts' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM raw_accounts UNION ALL "
-            "SELECT 'subscriptions', CAST(count(*) AS BIGINT) FROM raw_subscriptions UNION ALL "
-            "SELECT 'submissions', CAST(count(*) AS BIGINT) FROM raw_submissions"),
-        "profile_accounts_blanks": W(P(
-            ("account_id_nulls", "division_nulls", "region_nulls", "segment_nulls", "csm_owner_nulls",
-             "renewal_date_nulls"),
-            "(SELECT "
-            + ", ".join(f"SUM(CASE WHEN {c} IS NULL OR {c} = '' THEN 1 ELSE 0 END) AS {c}_nulls"
-                        for c in ("account_id", "division", "region", "segment", "csm_owner"))
-            + ", SUM(CASE WHEN renewal_date IS NULL THEN 1 ELSE 0 END) AS renewal_date_nulls FROM raw_accounts) t")),
-        "profile_division_counts": W(P(("division", "cnt"),
-                                       "(SELECT division, count(*) AS cnt FROM raw_accounts GROUP BY division) t")),
-        "profile_region_counts": W(P(("region", "cnt"),
-                                     "(SELECT region, count(*) AS cnt FROM raw_accounts GROUP BY region) t")),
-        "profile_segment_counts": W(P(("segment", "cnt"),
-                                      "(SELECT segment, count(*) AS cnt FROM raw_accounts GROUP BY segment) t")),
-        "profile_subscriptions_nulls": W(P(
-            ("account_id_nulls", "product_nulls", "arr_nulls", "arr_zero", "arr_negative"),
-            "(SELECT SUM(CASE WHEN account_id IS NULL THEN 1 ELSE 0 END) AS account_id_nulls, "
-            "SUM(CASE WHEN product IS NULL THEN 1 ELSE 0 END) AS product_nulls, "
-            "SUM(CASE WHEN arr_usd IS NULL THEN 1 ELSE 0 END) AS arr_nulls, "
-            "SUM(CASE WHEN arr_usd = 0 THEN 1 ELSE 0 END) AS arr_zero, "
-            "SUM(CASE WHEN arr_usd < 0 THEN 1 ELSE 0 END) AS arr_negative FROM raw_subscriptions) t")),
-        "profile_subscriptions_by_product": W(P(
-            ("product", "cnt", "total_arr"),
-            "(SELECT product, count(*) AS cnt, ROUND(SUM(arr_usd), 0) AS total_arr "
-            "FROM raw_subscriptions GROUP BY product) t")),
-        "profile_arr_stats": W(P(
-            ("min_arr", "avg_arr", "max_arr", "total_arr"),
-            "(SELECT ROUND(MIN(arr_usd), 0) AS min_arr, ROUND(AVG(arr_usd), 0) AS avg_arr, "
-            "ROUND(MAX(arr_usd), 0) AS max_arr, ROUND(SUM(arr_usd), 0) AS total_arr FROM raw_subscriptions) t")),
-        "profile_orphan_subscriptions": W(P(("orphan_subs",),
-            "(SELECT COUNT(*) AS orphan_subs FROM raw_subscriptions s LEFT JOIN raw_accounts a "
-            "ON s.account_id = a.account_id WHERE a.account_id IS NULL) t")),
-        "profile_submission_date_range": W(P(("earliest", "latest"),
-            "(SELECT MIN(submission_date) AS earliest, MAX(submission_date) AS latest FROM raw_submissions) t")),
-        "profile_submissions_nulls": W(P(
-            ("account_id_nulls", "user_id_nulls", "product_nulls", "date_nulls"),
-            "(SELECT SUM(CASE WHEN account_id IS NULL THEN 1 ELSE 0 END) AS account_id_nulls, "
-            "SUM(CASE WHEN user_id IS NULL THEN 1 ELSE 0 END) AS user_id_nulls, "
-            "SUM(CASE WHEN product IS NULL THEN 1 ELSE 0 END) AS product_nulls, "
-            "SUM(CASE WHEN submission_date IS NULL THEN 1 ELSE 0 END) AS date_nulls FROM raw_submissions) t")),
-        "profile_submissions_by_product": W(P(
-            ("product", "submissions", "unique_users", "accounts"),
-            "(SELECT product, COUNT(*) AS submissions, COUNT(DISTINCT user_id) AS unique_users, "
-            "COUNT(DISTINCT account_id) AS accounts FROM raw_submissions GROUP BY product) t")),
-        "profile_orphan_submissions": W(P(("orphan_submissions",),
-            "(SELECT COUNT(*) AS orphan_submissions FROM raw_submissions s LEFT JOIN raw_accounts a "
-            "ON s.account_id = a.account_id WHERE a.account_id IS NULL) t")),
-        "profile_ghost_accounts": W(P(("ghost_accounts",),
-            "(SELECT COUNT(DISTINCT s.account_id) AS ghost_accounts FROM raw_submissions s "
-            "LEFT JOIN raw_accounts a ON s.account_id = a.account_id WHERE a.account_id IS NULL) t")),
-        "profile_subscribed_no_submissions": W(P(("accounts_no_submissions",),
-            "(SELECT COUNT(DISTINCT sub.account_id) AS accounts_no_submissions FROM raw_subscriptions sub "
-            "LEFT JOIN raw_submissions sm ON sub.account_id = sm.account_id WHERE sm.account_id IS NULL) t")),
-        "duplicate_submissions": W(P(STG_SUBMISSIONS,
-            "(SELECT s.* FROM raw_submissions s JOIN (SELECT submission_id, count(*) AS occurrences "
-            "FROM raw_submissions GROUP BY submission_id HAVING count(*) > 1) d "
-            "ON s.submission_id = d.submission_id) t")),
-    }
-    return sql
+    return O.oracle_sql()

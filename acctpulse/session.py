@@ -22,7 +22,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.parquet.filterPushdown", "true")
     )
     for k, v in (extra or {}).items():
@@ -32,15 +32,19 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     return spark
 
 
-def cluster_conf(event_bytes: int, executors_cores: int, checkpoint_dir: str) -> dict[str, str]:
-    """Settings for a cluster run sized from the raw event volume: about
-    200 MB per initial shuffle partition (never fewer than two per core),
-    adaptive coalescing and skew splitting, and the shared lineage folder."""
-    partitions = max(2 * executors_cores, event_bytes // (200 * 1024 * 1024))
+PARTITION_BYTES = 1 << 30   # target of the widest shuffle, before adaptive coalescing
+MAX_PARTITIONS = 50_000     # keeps map statuses and shuffle blocks of one job in bounds
+
+
+def cluster_conf(shuffle_bytes: int, executors_cores: int, checkpoint_dir: str) -> dict[str, str]:
+    """Settings for a cluster run, sized from what the widest shuffle writes (the
+    de-duplication of the projected events, not the raw tables): about 1 GB a
+    partition, never fewer than two per core.  All other shuffles carry
+    pre-aggregated rows; adaptive execution coalesces them and splits skew."""
+    partitions = min(max(2 * executors_cores, -(-shuffle_bytes // PARTITION_BYTES)), max(MAX_PARTITIONS, 2 * executors_cores))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -57,18 +61,6 @@ def _context(spark: SparkSession):
         return None
 
 
-def app_key(spark: SparkSession) -> str:
-    sc = _context(spark)
-    return sc.applicationId if sc is not None else (spark.conf.get("spark.app.id", None) or str(id(spark)))
-
-
-def parallelism(spark: SparkSession) -> int:
-    sc = _context(spark)
-    if sc is not None:
-        return sc.defaultParallelism
-    return int(spark.conf.get("spark.default.parallelism", None) or spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _master(spark: SparkSession) -> str:
     sc = _context(spark)
     return sc.master if sc is not None else (spark.conf.get("spark.master", None) or "")
@@ -85,7 +77,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named and sc is not None:
         named = sc.getConf().get("spark.checkpoint.dir")
-    if not named and _master(spark).startswith("local"):
+    if not named and (_master(spark) == "local" or _master(spark).startswith("local[")):
         named = tempfile.mkdtemp(prefix="acctpulse-ckpt-", dir=os.environ.get("ACCTPULSE_SCRATCH"))
     if not named:
         raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for lineage cuts")

@@ -11,8 +11,6 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import app_key, parallelism
-
 # Fixed values of the adapter (FIXTURES.md section 2).
 DIVISION_BY_KEY_MOD4 = ("K12", "Higher Ed", "k12", "highered")
 NULL_REGION_EVERY = 37
@@ -21,41 +19,30 @@ BLANK_CSM_EVERY = 10
 CSM_MOD = 7
 CUSTOMER_SINCE_TEXT = "1995-01-01"
 RENEWAL_BASE = date(2001, 6, 30)
-SUBS_SKIP_CUST_MOD = 11
+SUBS_MOVE_CUST_MOD = 11
 GHOST_SUB_ORDER_MOD = 499
 ZERO_ARR_ORDER_MOD = 20
 PRODUCT_MOD = 6
 TERM_DAYS = 365
-EVENTS_SKIP_CUST_MOD = 13
+EVENTS_MOVE_CUST_MOD = 13
 GHOST_EVENT_ORDER_MOD = 997
 QUIET_SEGMENT = "FURNITURE"
 QUIET_FROM = "2000-07-01"
+QUIET_SHIFT_DAYS = 1461  # moves the late events before both windows
 SHARED_USER_SEGMENT = "BUILDING"
 USER_MOD = 5
 GHOST_ACCOUNT = "ACC-GHOST"
 
 
-_READERS: dict[tuple[str, str], DataFrame] = {}
-
-
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A lazy reader per session and path: the Parquet footer is read (a small
-    schema job) once, not on every query over the same read-only tables."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (app_key(spark), path)
-    if key not in _READERS:
-        _READERS[key] = spark.read.parquet(path)
-    return _READERS[key]
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread_scan(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread a scan over fewer files than the cluster has cores (the
-    driver's tables are one file with one row group: one task); a table of
-    many files already has enough splits and is left shuffle-free."""
-    cores = parallelism(df.sparkSession)
-    if len(df.inputFiles()) >= cores:
-        return df
-    return df.repartition(cores, key)
+def _neighbour(custkey: F.Column, every: int) -> F.Column:
+    """The customer a row is credited to: rows of every ``every``-th customer
+    move to the one before (customer 0 to 1), so that some accounts have none
+    and no row is lost."""
+    return F.when(custkey % every == 0, F.abs(custkey - 1)).otherwise(custkey)
 
 
 def _acc(key) -> F.Column:
@@ -92,15 +79,14 @@ def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = spread_scan(_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"), "o_orderkey")
+    o = _table(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
     start = F.col("o_orderdate").cast("date")
     arr = F.expr("CAST(CAST(o_totalprice AS DECIMAL(14,2)) * 0.01 AS DECIMAL(18,4))")
-    return o.filter(F.col("o_custkey") % SUBS_SKIP_CUST_MOD != 0).select(
+    return o.select(
         F.concat(F.lit("SUB-"), key.cast("string")).alias("subscription_id"),
         F.when(key % GHOST_SUB_ORDER_MOD == 0, F.lit(GHOST_ACCOUNT))
-        .otherwise(_acc(F.col("o_custkey"))).alias("account_id"),
+        .otherwise(_acc(_neighbour(F.col("o_custkey"), SUBS_MOVE_CUST_MOD))).alias("account_id"),
         F.concat(F.lit("P"), (key % PRODUCT_MOD).cast("string")).alias("product"),
         F.when(key % ZERO_ARR_ORDER_MOD == 0, F.lit(0).cast("decimal(18,4)")).otherwise(arr).alias("arr_usd"),
         start.cast("string").alias("term_start_date"),
@@ -110,25 +96,26 @@ def raw_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = spread_scan(_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"), "l_orderkey")
-    o = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    li = _table(spark, sf_dir, "lineitem")
+    o = _table(spark, sf_dir, "orders").select(
+        "o_orderkey", _neighbour(F.col("o_custkey"), EVENTS_MOVE_CUST_MOD).alias("custkey"))
     p = _table(spark, sf_dir, "part").select("p_partkey", "p_size")
     c = _table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    cust = F.col("o_custkey")
+    cust = F.col("custkey")
+    shipped = F.col("l_shipdate").cast("timestamp_ntz")
     quiet = ((F.col("c_mktsegment") == QUIET_SEGMENT) & (cust % 5 < 3)
-             & (F.col("l_shipdate") >= F.lit(QUIET_FROM).cast("timestamp_ntz")))
+             & (shipped >= F.lit(QUIET_FROM).cast("timestamp_ntz")))
     joined = (
         li.join(o, li.l_orderkey == o.o_orderkey)
         .join(p, li.l_partkey == p.p_partkey)
-        .join(c, o.o_custkey == c.c_custkey)
-        .filter((cust % EVENTS_SKIP_CUST_MOD != 0) & ~quiet)
+        .join(c, cust == c.c_custkey)
+        .withColumn("happened", F.when(quiet, shipped - F.expr(f"INTERVAL {QUIET_SHIFT_DAYS} DAYS")).otherwise(shipped))
     )
     return joined.select(
         F.concat(F.lit("SBM-"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string"))
         .alias("submission_id"),
-        F.col("l_shipdate").cast("date").alias("submission_date"),
-        F.col("l_shipdate").cast("timestamp_ntz").alias("submission_timestamp"),
+        F.col("happened").cast("date").alias("submission_date"),
+        F.col("happened").alias("submission_timestamp"),
         F.when(F.col("l_orderkey") % GHOST_EVENT_ORDER_MOD == 0, F.lit(GHOST_ACCOUNT))
         .otherwise(_acc(cust)).alias("account_id"),
         F.concat(F.lit("P"), (F.col("p_size") % PRODUCT_MOD).cast("string")).alias("product"),

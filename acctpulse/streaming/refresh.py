@@ -1,21 +1,16 @@
-"""Load arriving raw submission files and refresh the mart (S5 + S4 on arrival).
-
-The scoring itself stays a batch job over whole tables: every score compares
-full windows and peer groups, so the mart is rebuilt in full, as a table
-materialization is.  What streams is the load: a Structured Streaming file
-source picks up new CSV files with the explicit raw schema, and each
-micro-batch
-
-1. writes its rows to ``<raw_table>/epoch=<id>`` with mode overwrite, so a
-   batch replayed after a failure replaces its own output instead of
-   appending twice (staging de-duplicates submission ids in any case);
-2. calls ``refresh(spark)``, typically ``score_accounts`` over the raw
-   tables followed by ``write_mart``.
+"""Load arriving raw submission files (S5 on arrival).
+
+A Structured Streaming file source reads new CSV files with the explicit raw
+schema and adds them to the raw table, one folder per query (named after its
+checkpoint) and batch.  A replayed batch replaces its own folder and nothing
+else, so rows are neither doubled nor erased by another query.  A malformed row
+fails the load, as the batch reader does.  The scores compare whole windows and peer groups: rebuild the mart in
+batch (``plans.models.publish``) over ``read_loaded_submissions``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -26,22 +21,19 @@ from ..sources.raw import RAW_SCHEMAS
 def submission_file_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None,
                            null_value: str = "") -> DataFrame:
     reader = (spark.readStream.schema(RAW_SCHEMAS["submissions"]).option("header", True)
-              .option("nullValue", null_value))
+              .option("nullValue", null_value).option("mode", "FAILFAST"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.csv(folder)
 
 
-def load_and_refresh(spark: SparkSession, incoming_folder: str, raw_table: str, checkpoint_location: str,
-                     refresh: Callable[[SparkSession], None], available_now: bool = False,
-                     every: str = "5 minutes", null_value: str = "") -> StreamingQuery:
+def load_submissions(spark: SparkSession, incoming_folder: str, raw_table: str, checkpoint_location: str,
+                     available_now: bool = False, every: str = "5 minutes", null_value: str = "") -> StreamingQuery:
     """Start the load; ``available_now`` processes what is there and stops."""
+    load = hashlib.md5(checkpoint_location.rstrip("/").encode()).hexdigest()
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        batch.write.mode("overwrite").parquet(f"{raw_table.rstrip('/')}/epoch={epoch_id}")
-        refresh(batch.sparkSession)
+        batch.write.mode("overwrite").parquet(f"{raw_table.rstrip('/')}/load={load}/epoch={epoch_id}")
 
     writer = (submission_file_stream(spark, incoming_folder, null_value=null_value).writeStream
               .foreachBatch(on_batch).option("checkpointLocation", checkpoint_location))
@@ -50,6 +42,6 @@ def load_and_refresh(spark: SparkSession, incoming_folder: str, raw_table: str,
 
 
 def read_loaded_submissions(spark: SparkSession, raw_table: str) -> DataFrame:
-    """The loaded raw submissions, without the epoch folder column."""
+    """The loaded raw submissions, without the folder columns."""
     schema = RAW_SCHEMAS["submissions"]
     return spark.read.schema(schema).parquet(raw_table).select(*schema.fieldNames())

@@ -43,3 +43,23 @@ def test_register_models_as_views(spark, raw_small):
     bad = spark.sql("""SELECT count(*) AS n FROM period_metrics m JOIN user_growth_accounting g USING (account_id)
                        WHERE m.recent_mau <> g.retained_users + g.new_users + g.resurrected_users""").first().n
     assert bad == 0
+
+
+def test_catalog_tables_both_ways(spark, raw_small):
+    """The table-name branches of S2 and S4."""
+    names = {}
+    for name in SRC.RAW_NAMES:
+        names[name] = f"raw_{name}_of_test"
+        SRC.write_mart(raw_small[name], names[name])
+    try:
+        tables = SRC.read_raw_tables(spark, names)
+        mart = score_accounts(tables, FIXTURE_CONFIG)
+        SRC.write_mart(mart, "mart_of_test")
+        direct = score_accounts(raw_small, FIXTURE_CONFIG)
+        back = spark.table("mart_of_test")
+        assert back.exceptAll(direct).count() == 0 and direct.exceptAll(back).count() == 0
+        SRC.register_views({"submissions_view": tables["submissions"]})
+        assert spark.sql("SELECT count(*) AS n FROM submissions_view").first().n == raw_small["submissions"].count()
+    finally:
+        for name in [*names.values(), "mart_of_test"]:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")

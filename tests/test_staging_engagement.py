@@ -45,7 +45,7 @@ def test_stage_subscriptions(spark):
             ("S2", "A1", "P", Decimal("0"), "2025-01-01", "2026-01-01", "Cancelled"),
             ("S3", "GHOST", "P", Decimal("10"), "2025-01-01", "2026-01-01", "Active"),
             ("S4", "A2", "Q", Decimal("5"), "2025-01-01", "2026-01-01", "Cancelled")]
-    out = stage_subscriptions(spark.createDataFrame(rows, SUB_SCHEMA), stg_a, CFG).collect()
+    out = stage_subscriptions(spark.createDataFrame(rows, SUB_SCHEMA), stg_a).collect()
     assert sorted(r.subscription_id for r in out) == ["S1", "S4"]   # status not filtered
     assert {r.term_start_date for r in out} == {date(2025, 1, 1)}
 
