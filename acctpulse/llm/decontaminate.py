@@ -156,7 +156,8 @@ def proximity(docs: DataFrame, benchmark: DataFrame, slack: int = 5, size: int =
     width = F.col("length") + slack
     begin = F.sequence(F.greatest(F.col("place") - width + 1, F.lit(0)), F.col("place"))
     holds = F.exists(begin, lambda b: F.size(F.array_except("needed", F.slice("w", b + 1, width))) == 0)
-    return near.filter(holds).select("doc_id", F.explode("item_ids").alias("item_id")).distinct()
+    found = near.filter(holds).select("doc_id", F.explode("item_ids").alias("item_id")).distinct()
+    return found.select("doc_id", F.col("item_id").cast(benchmark.schema["item_id"].dataType).alias("item_id"))
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:

@@ -74,12 +74,11 @@ class _Mixer:
         self.guess1 = np.full(lanes * _SLOTS, _NO_ID << 2, np.int32)
         self.weight2 = np.full(lanes * 32, 1024, np.int64)
         self.weight1 = np.full(lanes * 32, 1024, np.int64)
-        tree = np.ones(2 * _LEAVES, np.int64)
-        for node in range(_LEAVES - 1, 0, -1):
-            tree[node] = tree[2 * node] + tree[2 * node + 1]
-        self.tree = np.tile(tree.astype(np.int32), lanes)
-        self.root = self.lane * (2 * _LEAVES)
-        self.levels = np.arange(10)
+        # order-0 counts as running sums: before each group of 32 leaves, and inside each group
+        self.groups = np.tile(np.arange(0, _LEAVES + 1, 32, dtype=np.int32), (lanes, 1))
+        self.inside = np.tile(np.arange(33, dtype=np.int32), (lanes * 32, 1))
+        self.row = self.lane * 32
+        self.after = _STEP * (np.arange(33) > np.arange(32)[:, None]).astype(np.int32)  # what a hit adds
         self.total = _LEAVES
         self.before1 = np.zeros(lanes, np.int64)
         self.before2 = np.zeros(lanes, np.int64)
@@ -108,38 +107,37 @@ class _Mixer:
             keep = right | (sure > 1)
             sure = np.where(right, np.minimum(sure + 1, 3), np.where(keep, sure - 1, 1))
             table[slot] = (np.where(keep, named, x) << 2) | sure
-        path = ((leaf + _LEAVES)[:, None] >> self.levels) + self.root[:, None]
-        self.tree[path] += _STEP
+        group, place = leaf >> 5, leaf & 31
+        self.groups += self.after[group]
+        self.inside[self.row + group] += self.after[place]
         self.total += _STEP
         self.before2, self.before1 = self.before1, x
 
     def share0(self, x: np.ndarray, leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and size of the id's order-0 interval, in units of total * scale."""
-        path = (leaf + _LEAVES)[:, None] >> self.levels
-        left = np.where(path & 1, self.tree[(path ^ 1) + self.root[:, None]], 0).sum(axis=1)
-        unit = self.unit[leaf]
-        count = self.tree[self.root + leaf + _LEAVES].astype(np.int64)
-        return left * self.scale + (x - self.first[leaf]) * count * unit, count * unit
-
-    def find0(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The id whose order-0 interval holds the target, and its leaf."""
-        node, left = np.ones(len(target), np.int64), target // self.scale
-        inside = left
-        for _ in range(10):
-            node = node * 2
-            low = self.tree[self.root + node]
-            right = inside >= low
-            inside = inside - np.where(right, low, 0)
-            node += right
-        leaf = node - _LEAVES
-        count = self.tree[self.root + node].astype(np.int64)
-        offset = (target - (left - inside) * self.scale) // (count * self.unit[leaf])
-        return self.first[leaf] + offset, leaf
+        group, place = leaf >> 5, leaf & 31
+        row = self.row + group
+        start = self.inside[row, place].astype(np.int64)
+        size = (self.inside[row, place + 1] - start) * self.unit[leaf]
+        return (self.groups[self.lane, group] + start) * self.scale + (x - self.first[leaf]) * size, size
+
+    def find0(self, target: np.ndarray) -> np.ndarray:
+        """The id whose order-0 interval holds the target."""
+        left = target // self.scale
+        group = (self.groups[:, 1:] <= left[:, None]).sum(axis=1)
+        row, before = self.row + group, self.groups[self.lane, group]
+        place = (self.inside[row, 1:] <= (left - before)[:, None]).sum(axis=1)
+        leaf = group * 32 + place
+        start = before + self.inside[row, place].astype(np.int64)
+        size = (self.inside[row, place + 1] - self.inside[row, place]) * self.unit[leaf]
+        return self.first[leaf] + (target - start * self.scale) // size
 
 
 def encode_blocks(ids: np.ndarray, vocabulary: int) -> list[bytes]:
     """The payloads of the blocks of an id array."""
     n = len(ids)
+    if not n:
+        return []
     lanes = -(-n // BLOCK)
     x = np.zeros(lanes * BLOCK, np.int64)
     x[:n] = ids
@@ -188,9 +186,11 @@ def encode_blocks(ids: np.ndarray, vocabulary: int) -> list[bytes]:
 
 def decode_blocks(payloads: list[bytes], sizes: list[int], vocabulary: int) -> np.ndarray:
     """The ids of blocks, in order; a block's size is its number of ids."""
-    lanes, longest = len(payloads), max(sizes, default=0)
+    if not payloads:
+        return np.zeros(0, np.int32)
+    lanes, longest = len(payloads), max(sizes)
     mixer = _Mixer(lanes, vocabulary)
-    width = max(map(len, payloads), default=0) // 2 + 8
+    width = max(map(len, payloads)) // 2 + 8
     words = np.zeros((lanes, width), np.uint64)
     for k, p in enumerate(payloads):
         own = np.frombuffer(p, ">u2")
@@ -212,7 +212,7 @@ def decode_blocks(payloads: list[bytes], sizes: list[int], vocabulary: int) -> n
         after1 = after2 + mixer.w1 * whole0
         hit2 = target < after2
         hit1 = ~hit2 & (target < after1)
-        literal, leaf = mixer.find0(np.maximum(target - after1, 0) // mixer.w0)
+        literal = mixer.find0(np.maximum(target - after1, 0) // mixer.w0)
         own = np.where(hit2, mixer.id2, np.where(hit1, mixer.id1, literal)).astype(np.int64)
         own = np.minimum(own, len(mixer.leaf_of) - 1)  # a finished lane reads on past its block
         leaf = mixer.leaf_of[own]
@@ -234,7 +234,7 @@ def decode_blocks(payloads: list[bytes], sizes: list[int], vocabulary: int) -> n
             size[move] <<= _16
         mixer.learn(own, hit2, hit1, leaf)
         out[t] = own
-    return np.concatenate([out[:n, k] for k, n in enumerate(sizes)]) if lanes else np.zeros(0, np.int32)
+    return np.concatenate([out[:n, k] for k, n in enumerate(sizes)])
 
 
 def crc(ids: np.ndarray) -> int:

@@ -290,7 +290,7 @@ def test_store_reads_back_what_the_library_encodes(spark, odd_docs, no_docs):
 
     library = Tokenizer.from_file(token_store.default_tokenizer())
     library.encode_special_tokens = True
-    docs = odd_docs.select("doc_id", "text").union(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").limit(60))
+    docs = odd_docs.select("doc_id", "text").union(spark.read.parquet(f"{SF}/documents.parquet").select(F.col("doc_id") + 1000, "text").limit(60))
     rows = sorted(((r.doc_id, r.text) for r in docs.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
     files = token_store.written(token_store.store(docs), "test-tokens")
     got = sorted((r.start, r.doc_id, r.n_tokens, r.ids_crc32) for r in token_store.read_digest(files).collect())
