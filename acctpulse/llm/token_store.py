@@ -2,7 +2,7 @@
 
 Whole texts are encoded with a byte-level vocabulary, an end id is appended to
 each, and the ids of all documents in ascending doc_id order are cut into
-blocks of ``BLOCK`` ids.  A block starts from fresh models and carries a crc32,
+blocks of ``BLOCK`` ids, or fewer in a short segment.  A block starts from fresh models and carries a crc32,
 so any block can be decoded, checked and lost on its own.
 
 Coding an id mixes three predictions.  The order-2 and order-1 contexts (hashed
@@ -37,7 +37,9 @@ from pyspark.sql import Window as W
 from acctpulse.llm.common import written
 
 END_ID = 2
-BLOCK = 4096
+BLOCK = 4096  # most ids of a block
+LEAST_BLOCK = 512
+LANES = 512  # blocks that a segment has at least, if they keep LEAST_BLOCK ids
 SEGMENT = 1024 * BLOCK  # ids from which a segment ends
 MEMO_UNITS = 400_000
 
@@ -133,23 +135,30 @@ class _Mixer:
         return self.first[leaf] + (target - start * self.scale) // size
 
 
+def block_sizes(n: int) -> list[int]:
+    """How many ids the blocks of a segment of n ids have."""
+    size = min(BLOCK, max(LEAST_BLOCK, n // LANES))
+    return [min(size, n - i) for i in range(0, n, size)]
+
+
 def encode_blocks(ids: np.ndarray, vocabulary: int) -> list[bytes]:
     """The payloads of the blocks of an id array."""
     n = len(ids)
     if not n:
         return []
-    lanes = -(-n // BLOCK)
-    x = np.zeros(lanes * BLOCK, np.int64)
+    sizes = block_sizes(n)
+    lanes, block = len(sizes), sizes[0]
+    x = np.zeros(lanes * block, np.int64)
     x[:n] = ids
-    x = np.ascontiguousarray(x.reshape(lanes, BLOCK).T)
+    x = np.ascontiguousarray(x.reshape(lanes, block).T)
     mixer = _Mixer(lanes, vocabulary)
     leaves = mixer.leaf_of[x]
     low, size = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
-    out = np.zeros((lanes, BLOCK * 3 + 8), ">u2")
+    out = np.zeros((lanes, block * 3 + 8), ">u2")
     flat, used = out.reshape(-1), np.arange(lanes) * out.shape[1]
-    last = n - (lanes - 1) * BLOCK
+    last = sizes[-1]
     length = [0] * lanes
-    for t in range(BLOCK if lanes > 1 else last):
+    for t in range(block):
         own, leaf = x[t], leaves[t]
         mixer.weights()
         hit2 = own == mixer.id2
@@ -298,7 +307,7 @@ def store(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
 
     def segment(seq: int, doc_ids: list, parts: list[np.ndarray]) -> pa.RecordBatch:
         ids, vocabulary = np.concatenate(parts), _encoder(path).vocabulary
-        pieces = [ids[i : i + BLOCK] for i in range(0, len(ids), BLOCK)]
+        pieces = np.split(ids, np.cumsum(block_sizes(len(ids)))[:-1])
         blocks = [{"n": len(p), "crc": crc(p), "payload": b} for p, b in zip(pieces, encode_blocks(ids, vocabulary))]
         row = {"shard": TaskContext.get().partitionId(), "seq": seq, "vocabulary": vocabulary, "doc_ids": doc_ids, "counts": [len(p) for p in parts], "blocks": blocks}
         return pa.RecordBatch.from_pylist([row], schema)
@@ -327,8 +336,8 @@ def _segments(batches):
         for row in batch.to_pylist():
             sizes = [b["n"] for b in row["blocks"]]
             ids = decode_blocks([b["payload"] for b in row["blocks"]], sizes, row["vocabulary"])
-            for k, block in enumerate(row["blocks"]):
-                if crc(ids[k * BLOCK : k * BLOCK + block["n"]]) != block["crc"]:
+            for k, (end, block) in enumerate(zip(np.cumsum(sizes), row["blocks"])):
+                if crc(ids[end - block["n"] : end]) != block["crc"]:
                     raise ValueError(f"block {k} of segment {row['seq']} in shard {row['shard']} is damaged")
             yield row, ids
 
