@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from acctpulse.llm.common import written
+from acctpulse.llm.common import constant_rows, written
 
 START, END, BREAK, ROLE_BREAK = "<|im_start|>", "<|im_end|>", "\n", "<|br|>"
 MAX_DOUBLINGS = 48
@@ -112,7 +112,7 @@ def masked_text(formatted: Column, mask: Column) -> Column:
 
 
 def with_probe(conversations: DataFrame, spark: SparkSession) -> DataFrame:
-    probe = spark.createDataFrame(PROBE, "conv_id long, turn long, role string, text string")
+    probe = constant_rows(spark, PROBE, conv_id="long", turn="long", role="string", text="string")
     return conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text").unionByName(probe)
 
 

@@ -12,7 +12,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from acctpulse.session import cut_lineage
@@ -134,6 +135,12 @@ def list_column(parts: list[np.ndarray], dtype=np.int64) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat.view(dtype) if flat.dtype.itemsize == np.dtype(dtype).itemsize else flat.astype(dtype)))
 
 
+def constant_rows(spark: SparkSession, rows: list[tuple], **columns: str) -> DataFrame:
+    """A few fixed rows as a frame, made of literals; ``columns`` are names and types."""
+    made = [F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row, columns.items())]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*made)))
+
+
 def fresh(name: str, df: DataFrame) -> str:
     """``name``, lengthened until no column of ``df`` has it in any case."""
     taken = {c.lower() for c in df.columns}

@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from acctpulse.llm.common import constant_rows
 from acctpulse.llm.decontaminate import lower_ascii
 
 BITS_PER_KEY = 16
@@ -40,7 +41,7 @@ RULES = [
 
 
 def rule_table(spark: SparkSession, rules: list[tuple[str, str, str]] = RULES) -> DataFrame:
-    return spark.createDataFrame(rules, "rule_host string, rule_path string, verdict string")
+    return constant_rows(spark, rules, rule_host="string", rule_path="string", verdict="string")
 
 
 def host(url: Column) -> Column:
