@@ -16,6 +16,8 @@ from ..operators.mart import (MART_COLUMNS, account_base, exclude_shells, peer_b
 from ..session import cut_lineage
 from ..sources.raw import register_views, write_mart
 
+DIMENSIONS = ("account_id", "account_name", "division", "region", "segment", "country", "customer_since",
+              "csm_owner", "renewal_date", "days_to_renewal", "total_arr", "products_subscribed")
 PERIOD_METRICS = ("account_id", "last_submission_date", "recent_submissions", "prior_submissions",
                   "recent_mau", "prior_mau", "products_active_recent", "days_since_last_submission")
 GROWTH = ("account_id", "retained_users", "new_users", "resurrected_users", "churned_users", "user_churn_rate")
@@ -46,7 +48,7 @@ class Models(Mapping):
         if name == "submission_periods":
             return E.tag_periods(st.submissions, cfg)
         if name == "account_dimensions":
-            return E.account_dimensions(st.accounts, st.subscriptions, cfg)
+            return self.base.select(*DIMENSIONS)
         if name == "period_metrics":
             return with_history(self.base).select(*PERIOD_METRICS)
         if name == "user_growth_accounting":
