@@ -53,6 +53,7 @@ BLOCK_SETS = 2048
 BLOCK_SHINGLES = 2_000_000
 DENSE = 0.5  # mean similarity from which a large bucket is compared at once
 SKETCH = 16
+DENSE_SKETCH = 4
 AGREE = 5
 BROADCAST_IDS = 500_000
 SLICE = 4096
@@ -170,10 +171,11 @@ def _buckets(members: DataFrame, name: str) -> DataFrame:
 
 def _dense(large: DataFrame, low: DataFrame) -> DataFrame:
     """Paths of the large buckets whose members' mean similarity is DENSE or more:
-    the chance that two members agree in a minhash, averaged over minhashes."""
-    values = large.join(low, "k").select("path", "size", F.posexplode("low").alias("j", "v"))
+    the chance that two members agree in a minhash, over all members and averaged
+    over DENSE_SKETCH minhashes (it only decides how a bucket is compared)."""
+    values = large.join(low, "k").select("path", "size", F.posexplode(F.slice("low", 1, DENSE_SKETCH)).alias("j", "v"))
     counts = values.groupBy("path", "size", "j", "v").agg(F.count(F.lit(1)).alias("c"))
-    return counts.groupBy("path", "size").agg(F.sum(F.col("c") * F.col("c")).alias("s")).filter(F.col("s") / (F.col("size") * F.col("size") * SKETCH) >= DENSE).select("path")
+    return counts.groupBy("path", "size").agg(F.sum(F.col("c") * F.col("c")).alias("s")).filter(F.col("s") / (F.col("size") * F.col("size") * DENSE_SKETCH) >= DENSE).select("path")
 
 
 def _shared(rows_a: list[np.ndarray], rows_b: list[np.ndarray] | None) -> np.ndarray:
