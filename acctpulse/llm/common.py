@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from acctpulse.session import cut_lineage
 
 SHINGLE_WORDS = 5
-CHUNK_BYTES = 4 << 20  # text hashed at once; one longer text is still hashed whole
+CHUNK_BYTES = 2 << 20  # text hashed at once; one longer text is still hashed whole
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
