@@ -7,9 +7,11 @@ block shares its container with the one before it.  The model is trained by
 gradient ascent on the likelihood of labelled pages (``html_training``) and the
 best labelling of each page is decoded by Viterbi.
 
-Comments, scripts, styles, templates and the like never give text.  Character
-references are decoded; white space inside a block becomes one space; blocks
-are joined in page order by a line break.
+Comments, scripts, styles, templates and the like never give text.  A self-closed
+svg is empty; after the other names the slash counts for nothing, as in HTML, and
+an element whose name only begins like theirs is read as any other.  Character
+references are decoded; white space inside a block becomes one space; blocks are
+joined in page order by a line break.
 
 Defined results: a null or empty html, or a page without article blocks, gives
 an empty text; a null page_id or url is kept; repeated rows are read alike; an
@@ -30,9 +32,13 @@ from acctpulse.llm.common import append_columns
 from acctpulse.llm.html_training import labelled_pages
 
 _SKIPPED = "script|style|noscript|template|svg|iframe|object|textarea"
+# A quote opens a value only after "="; elsewhere it is stray and the tag ends at the next ">".  A last "/" is left over.
+_ATTRIBUTES = (
+    r"(?:[^>=\"'/]++|=\s*+(?:\"[^\"]*\"|'[^']*'|(?:[^\s>/\"']|/(?!\s*>))(?:[^\s>/]|/(?!\s*>))*+)|[=\"']|/(?!\s*>))*+")
 _TAG = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_SKIPPED})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
+    rf"<!--.*?(?:-->|\Z)|<svg(?=[\s/>]){_ATTRIBUTES}/\s*>"
+    rf"|<({_SKIPPED})(?=[\s/>]){_ATTRIBUTES}/?\s*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)|<[!?][^>]*(?:>|\Z)"
+    rf"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)({_ATTRIBUTES}/?)\s*>", re.S | re.I)
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())

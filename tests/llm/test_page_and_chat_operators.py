@@ -170,3 +170,15 @@ def test_html_edge_cases(spark):
     assert text == "A&B é! &am x\nSecond one, here."
     assert [r[3] for r in rows if r[0] == 5] == [5000 * 21 + 4999 * 1] * 2 or all(r[2].count("\n") == 4999 for r in rows if r[0] == 5)
     assert html_extract.report(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("cut", [
+    '<svg class="i"/>', "<svg class=i />", '<svg a="/>"><text>no</text></svg>', "<template-x>kept</template-x>", "<style-guide>kept</style-guide>", "<object-x a='>'>kept</object-x>",
+    '<p class="a"">kept</p>', "<p it's>kept</p>", '<img alt=5"><span>kept</span>', '<script src="a"">no("<p>")</script>', '<script src="a"/>no()</script>', "<style>no</style x>",
+])
+def test_text_after_a_skipped_or_odd_tag(cut):
+    texts = [b.text for b in html_extract.blocks(f'<article><p>one</p>{cut}<p>two, "three".</p><p class="b">four\'s</p></article>')]
+    assert texts == ["one", *["kept"] * ("kept" in cut), 'two, "three".', "four's"]
+    page = "<html><body><nav><a href='/'>Home</a></nav><article>%s<p>A first sentence, of some words.</p>%s<p>A second sentence, of some more words.</p></article></body></html>"
+    whole, = html_extract.main_texts(html_extract.trained(), [page % ("", cut)])
+    assert "A first sentence, of some words." in whole and whole.endswith("A second sentence, of some more words.")
