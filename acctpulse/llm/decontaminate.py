@@ -13,8 +13,9 @@ within a span of ``slack`` extra words, in any order, found from the same index.
 
 Words are the maximal runs of ASCII letters, digits and non-ASCII characters,
 with A-Z lower-cased.  Defined results: null texts and texts without words have
-no words and no windows; items with the same window all count; a null item_id
-is not listed; rows with a null doc_id, and rows that repeat a doc_id, are each
+no words and no windows; items with the same window all count; the windows of an
+item with a null item_id are searched like any other (n_hit, contaminated), but
+n_items and items_sha256 have no id to count or list; rows with a null doc_id, and rows that repeat a doc_id, are each
 judged by their own text; empty tables give no hits."""
 
 from __future__ import annotations
@@ -53,8 +54,8 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
 
 
 def test_windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
-    """(terms, item_ids): each distinct window and its sorted items."""
-    item = benchmark.select("item_id", F.filter(words(F.col("text")), lambda w: w != "").alias("w")).filter("item_id is not null and size(w) > 0")
+    """(terms, item_ids): each distinct window and its items (without null ids, so perhaps none)."""
+    item = benchmark.select("item_id", F.filter(words(F.col("text")), lambda w: w != "").alias("w")).filter("size(w) > 0")
     starts = F.sequence(F.lit(1), F.greatest(F.size("w") - size + 1, F.lit(1)))
     each = item.select("item_id", F.explode(F.transform(starts, lambda i: F.slice("w", i, size))).alias("terms"))
     return each.groupBy("terms").agg(F.collect_set(F.col("item_id").cast("string")).alias("item_ids"))
@@ -129,7 +130,7 @@ def report(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFra
     before = F.max("end").over(W.partitionBy(row).orderBy("start").rowsBetween(W.unboundedPreceding, -1))
     added = span.select(row, "start", "end", F.greatest(F.coalesce(before, F.lit(0)), "start").alias("from"))
     hit = added.groupBy(row).agg(F.sum(F.greatest(F.col("end") - F.col("from"), F.lit(0))).alias("n_hit"))
-    found = hit.join(items, row)
+    found = hit.join(items, row, "left")
     counted = docs.select("doc_id", *([row] if row != "doc_id" else []), n_words(words(F.col("text"))).alias("n_words"))
     out = counted.join(found, row, "left")
     none = F.array().cast("array<string>")

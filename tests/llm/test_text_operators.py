@@ -257,6 +257,15 @@ def test_decontamination_edge_cases(spark, odd_docs, no_docs):
     assert not any(r.contaminated for r in decontaminate.report(odd_docs, bench.limit(0)).collect())
 
 
+def test_items_without_an_id_are_searched(spark):
+    own, other = passage(11, 14), passage(12, 14)
+    docs = spark.createDataFrame([(1, f"x {own} y"), (2, f"{other} {own}"), (3, "nothing here")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, own), (None, own), (5, other)], "item_id long, text string")
+    rows = sorted(tuple(r)[:4] + (r.contaminated,) for r in decontaminate.report(docs, bench).collect())
+    assert rows == [(1, 16, 14, 0, True), (2, 28, 28, 1, True), (3, 2, 0, 0, False)]
+    assert [r.doc_id for r in decontaminate.keep_clean(docs, bench).collect()] == [3]
+
+
 def test_proximity_finds_reordered_terms(spark):
     w = passage(3, 10).split()
     near = " ".join(w[::-1][:5] + ["gap", "gap"] + w[::-1][5:])
