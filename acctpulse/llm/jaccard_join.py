@@ -39,10 +39,10 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acctpulse.llm.common import list_column, mix, shingle_sets, text_chunks, written
+from acctpulse.llm.common import fresh, list_column, mix, shingle_sets, text_chunks, written
 
 THRESHOLD = 0.8
 TARGET_RECALL = 0.995
@@ -82,8 +82,13 @@ def _signed(column: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(column).view(np.int64))
 
 
+def row_key() -> Column:
+    """64 bits of id and text: tells rows that repeat a doc_id apart."""
+    return F.xxhash64(F.col("doc_id").cast("long"), "text")
+
+
 def sketches(docs: DataFrame, threshold: float, runs: int) -> DataFrame:
-    """doc_id, class key k, set size n, the first level's paths of all runs, and minhashes."""
+    """doc_id, row key, class key k, set size n, the first level's paths of all runs, and minhashes."""
     seeds, hash_seeds = _seeds(runs, 1), _seeds(SKETCH, 2)
 
     def run(batches):
@@ -112,10 +117,10 @@ def sketches(docs: DataFrame, threshold: float, runs: int) -> DataFrame:
                         low[full, j] = (np.minimum.reduceat(mix(flat ^ seed), start[full]) >> np.uint64(32)).astype(np.int64)
                 keys = [int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(sets)), pa.array(keys, pa.int64()), pa.array(size, pa.int64()), list_column(paths), list_column(list(low))],
-                    names=["doc_id", "k", "n", "paths", "low"])
+                    [batch.column(0).slice(first, len(sets)), batch.column(2).slice(first, len(sets)), pa.array(keys, pa.int64()), pa.array(size, pa.int64()), list_column(paths), list_column(list(low))],
+                    names=["doc_id", "row", "k", "n", "paths", "low"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, k long, n long, paths array<long>, low array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row_key().alias("row")).mapInArrow(run, "doc_id long, row long, k long, n long, paths array<long>, low array<long>")
 
 
 def _sets(texts: DataFrame) -> DataFrame:
@@ -353,10 +358,17 @@ def connected(edges: DataFrame) -> DataFrame:
 
 def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_RECALL, leaf: int = LEAF) -> DataFrame:
     """doc_id, class_id and n_links of every document."""
+    return grouped(docs, threshold, recall, leaf).select("doc_id", "class_id", "n_links")
+
+
+def grouped(docs: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_RECALL, leaf: int = LEAF) -> DataFrame:
+    """doc_id, row key, root (the key of the connected group; null for a text
+    without words), class_id and n_links of every document."""
     marks = written(sketches(docs, threshold, runs_needed(recall)), "sketches")
     named = marks.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0))
-    classes = written(named.groupBy("k").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("w")), "classes")
-    reps = marks.join(classes.select("k", F.col("rep").alias("doc_id")), ["k", "doc_id"]).dropDuplicates(["k"])
+    # a class is read from one of its rows; two rows with one key are told apart by their sets
+    classes = written(named.groupBy("k").agg(F.min("doc_id").alias("rep"), F.min("row").alias("row"), F.count(F.lit(1)).alias("w")), "classes")
+    reps = marks.join(classes.select("k", "row"), ["k", "row"]).dropDuplicates(["k"])
 
     low = reps.select("k", "low")
     level = _buckets(reps.select(F.explode(F.array_distinct("paths")).alias("path"), "k"), "level1")
@@ -365,8 +377,8 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_R
 
     # the sets of the classes that are still in some bucket
     open_ = small.select("k").union(large.select("k")).distinct()
-    alive = written(classes.join(open_, "k", "left_semi").select("k", F.col("rep").alias("doc_id")), "alive")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(alive) if alive.count() <= BROADCAST_IDS else alive, "doc_id")
+    alive = written(classes.join(open_, "k", "left_semi").select("k", "row"), "alive")
+    texts = docs.select(row_key().alias("row"), "text").join(F.broadcast(alive) if alive.count() <= BROADCAST_IDS else alive, "row")
     sets = _sets(texts.select("k", "text"))
     sets = written(sets.dropDuplicates(["k"]) if _repeats(named) else sets, "sets")
 
@@ -407,20 +419,24 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_R
     known = classes.join(links, "k", "left").join(root, "k", "left").select("k", "rep", "w", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "k").alias("root"))
     known = written(known, "known")
     least = known.groupBy("root").agg(F.min("rep").alias("class_id"))
-    final = known.join(least, "root").select("k", "class_id", (F.col("links") + F.col("w") - 1).alias("n_links"))
-    joined = named.select("doc_id", "k").join(final, "k").select("doc_id", "class_id", "n_links")
-    alone = marks.filter(F.col("doc_id").isNull() | (F.col("n") == 0)).select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    final = known.join(least, "root").select("k", "root", "class_id", (F.col("links") + F.col("w") - 1).alias("n_links"))
+    joined = named.select("doc_id", "row", "k").join(final, "k").select("doc_id", "row", "root", "class_id", "n_links")
+    alone = marks.filter(F.col("doc_id").isNull() | (F.col("n") == 0)).select("doc_id", "row", F.lit(None).cast("long").alias("root"), F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
     return joined.union(alone)
 
 
 def _repeats(named: DataFrame) -> bool:
-    """Whether a doc_id has several rows, so that a class could be read twice."""
-    return not named.groupBy("doc_id").count().filter("count > 1").isEmpty()
+    """Whether a row key has several rows, so that a class could be read twice."""
+    return not named.groupBy("row").count().filter("count > 1").isEmpty()
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The documents without those whose group has a smaller doc_id; rows with a
-    null doc_id, and all rows of a doc_id that stays, stay."""
-    classes = join(docs.select("doc_id", "text"))
-    drop = classes.filter("doc_id != class_id").select("doc_id").distinct()
-    return docs.join(drop, docs["doc_id"] == drop["doc_id"], "left_anti")
+    """Of each group, the row with the smallest doc_id stays (of several texts under
+    that doc_id, the one with the smallest row key).  Rows with one doc_id and one
+    text are one document: they stay or go together.  Rows with a null doc_id stay."""
+    row = fresh("row_key", docs)
+    groups = written(grouped(docs.select("doc_id", "text")).filter("root is not null").select("doc_id", "row", "root", "class_id"), "groups")
+    first = groups.filter("doc_id = class_id").groupBy("root").agg(F.min("row").alias("first"))
+    drop = groups.join(first, "root").filter("doc_id != class_id or row != first").select(F.col("doc_id").alias("drop_id"), F.col("row").alias("drop_row")).distinct()
+    keyed = docs.withColumn(row, row_key())
+    return keyed.join(drop, (keyed[row] == drop["drop_row"]) & (keyed["doc_id"].cast("long") == drop["drop_id"]), "left_anti").select(*docs.columns)

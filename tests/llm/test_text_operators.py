@@ -223,6 +223,18 @@ def test_join_edge_cases(odd_docs, no_docs):
     assert jaccard_join.join(no_docs).count() == 0
 
 
+def test_one_row_of_each_group_stays(spark):
+    a, b, c, d = (passage(20 + i, 60) for i in range(4))
+    rows = [(3, b), (7, a), (7, b.upper()), (8, c), (9, c + " end"), (8, d), (2, d), (7, c), (11, "x"), (11, "x"), (12, "X")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    # a has no copy; of c under 7, 8 and 9 the first stays, though 7 and 8 have copies of smaller ids elsewhere
+    want = [(2, d), (3, b), (7, a), (7, c), (11, "x"), (11, "x")]
+    assert sorted(tuple(r) for r in jaccard_join.keep_first(df).collect()) == sorted(want)
+    assert joined(df) == plain_join(rows)
+    two = spark.createDataFrame([(5, b), (5, b.upper()), (6, b)], "doc_id long, text string")
+    assert [r.doc_id for r in jaccard_join.keep_first(two).collect()] == [5]
+
+
 # -- op10 decontamination
 
 
