@@ -26,8 +26,8 @@ pairs.  A pair that meets in several buckets is counted in the first one only.
 Result per document: doc_id, class_id (the smallest doc_id of its connected
 group) and n_links (other documents at or above the threshold, exact copies
 included).  Defined results: a text without words links to nothing; rows with a
-null doc_id have no links and class_id null; rows that repeat a doc_id each
-count as a document; an empty table gives no rows.
+null doc_id are joined and counted like any other, and class_id is null if no row
+of the group has an id; rows that repeat a doc_id each count as a document; an empty table gives no rows.
 
 Class keys are 64 bits of a set's digest: expected false merges stay below one
 up to about 6e9 distinct texts."""
@@ -365,7 +365,7 @@ def grouped(docs: DataFrame, threshold: float = THRESHOLD, recall: float = TARGE
     """doc_id, row key, root (the key of the connected group; null for a text
     without words), class_id and n_links of every document."""
     marks = written(sketches(docs, threshold, runs_needed(recall)), "sketches")
-    named = marks.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0))
+    named = marks.filter("n > 0")
     # a class is read from one of its rows; two rows with one key are told apart by their sets
     classes = written(named.groupBy("k").agg(F.min("doc_id").alias("rep"), F.min("row").alias("row"), F.count(F.lit(1)).alias("w")), "classes")
     reps = marks.join(classes.select("k", "row"), ["k", "row"]).dropDuplicates(["k"])
@@ -421,7 +421,7 @@ def grouped(docs: DataFrame, threshold: float = THRESHOLD, recall: float = TARGE
     least = known.groupBy("root").agg(F.min("rep").alias("class_id"))
     final = known.join(least, "root").select("k", "root", "class_id", (F.col("links") + F.col("w") - 1).alias("n_links"))
     joined = named.select("doc_id", "row", "k").join(final, "k").select("doc_id", "row", "root", "class_id", "n_links")
-    alone = marks.filter(F.col("doc_id").isNull() | (F.col("n") == 0)).select("doc_id", "row", F.lit(None).cast("long").alias("root"), F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    alone = marks.filter("n = 0").select("doc_id", "row", F.lit(None).cast("long").alias("root"), F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
     return joined.union(alone)
 
 
@@ -432,11 +432,17 @@ def _repeats(named: DataFrame) -> bool:
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """Of each group, the row with the smallest doc_id stays (of several texts under
-    that doc_id, the one with the smallest row key).  Rows with one doc_id and one
-    text are one document: they stay or go together.  Rows with a null doc_id stay."""
+    that doc_id, the one with the smallest row key; null ids come last).  Rows with
+    one doc_id and one text are one document: they stay or go together.  Of equal
+    texts without an id, one stays."""
     row = fresh("row_key", docs)
     groups = written(grouped(docs.select("doc_id", "text")).filter("root is not null").select("doc_id", "row", "root", "class_id"), "groups")
-    first = groups.filter("doc_id = class_id").groupBy("root").agg(F.min("row").alias("first"))
-    drop = groups.join(first, "root").filter("doc_id != class_id or row != first").select(F.col("doc_id").alias("drop_id"), F.col("row").alias("drop_row")).distinct()
+    first = groups.filter("doc_id <=> class_id").groupBy("root").agg(F.min("row").alias("first"))
+    drop = groups.join(first, "root").filter("not doc_id <=> class_id or row != first").select(F.col("doc_id").alias("drop_id"), F.col("row").alias("drop_row")).distinct()
     keyed = docs.withColumn(row, row_key())
-    return keyed.join(drop, (keyed[row] == drop["drop_row"]) & (keyed["doc_id"].cast("long") == drop["drop_id"]), "left_anti").select(*docs.columns)
+    kept = keyed.join(drop, (keyed[row] == drop["drop_row"]) & keyed["doc_id"].cast("long").eqNullSafe(drop["drop_id"]), "left_anti")
+    again = groups.filter("doc_id is null").groupBy("row").count().filter("count > 1").select(F.col("row").alias("again"))
+    if not again.isEmpty():
+        same = (kept[row] == again["again"]) & kept["doc_id"].cast("long").isNull()
+        kept = kept.join(again, same, "left_anti").union(kept.join(again, same, "left_semi").dropDuplicates([row]))
+    return kept.select(*docs.columns)

@@ -235,6 +235,17 @@ def test_one_row_of_each_group_stays(spark):
     assert [r.doc_id for r in jaccard_join.keep_first(two).collect()] == [5]
 
 
+def test_rows_without_an_id_are_joined(spark):
+    a, b, c = (passage(30 + i, 60) for i in range(3))
+    rows = [(None, a), (4, a), (None, b), (None, b), (None, b.upper()), (None, c), (None, None), (None, ""), (5, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter(tuple(r) for r in jaccard_join.join(df).collect())
+    assert got == Counter([(None, 4, 1), (4, 4, 1), *[(None, None, 2)] * 3, *[(None, None, 0)] * 3, (5, 5, 0)])
+    kept = [tuple(r) for r in jaccard_join.keep_first(df).collect()]
+    left = Counter((i, (t or "").lower()) for i, t in kept)
+    assert left == Counter([(4, a), (None, b), (None, c), (None, ""), (None, ""), (5, "")])
+
+
 # -- op10 decontamination
 
 
