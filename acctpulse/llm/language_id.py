@@ -171,8 +171,9 @@ def identify(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
-def keep_known(docs: DataFrame, min_score: float = 0.4) -> DataFrame:
-    """The documents whose language is known with ``min_score``, with their own columns."""
+def keep_known(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
+    """The documents whose language is known, with their own columns.  A ``min_score``
+    above 0 also drops clean texts in several languages: the score is a mean over windows."""
     lang, score = fresh("lang_pred", docs), fresh("lang_score", docs)
     out = with_language(docs, fit(docs), lang, score)
     return out.filter((F.col(lang) != NONE) & (F.col(score) >= min_score)).select(*docs.columns)

@@ -103,6 +103,16 @@ def test_language_edge_cases(odd_docs, no_docs):
     assert {r.lang_pred for r in language_id.identify(unlabelled).collect()} == {"und"}
 
 
+def test_documents_in_several_languages_stay(spark):
+    speech = {"a": "bab dab gab ", "b": "lil nil sil ", "c": "tut put kut "}
+    rows = [(3 * i + j, t * 40, name) for i in range(40) for j, (name, t) in enumerate(speech.items())]
+    rows += [(900, "".join(t * 200 for t in speech.values()), None), (901, "12 34", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    score = {r.doc_id: r.score for r in language_id.identify(df).collect()}
+    assert 0.3 < score[900] < 0.4
+    assert {r.doc_id for r in language_id.keep_known(df).collect()} == {r[0] for r in rows} - {901}
+
+
 # -- op3 SentencePiece
 
 
