@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from acctpulse.llm import chat_format, decontaminate, html_extract, jaccard_join, language_id, license_scan, piece_codec, quality_rules, token_store, url_filter
+from acctpulse.llm import (
+    chat_format, decontaminate, hard_negatives, html_extract, jaccard_join, language_id, license_scan,
+    piece_codec, quality_rules, spelling_variants, token_counts, token_store, url_filter,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,9 +56,22 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count(_table(spark, sf_dir, "documents"))
+
+
 OPERATORS = (
     op1_url_filter, op2_token_store, op3_sentencepiece, op4_language_id, op5_html_extraction,
     op6_quality_rules, op7_license_scan, op8_jaccard_join, op9_chat_format, op10_decontamination,
+    op11_hard_negatives, op12_spelling_variants, op13_token_counts,
 )
 
 
@@ -64,4 +80,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": url_filter.SQL, "op9_chat_format": chat_format.SQL, "op10_decontamination": decontaminate.REPORT_SQL}
+    return {"op1_url_filter": url_filter.SQL, "op9_chat_format": chat_format.SQL, "op10_decontamination": decontaminate.REPORT_SQL, "op11_hard_negatives": hard_negatives.SQL}
