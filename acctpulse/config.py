@@ -87,13 +87,16 @@ class ScoreConfig:
     unknown_region: str = UNKNOWN_REGION
 
     # accepted values used by the data-quality checks; the product catalogue
-    # is the deployment's own list (empty: the product check is not run)
+    # is the deployment's own list (empty: ``quality.catalog`` raises)
     divisions: tuple = DIVISIONS
     regions: tuple = REGIONS
     products: tuple = ()
 
     # execution knobs (not semantics)
     broadcast_max_rows: int = 2_000_000
+    # "filter": only possible repeats are shuffled (one more pass over the ids);
+    # "window": every event is shuffled on its id, cheaper on small tables
+    dedup: str = "filter"
     peer_group_cols: tuple = field(default=("division", "segment"))
 
     def with_windows(self, as_of, recent, prior) -> "ScoreConfig":
@@ -130,8 +133,18 @@ FIXTURE_CONFIG = replace(
     prior_end=date(2000, 6, 30),
     products=FIXTURE_PRODUCTS,
     regions=FIXTURE_REGIONS,
+    dedup="window",
 )
 # Second window set over the same tables: two calendar quarters.
 FIXTURE_QUARTERS_CONFIG = FIXTURE_CONFIG.with_windows(
     date(2001, 6, 30), (date(2001, 4, 1), date(2001, 6, 30)), (date(2001, 1, 1), date(2001, 3, 31))
 )
+# Overlapping windows over the same tables, for the window report.
+FIXTURE_WINDOWS = (
+    ("last_30_days", date(2001, 6, 1), date(2001, 6, 30)),
+    ("last_quarter", date(2001, 4, 1), date(2001, 6, 30)),
+    ("last_half_year", date(2001, 1, 1), date(2001, 6, 30)),
+    ("last_year", date(2000, 7, 1), date(2001, 6, 30)),
+    ("year_2000", date(2000, 1, 1), date(2000, 12, 31)),
+    ("all_before_2000", date(1970, 1, 1), date(1999, 12, 31)),
+)

@@ -8,7 +8,7 @@ scores, composite, tier, peer percentile, statuses -> shell filter.
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ from ..config import DEFAULT_CONFIG, ScoreConfig
 from ..functions import scores as S
 from ..session import broadcast_if_bounded, cut_lineage
 from .benchmarks import MEDIAN_COL, segment_benchmarks
+from .activity_state import activity_state, engagement_from_state
 from .engagement import account_dimensions, engagement_summary, plain_engagement
 from .percentile import peer_percentile
 from .staging import stage_accounts, stage_submissions, stage_subscriptions
@@ -78,11 +79,13 @@ def stage_all(raw: dict[str, DataFrame], cfg: ScoreConfig = DEFAULT_CONFIG) -> S
 
 
 def account_base(staged: Staged, cfg: ScoreConfig = DEFAULT_CONFIG, engagement: str = "fused",
-                 materialize: bool = True) -> DataFrame:
-    """Every account with its dimensions and engagement counts (0 when none)."""
+                 materialize: bool = True, state: DataFrame | None = None) -> DataFrame:
+    """Every account with its dimensions and engagement counts (0 when none), from
+    the staged events or from an activity state of them."""
     dims = account_dimensions(staged.accounts, staged.subscriptions, cfg)
     build = engagement_summary if engagement == "fused" else plain_engagement
-    eng = build(staged.submissions, cfg).withColumn("_has_events", F.lit(True))
+    eng = build(staged.submissions, cfg) if state is None else engagement_from_state(state, cfg)
+    eng = eng.withColumn("_has_events", F.lit(True))
     base = dims.join(eng, "account_id", "left").select(
         *[F.col(c) for c in dims.columns if c != "account_id"], "account_id",
         "last_submission_date", "days_since_last_submission",
@@ -182,3 +185,17 @@ def score_accounts(raw: dict[str, DataFrame], cfg: ScoreConfig = DEFAULT_CONFIG,
     if ordered:
         mart = mart.orderBy("composite_health_score", "peer_percentile_rank")
     return mart
+
+
+def score_window_sets(raw: dict[str, DataFrame], configs: dict[str, ScoreConfig], state: DataFrame | None = None) -> DataFrame:
+    """The marts of several window sets (``window_set`` names them), all from one
+    activity state: the events are read once, or not at all if their state is given."""
+    marts = []
+    for name, cfg in configs.items():
+        staged = stage_all(raw, cfg)
+        if state is None:
+            state = cut_lineage(activity_state(staged.submissions), "activity_state")
+        base = account_base(staged, cfg, state=state)
+        scored = score_base(base, cfg, staged.n_peer_groups, n_accounts=staged.n_accounts)
+        marts.append(exclude_shells(scored).select(F.lit(name).alias("window_set"), *MART_COLUMNS))
+    return reduce(DataFrame.unionByName, marts)

@@ -1,7 +1,10 @@
 """Data-quality checks (Q1-Q9).  Every check returns the failing rows as a
 DataFrame; empty means pass.  ``run_checks`` turns a list of checks into one
-summary frame (check, model, column_name, failures) with one aggregate pass
-per checked table for the null checks."""
+summary frame (check, model, column_name, failures) with at most two passes over
+a checked table: one aggregate for all that is said of its columns (nulls,
+accepted values, assertions) and one for its keys (uniqueness, parents).
+``column_metrics`` gives the columns' figures as plain aggregates, to be observed
+while the table is computed for something else."""
 
 from __future__ import annotations
 
@@ -42,7 +45,7 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, parent_colum
 # ----------------------------------------------------------- mart assertions
 def no_negative_arr(mart: DataFrame) -> DataFrame:
     """Q5."""
-    return mart.filter(F.col("total_arr") < 0).select("account_id", "total_arr")
+    return mart.filter(VIOLATIONS["no_negative_arr"]()).select("account_id", "total_arr")
 
 
 SCORE_COLUMNS = ("composite_health_score", "submission_trend_score", "mau_trend_score", "recency_score",
@@ -51,32 +54,39 @@ SCORE_COLUMNS = ("composite_health_score", "submission_trend_score", "mau_trend_
 
 def score_range(mart: DataFrame) -> DataFrame:
     """Q6: any score outside 0..100."""
-    bad = None
-    for c in SCORE_COLUMNS:
-        cond = (F.col(c) < 0) | (F.col(c) > 100)
-        bad = cond if bad is None else bad | cond
-    return mart.filter(bad).select("account_id", *SCORE_COLUMNS)
+    return mart.filter(VIOLATIONS["score_range"]()).select("account_id", *SCORE_COLUMNS)
 
 
 def percentile_range(mart: DataFrame) -> DataFrame:
     """Q7."""
-    return (mart.filter((F.col("peer_percentile_rank") < 0) | (F.col("peer_percentile_rank") > 100))
+    return (mart.filter(VIOLATIONS["percentile_range"]())
             .select("account_id", "peer_percentile_rank", "division", "segment"))
 
 
 def urgent_is_critical(mart: DataFrame) -> DataFrame:
     """Q8: Urgent accounts must be Critical."""
-    return (mart.filter((F.col("renewal_urgency") == "Urgent") & (F.col("health_tier") != "Critical"))
+    return (mart.filter(VIOLATIONS["urgent_is_critical"]())
             .select("account_id", "health_tier", "renewal_urgency", "composite_health_score", "days_to_renewal"))
 
 
 def growth_identity(mart: DataFrame) -> DataFrame:
     """Q9: recent active users = retained + new + resurrected."""
-    total = F.col("retained_users") + F.col("new_users") + F.col("resurrected_users")
-    return (mart.filter(F.col("recent_mau") != total)
+    return (mart.filter(VIOLATIONS["growth_identity"]())
             .select("account_id", "recent_mau", "retained_users", "new_users", "resurrected_users"))
 
 
+def _outside(column: str):
+    return (F.col(column) < 0) | (F.col(column) > 100)
+
+
+# the rows that break an assertion; built on call, when a session exists
+VIOLATIONS = {
+    "no_negative_arr": lambda: F.col("total_arr") < 0,
+    "score_range": lambda: reduce(lambda a, b: a | b, [_outside(c) for c in SCORE_COLUMNS]),
+    "percentile_range": lambda: _outside("peer_percentile_rank"),
+    "urgent_is_critical": lambda: (F.col("renewal_urgency") == "Urgent") & (F.col("health_tier") != "Critical"),
+    "growth_identity": lambda: F.col("recent_mau") != F.col("retained_users") + F.col("new_users") + F.col("resurrected_users"),
+}
 ASSERTIONS = {
     "no_negative_arr": no_negative_arr,
     "score_range": score_range,
@@ -141,44 +151,71 @@ def raw_catalog(cfg: ScoreConfig) -> list[Check]:
     return [replace(c, model=raw[c.model]) for c in catalog(cfg) if c.model in raw]
 
 
-def _summary_row(check: Check, failures) -> DataFrame:
-    return failures.agg(F.count(F.lit(1)).alias("failures")).select(
-        F.lit(check.kind).alias("check_name"), F.lit(check.model).alias("model"),
-        F.lit(check.column).alias("column_name"), "failures")
+COLUMN_KINDS = ("not_null", "accepted_values", "assertion")
+
+
+def _fails(check: Check):
+    """Whether a row breaks a check of its columns."""
+    if check.kind == "not_null":
+        return F.col(check.column).isNull()
+    if check.kind == "assertion":
+        return VIOLATIONS[check.column]()
+    return F.col(check.column).isNotNull() & ~F.col(check.column).isin(*check.values)
+
+
+def column_metrics(checks: list[Check]) -> dict[Check, F.Column]:
+    """The number of rows that break each check of columns, as an aggregate."""
+    return {c: F.count_if(_fails(c)) for c in checks if c.kind in COLUMN_KINDS}
+
+
+def _rows(figures: DataFrame, checks: list[Check]) -> DataFrame:
+    """One summary row a check from a row with their figures in columns f0, f1, ..."""
+    rows = [F.struct(F.lit(c.kind).alias("check_name"), F.lit(c.model).alias("model"), F.lit(c.column).alias("column_name"),
+                     F.coalesce(F.col(f"f{i}"), F.lit(0)).cast("bigint").alias("failures")) for i, c in enumerate(checks)]
+    return figures.select(F.inline(F.array(*rows)))
+
+
+def _column_pass(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """One pass: null and assertion failures are counted per combination of the
+    columns with accepted values; the failing values are then counted among the
+    combinations (a failure of accepted values is one value, however many rows)."""
+    listed = sorted({c.column for c in checks if c.kind == "accepted_values"})
+    sums = {c: F.count_if(_fails(c)) for c in checks if c.kind != "accepted_values"}
+    if not listed:
+        return _rows(df.agg(*[sums[c].alias(f"f{i}") for i, c in enumerate(checks)]), checks)
+    combined = df.groupBy(*listed).agg(F.count(F.lit(1)).alias("_n"), *[sums[c].alias(f"_s{i}") for i, c in enumerate(checks) if c in sums])
+    return _rows(combined.agg(*[
+        (F.sum(f"_s{i}") if c in sums else F.count_distinct(F.when(_fails(c), F.col(c.column)))).alias(f"f{i}")
+        for i, c in enumerate(checks)]), checks)
 
 
-def _orphan_count(child: DataFrame, column: str, parent: DataFrame) -> DataFrame:
-    """How many rows have a key without a parent: rows are counted per key first,
-    so only one row per key and task is shuffled."""
-    keys = child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    orphans = keys.join(parent.select(F.col("account_id").alias(column)), column, "left_anti")
-    return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures"))
+def _key_pass(df: DataFrame, checks: list[Check], models: Mapping[str, DataFrame]) -> DataFrame:
+    """One pass: rows are counted per key and check, which combines them before
+    the shuffle; a parent's keys meet the counts where they lie."""
+    keys = [F.struct(F.lit(i).alias("i"), F.col(c.column).cast("string").alias("key")) for i, c in enumerate(checks)]
+    counts = (df.select(F.explode(F.array(*keys)).alias("k")).filter(F.col("k.key").isNotNull())
+              .groupBy(F.col("k.i").alias("i"), F.col("k.key").alias("key")).agg(F.count(F.lit(1)).alias("n")))
+    parents = [models[c.parent].select(F.lit(i).alias("i"), F.col("account_id").cast("string").alias("key"))
+               for i, c in enumerate(checks) if c.kind == "relationships"]
+    if parents:
+        known = reduce(DataFrame.unionByName, parents).distinct().withColumn("known", F.lit(True))
+        counts = counts.join(known, ["i", "key"], "left")
+    own = lambda i: F.col("i") == i
+    return _rows(counts.agg(*[
+        (F.count_if(own(i) & (F.col("n") > 1)) if c.kind == "unique" else F.sum(F.when(own(i) & F.col("known").isNull(), F.col("n")))).alias(f"f{i}")
+        for i, c in enumerate(checks)]), checks)
 
 
 def run_checks(models: Mapping[str, DataFrame], checks: list[Check]) -> DataFrame:
     """Summary frame (check_name, model, column_name, failures).  Only the models
-    that the checks name are asked for.  Null checks and mart assertions of one
-    model share a single aggregate pass."""
+    that the checks name are asked for, each at most twice: for its columns and
+    for its keys."""
     parts = []
-    plain: dict[tuple[str, str], list[str]] = {}
-    for ch in checks:
-        if ch.kind in ("not_null", "assertion"):
-            plain.setdefault((ch.kind, ch.model), []).append(ch.column)
-    for (kind, model), names in plain.items():
-        if kind == "not_null":
-            counts = models[model].agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(names)])
-            stack = ", ".join(f"'{c}', n{i}" for i, c in enumerate(names))
-            parts.append(counts.selectExpr(f"stack({len(names)}, {stack}) AS (column_name, failures)").select(
-                F.lit(kind).alias("check_name"), F.lit(model).alias("model"), "column_name", "failures"))
-        else:
-            parts += [_summary_row(Check(kind, model, c), ASSERTIONS[c](models[model])) for c in names]
-    for ch in checks:
-        if ch.kind == "unique":
-            parts.append(_summary_row(ch, unique(models[ch.model], ch.column)))
-        elif ch.kind == "accepted_values":
-            parts.append(_summary_row(ch, accepted_values(models[ch.model], ch.column, ch.values)))
-        elif ch.kind == "relationships":
-            parts.append(_orphan_count(models[ch.model], ch.column, models[ch.parent]).select(
-                F.lit(ch.kind).alias("check_name"), F.lit(ch.model).alias("model"),
-                F.lit(ch.column).alias("column_name"), "failures"))
+    for model in dict.fromkeys(c.model for c in checks):
+        own = [c for c in checks if c.model == model]
+        columns, keys = [c for c in own if c.kind in COLUMN_KINDS], [c for c in own if c.kind not in COLUMN_KINDS]
+        if columns:
+            parts.append(_column_pass(models[model], columns))
+        if keys:
+            parts.append(_key_pass(models[model], keys, models))
     return reduce(DataFrame.unionByName, parts)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT_CONFIG, ScoreConfig
 from ..session import cut_lineage
+from .seen_twice import PossibleRepeats
 
 
 def stage_accounts(accounts: DataFrame, cfg: ScoreConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -77,6 +78,18 @@ def _first_copy(df: DataFrame, *lead) -> DataFrame:
     return df.withColumn("_copy", F.row_number().over(first)).filter(F.col("_copy") == 1).drop("_copy")
 
 
+def _first_copies(df: DataFrame, ids: DataFrame, cfg: ScoreConfig, *lead) -> DataFrame:
+    """``_first_copy`` of all rows.  With ``dedup="filter"`` only rows whose id may
+    be repeated in ``ids`` are shuffled; the others pass as they are.  Beyond the
+    broadcast bound of possible repeats, all rows are."""
+    if cfg.dedup == "window":
+        return _first_copy(df, *lead)
+    repeats = PossibleRepeats(ids.select("submission_id"), "submission_id", cfg.broadcast_max_rows)
+    if not repeats.bounded:
+        return _first_copy(df, *lead)
+    return repeats.single(df).unionByName(_first_copy(repeats.possible(df), *lead))
+
+
 def stage_submissions(submissions: DataFrame, stg_accounts: DataFrame,
                       cfg: ScoreConfig = DEFAULT_CONFIG, n_accounts: int | None = None) -> DataFrame:
     """D3: events of known accounts, one row per submission_id: ghost-account
@@ -89,20 +102,23 @@ def stage_submissions(submissions: DataFrame, stg_accounts: DataFrame,
       dedup orders ghost copies last, then drops a ghost winner.  That keeps
       the first known copy, as filtering first does, and the only shuffle of
       events stays the one on submission_id.  Otherwise a shuffle semi join.
+
+    The dedup itself shuffles all events, or only the possible repeats among
+    them (``ScoreConfig.dedup``, see ``_first_copies``).
     """
     ids = stg_accounts.select("account_id")
     if n_accounts is None:
         n_accounts = ids.count()
     typed = _typed_submissions(submissions)
     if n_accounts <= cfg.broadcast_max_rows:
-        return _first_copy(typed.join(F.broadcast(ids), "account_id", "left_semi")).select(*SUBMISSION_COLUMNS)
+        return _first_copies(typed.join(F.broadcast(ids), "account_id", "left_semi"), typed, cfg).select(*SUBMISSION_COLUMNS)
     ghosts = cut_lineage(
         typed.select("account_id").filter(F.col("account_id").isNotNull()).distinct()
         .join(ids, "account_id", "left_anti"),
         "ghost_accounts")
     if ghosts.count() > cfg.broadcast_max_rows:
-        return _first_copy(typed.join(ids, "account_id", "left_semi")).select(*SUBMISSION_COLUMNS)
+        return _first_copies(typed.join(ids, "account_id", "left_semi"), typed, cfg).select(*SUBMISSION_COLUMNS)
     flagged = (typed.join(F.broadcast(ghosts.withColumn("_ghost", F.lit(True))), "account_id", "left")
                .withColumn("_ghost", F.coalesce(F.col("_ghost"), F.lit(False)) | F.col("account_id").isNull()))
-    return (_first_copy(flagged, F.col("_ghost").asc())
+    return (_first_copies(flagged, typed, cfg, F.col("_ghost").asc())
             .filter(~F.col("_ghost")).select(*SUBMISSION_COLUMNS))

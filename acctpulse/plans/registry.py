@@ -5,16 +5,18 @@ engine-neutral types (``functions.portable``) for the cross-engine check."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..config import FIXTURE_CONFIG, FIXTURE_QUARTERS_CONFIG
+from ..config import FIXTURE_CONFIG, FIXTURE_QUARTERS_CONFIG, FIXTURE_WINDOWS
 from ..functions.portable import portable
 from ..operators import engagement as E
 from ..operators import profiling as R
 from ..operators import quality as Q
 from ..operators.benchmarks import segment_benchmarks
-from ..operators.mart import account_base, exclude_shells, own_scores, score_accounts, scored_accounts, stage_all
+from ..operators.mart import account_base, exclude_shells, own_scores, score_accounts, score_window_sets, scored_accounts, stage_all
+from ..operators.windows import window_activity
 from ..sources.fixtures import raw_tables
 from . import oracle as O
 from .models import PERIOD_METRICS, Models
@@ -97,6 +99,7 @@ def queries() -> dict[str, Query]:
         "stg_accounts": lambda s, d: portable(_staged(s, d).accounts),
         "stg_subscriptions": lambda s, d: portable(_staged(s, d).subscriptions),
         "stg_submissions": lambda s, d: portable(_staged(s, d).submissions),
+        "stg_submissions_filtered": lambda s, d: portable(_staged(s, d, replace(cfg, dedup="filter")).submissions),
         # intermediate
         "subscription_summary": lambda s, d: portable(E.subscription_summary(_staged(s, d).subscriptions)),
         "account_dimensions": lambda s, d: portable(_dimensions(s, d)),
@@ -108,6 +111,7 @@ def queries() -> dict[str, Query]:
         "user_growth_accounting": lambda s, d: portable(E.growth_accounting(E.user_flags(_periods(s, d), cfg))),
         "account_activity_rate": lambda s, d: portable(_activity_rate(s, d)),
         "segment_benchmarks": lambda s, d: portable(_benchmarks(s, d)),
+        "window_activity": lambda s, d: portable(window_activity(_staged(s, d).submissions, FIXTURE_WINDOWS)),
     }
     q.update({name: _component(name) for name in COMPONENTS})
     q.update({
@@ -116,6 +120,8 @@ def queries() -> dict[str, Query]:
             .select("account_id", "products_subscribed", "days_since_last_submission")),
         "account_score_mart": lambda s, d: portable(score_accounts(raw_tables(s, d), cfg)),
         "account_score_mart_quarters": lambda s, d: portable(score_accounts(raw_tables(s, d), FIXTURE_QUARTERS_CONFIG)),
+        "account_score_mart_window_sets": lambda s, d: portable(
+            score_window_sets(raw_tables(s, d), {"years": cfg, "quarters": FIXTURE_QUARTERS_CONFIG})),
         # data quality
         "dq_not_null": _checks("not_null"),
         "dq_unique": _checks("unique"),
@@ -155,8 +161,7 @@ def queries() -> dict[str, Query]:
 def _benchmarks(spark, sf_dir, cfg=FIXTURE_CONFIG):
     """Peer medians from the engagement of the accounts alone: no subscription is read."""
     staged = _staged(spark, sf_dir, cfg)
-    rate = E.activity_rate(E.engagement_summary(staged.submissions, cfg), staged.accounts)
-    return segment_benchmarks(rate, cfg.peer_group_cols, row_bound=staged.n_accounts)
+    return segment_benchmarks(_activity_rate(spark, sf_dir, cfg), cfg.peer_group_cols, row_bound=staged.n_accounts)
 
 
 def _dimensions(spark, sf_dir, cfg=FIXTURE_CONFIG):
@@ -166,9 +171,7 @@ def _dimensions(spark, sf_dir, cfg=FIXTURE_CONFIG):
 
 def _activity_rate(spark, sf_dir, cfg=FIXTURE_CONFIG):
     staged = _staged(spark, sf_dir, cfg)
-    metrics = E.period_metrics(E.tag_periods(staged.submissions, cfg), cfg)
-    dims = E.account_dimensions(staged.accounts, staged.subscriptions, cfg)
-    return E.activity_rate(metrics, dims)
+    return E.activity_rate(E.engagement_summary(staged.submissions, cfg), staged.accounts)
 
 
 def oracle_sql() -> dict[str, str]:

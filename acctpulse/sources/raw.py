@@ -7,12 +7,17 @@
   (a catalog table ``db.name`` or a Parquet folder),
 * ``register_views``: staged / intermediate frames as temporary views,
 * ``write_mart``: full-refresh write of the mart as a table or Parquet folder,
-* ``load_raw``: CSV -> Parquet tables before a run.
+* ``load_raw``: CSV -> Parquet tables before a run; ``load_raw_with_rejects``
+  keeps the rows that do not fit in a table of their own.
+
+Columns without a declared schema are read by ``inference``; a mart that is read
+while it is refreshed is kept by ``versions``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RAW_SCHEMAS: dict[str, T.StructType] = {
@@ -79,6 +84,15 @@ def register_views(frames: dict[str, DataFrame]) -> list[str]:
     return list(frames)
 
 
+def register_permanent_views(spark: SparkSession, folders: dict[str, str]) -> list[str]:
+    """S3 for other sessions: a catalog view over each Parquet folder, with its
+    columns listed; replaced in one step when it exists."""
+    for name, folder in folders.items():
+        columns = ", ".join("`" + c.replace("`", "``") + "`" for c in spark.read.parquet(folder).columns)
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{folder}`")
+    return list(folders)
+
+
 def write_mart(df: DataFrame, target: str, fmt: str = "parquet") -> None:
     """Full refresh.  A target containing '/' or ':' is a folder, else a table name."""
     writer = df.write.mode("overwrite").format(fmt)
@@ -108,3 +122,45 @@ def load_raw(spark: SparkSession, csv_paths: dict[str, str], target_folder: str,
         read_raw_csv(spark, path, name, null_value).write.mode("overwrite").parquet(out)
         locations[name] = out
     return locations
+
+
+REJECTED, LINE = "rejected", "_line"
+
+
+class TooManyRejects(Exception):
+    """A load with more rows that do not fit than allowed: (table, rejected rows, rows)."""
+
+
+def load_raw_with_rejects(spark: SparkSession, csv_paths: dict[str, str], target_folder: str, null_value: str = NULL_MARK,
+                          max_rejected_share: float = 0.01) -> tuple[dict[str, str], DataFrame]:
+    """S5 for files with bad rows: rows that fit the declared schema go to the table,
+    the others with their line and the reason to a quarantine beside it, in one pass
+    over each file.  Returns the locations for ``read_raw_tables`` and the rejected
+    rows (table_name, reason, line).  More rejects than the share allows fail the load."""
+    locations, quarantine = {}, []
+    for name, path in csv_paths.items():
+        schema = RAW_SCHEMAS[name]
+        out = f"{target_folder.rstrip('/')}/{name}"
+        rows = (spark.read.schema(T.StructType([*schema, T.StructField(LINE, T.StringType())])).option("header", True)
+                .option("nullValue", null_value).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", LINE).csv(path))
+        rows.withColumn(REJECTED, F.col(LINE).isNotNull()).write.mode("overwrite").partitionBy(REJECTED).parquet(out)
+        written = spark.read.schema(T.StructType([*rows.schema, T.StructField(REJECTED, T.BooleanType())])).parquet(out)
+        counts = written.agg(F.count_if(F.col(REJECTED)).alias("bad"), F.count(F.lit(1)).alias("n")).first()
+        if counts.bad > max_rejected_share * counts.n:
+            raise TooManyRejects((name, counts.bad, counts.n))
+        locations[name] = f"{out}/{REJECTED}=false"
+        # a line with the right number of fields can only have failed by a value
+        texts = ", ".join(f"c{i} string" for i in range(len(schema))) + ", bad string"
+        parsed = F.from_csv(F.col(LINE), texts, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad"})
+        reason = F.when(parsed["bad"].isNotNull(), F.lit("number of fields")).otherwise(F.lit("value"))
+        quarantine.append(written.filter(F.col(REJECTED)).select(F.lit(name).alias("table_name"), reason.alias("reason"), F.col(LINE).alias("line")))
+    rejected = quarantine[0]
+    for more in quarantine[1:]:
+        rejected = rejected.unionByName(more)
+    return locations, rejected
+
+
+def read_loaded_table(spark: SparkSession, name: str, locations: dict[str, str]) -> DataFrame:
+    """A table of ``load_raw_with_rejects``, with its declared columns only."""
+    schema = RAW_SCHEMAS[name]
+    return spark.read.schema(schema).parquet(locations[name])
