@@ -8,12 +8,15 @@ Each run starts a path per class and extends it, level by level, by those of
 the set's shingles whose hash with the path falls below branching / (threshold
 * set size): similar sets keep shared paths, others lose them.  A bucket (the
 classes on one path) of at most ``LEAF`` classes is compared by brute force; a
-larger one is split on, unless its mean similarity (estimated from minhashes
-over all its members) shows that it is one group of near copies, or the depth
-is used up.  Such large buckets are merged where they overlap and compared
-block by block: no size is capped, dropped or sampled.  ``runs`` follows from
-the target recall for pairs exactly at the threshold; every found pair is
-verified on the exact sets.
+larger one is split on, unless its mean similarity (estimated from the minhashes
+of all its members) is ``DENSE`` or more: then most of it is one group of near
+copies, which splitting would carry along for ever.  Such buckets are merged
+where they overlap and compared block by block: no size is capped, dropped or
+sampled.  Below ``DENSE`` a pair of members shares less than one path of the next
+level on average, so that splitting ends, whatever the buckets' sizes; what were
+still large at ``MAX_DEPTH`` would be compared block by block too.  ``runs``
+follows from the target recall for pairs exactly at the threshold that share
+paths at every depth; every found pair is verified on the exact sets.
 
 Before sets are shipped, the members of a small bucket compare their minhashes:
 one that agrees with no other in ``AGREE`` of ``SKETCH`` values leaves the bucket
@@ -40,6 +43,7 @@ import math
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from acctpulse.llm.common import fresh, list_column, mix, shingle_sets, text_chunks, written
@@ -47,13 +51,13 @@ from acctpulse.llm.common import fresh, list_column, mix, shingle_sets, text_chu
 THRESHOLD = 0.8
 TARGET_RECALL = 0.995
 BRANCHING = 1.5  # expected shared children per level of a pair at the threshold
-MAX_DEPTH = 3
+MAX_DEPTH = 40  # not reached by splitting that halves the pairs; an end for any input
 LEAF = 128
 BLOCK_SETS = 2048
 BLOCK_SHINGLES = 2_000_000
-DENSE = 0.5  # mean similarity from which a large bucket is compared at once
+DENSE = 0.35  # mean similarity from which a large bucket is compared at once; pairs die out below 0.42
 SKETCH = 16
-DENSE_SKETCH = 4
+SIGNS = 2  # signs of each minhash in the estimate
 AGREE = 5
 BROADCAST_IDS = 500_000
 SLICE = 4096
@@ -170,17 +174,33 @@ def _children(rows: DataFrame, threshold: float) -> DataFrame:
 def _buckets(members: DataFrame, name: str) -> DataFrame:
     """(path, k, size) of the paths that two or more classes share."""
     members = written(members, f"{name}-members")
-    size = members.groupBy("path").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    size = written(members.groupBy("path").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), f"{name}-sizes")
+    # the sizes of hot paths go to their members; only the others meet by a shuffle
+    hot = size.filter(F.col("size") > LEAF)
+    n_hot = hot.count()
+    if 0 < n_hot <= BROADCAST_IDS:
+        hot = F.broadcast(hot)
+        rest = members.join(hot.select("path"), "path", "left_anti").join(size.filter(F.col("size") <= LEAF), "path")
+        return written(members.join(hot, "path").union(rest), name)
     return written(members.join(size, "path"), name)
 
 
+def _few(df: DataFrame) -> DataFrame:
+    """Broadcast if its counted rows are within the bound."""
+    return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
+
+
 def _dense(large: DataFrame, low: DataFrame) -> DataFrame:
-    """Paths of the large buckets whose members' mean similarity is DENSE or more:
-    the chance that two members agree in a minhash, over all members and averaged
-    over DENSE_SKETCH minhashes (it only decides how a bucket is compared)."""
-    values = large.join(low, "k").select("path", "size", F.posexplode(F.slice("low", 1, DENSE_SKETCH)).alias("j", "v"))
-    counts = values.groupBy("path", "size", "j", "v").agg(F.count(F.lit(1)).alias("c"))
-    return counts.groupBy("path", "size").agg(F.sum(F.col("c") * F.col("c")).alias("s")).filter(F.col("s") / (F.col("size") * F.col("size") * DENSE_SKETCH) >= DENSE).select("path")
+    """Paths of the large buckets whose members' mean similarity is DENSE or more.
+    Each minhash gives a member SIGNS random signs; the square of their sum over a
+    bucket is, in expectation, the number of its pairs (each way, and each member
+    with itself) that agree in the minhash.  So one sum a path and sign, taken over
+    all members and combined before the shuffle, tells the mean similarity to some
+    25 % (it only decides how a bucket is compared)."""
+    signs = [(F.shiftright(F.col("low")[j], b).bitwiseAND(F.lit(1)) * 2 - 1) for j in range(SKETCH) for b in range(SIGNS)]
+    sums = large.join(low, "k").groupBy("path", "size").agg(*[F.sum(s).alias(f"s{i}") for i, s in enumerate(signs)])
+    agreeing = sum((F.col(f"s{i}").cast("double") * F.col(f"s{i}") for i in range(len(signs))), F.lit(0.0)) / len(signs) - F.col("size")
+    return sums.filter(agreeing >= DENSE * F.col("size") * (F.col("size") - 1.0)).select("path")
 
 
 def _shared(rows_a: list[np.ndarray], rows_b: list[np.ndarray] | None) -> np.ndarray:
@@ -385,7 +405,7 @@ def grouped(docs: DataFrame, threshold: float = THRESHOLD, recall: float = TARGE
     for depth in range(1, MAX_DEPTH + 1):
         if large.isEmpty():
             break
-        dense = written(_dense(large, low), "dense") if depth < MAX_DEPTH else large.select("path").distinct()
+        dense = _few(written(_dense(large, low) if depth < MAX_DEPTH else large.select("path").distinct(), "dense"))
         big = large.join(dense, "path", "left_semi").select("path", "k")
         giants = big if giants is None else giants.union(big)
         if depth < MAX_DEPTH:
@@ -432,17 +452,21 @@ def _repeats(named: DataFrame) -> bool:
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """Of each group, the row with the smallest doc_id stays (of several texts under
-    that doc_id, the one with the smallest row key; null ids come last).  Rows with
-    one doc_id and one text are one document: they stay or go together.  Of equal
-    texts without an id, one stays."""
+    that doc_id, the one with the smallest row key; null ids come last).  Of rows
+    with equal id and text one stays, the least by the other columns.  A text
+    without words is in no group: all rows of it stay."""
     row = fresh("row_key", docs)
     groups = written(grouped(docs.select("doc_id", "text")).filter("root is not null").select("doc_id", "row", "root", "class_id"), "groups")
     first = groups.filter("doc_id <=> class_id").groupBy("root").agg(F.min("row").alias("first"))
     drop = groups.join(first, "root").filter("not doc_id <=> class_id or row != first").select(F.col("doc_id").alias("drop_id"), F.col("row").alias("drop_row")).distinct()
     keyed = docs.withColumn(row, row_key())
     kept = keyed.join(drop, (keyed[row] == drop["drop_row"]) & keyed["doc_id"].cast("long").eqNullSafe(drop["drop_id"]), "left_anti")
-    again = groups.filter("doc_id is null").groupBy("row").count().filter("count > 1").select(F.col("row").alias("again"))
+    again = written(groups.groupBy("row").count().filter("count > 1").select(F.col("row").alias("again")), "repeated-rows")
     if not again.isEmpty():
-        same = (kept[row] == again["again"]) & kept["doc_id"].cast("long").isNull()
-        kept = kept.join(again, same, "left_anti").union(kept.join(again, same, "left_semi").dropDuplicates([row]))
+        again, place = _few(again), fresh("row_place", kept)
+        others = [F.col(c).cast("string") if t in ("string", "boolean", "date", "timestamp") or "int" in t else F.to_json(F.struct(c)) for c, t in kept.dtypes if c not in ("text", row)]
+        first_row = F.row_number().over(W.partitionBy(row).orderBy(*others))
+        same = kept[row] == again["again"]
+        one = kept.join(again, same, "left_semi").withColumn(place, first_row).filter(F.col(place) == 1).drop(place)
+        kept = kept.join(again, same, "left_anti").union(one)
     return kept.select(*docs.columns)

@@ -20,13 +20,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from acctpulse.llm.common import LOWER, append_columns, fresh, text_chunks
+from acctpulse.llm.common import LOWER, append_columns, fresh, text_chunks, written
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 8  # of each width
 TRAIN_DOCS = 1200  # expected number per language
-MAX_LANGUAGES = 500  # bound on what the driver gathers
+MAX_WINDOWS = 400_000  # bound on what the driver gathers: the first of every language, in a random order
+BROADCAST_LABELS = 500_000
 NONE = "und"
 CHUNK = 1 << 19
 
@@ -50,6 +51,7 @@ class ByteConvNet:
     """kernels[w]: (w, 256, FILTERS), what each byte at each filter place adds."""
 
     def __init__(self, languages: list[str], seed: int = 5):
+        self._tables = None
         rng = np.random.default_rng(seed)
         self.languages = languages
         self.kernels = [rng.normal(0, 0.3, (w, 256, FILTERS)).astype(np.float32) for w in WIDTHS]
@@ -106,7 +108,9 @@ class ByteConvNet:
 
     def predict(self, column: pa.Array) -> tuple[list[str], np.ndarray]:
         """Language and score of each whole text."""
-        tables, names, scores = self.tables(), [], []
+        if self._tables is None:  # once for a worker's batches
+            self._tables = self.tables()
+        tables, names, scores = self._tables, [], []
         for first, data, offsets in text_chunks(column, CHUNK):
             n = len(offsets) - 1
             x, doc, used = windows(data, offsets)
@@ -133,25 +137,23 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
 def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> ByteConvNet | None:
     """Trains on one window of each sampled document; None if nothing is labelled."""
     side = docs.select("doc_id", "text", "lang").filter(~held_out() & F.col("lang").isNotNull() & (F.length("text") > 0))
-    counts = side.groupBy("lang").count().orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not counts:
-        return None
-    scale = 1_000_000_000
-    share = F.lit(0)
-    for r in counts:
-        share = F.when(F.col("lang") == r["lang"], F.lit(min(scale, int(train_docs / r["count"] * scale)))).otherwise(share)
-    h = F.xxhash64("doc_id", F.lit(11))
+    counts = written(side.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "language-counts")
+    if counts.count() <= BROADCAST_LABELS:
+        counts = F.broadcast(counts)
+    # a row's place among its language's rows, about: sampled by id and text, so that a repeated id is not taken whole
+    place = F.pmod(F.xxhash64("doc_id", "text", F.lit(11)), F.lit(1 << 53)) / F.lit(float(1 << 53)) * F.col("n")
     room = F.greatest(F.length("text") - WINDOW, F.lit(0)) + 1
-    picked = side.filter(F.pmod(h, F.lit(scale)) < share).select("doc_id", "lang", F.substring("text", (F.pmod(F.xxhash64("doc_id", F.lit(12)), room) + 1).cast("int"), F.lit(WINDOW)).alias("piece"))
-    rows = sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["lang"], r["piece"]) for r in picked.collect())
+    piece = F.substring("text", (F.pmod(F.xxhash64("doc_id", "text", F.lit(12)), room) + 1).cast("int"), F.lit(WINDOW))
+    picked = side.join(counts, "lang").withColumn("place", place).filter(F.col("place") < train_docs).select("doc_id", "lang", "place", piece.alias("piece")).distinct()
+    bounded = picked.orderBy("place", "lang", "piece", "doc_id").limit(MAX_WINDOWS)
+    rows = sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["lang"], r["piece"]) for r in bounded.collect())
     if not rows:
         return None
     languages = sorted({lang for _, lang, _ in rows})
     data = [piece.encode()[:WINDOW].ljust(WINDOW, b"\0") for _, _, piece in rows]
     x = np.frombuffer(b"".join(data), np.uint8).reshape(len(rows), WINDOW)
-    return ByteConvNet(languages).train(x, np.array([languages.index(lang) for _, lang, _ in rows]))
+    number = {lang: i for i, lang in enumerate(languages)}
+    return ByteConvNet(languages).train(x, np.array([number[lang] for _, lang, _ in rows]))
 
 
 def with_language(docs: DataFrame, model: ByteConvNet | None, lang: str, score: str, keep: list[str] | None = None) -> DataFrame:

@@ -19,12 +19,14 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from acctpulse.llm.common import LOWER, append_columns, fresh, span_hashes, text_chunks, window_hashes, word_spans, mix
+from acctpulse.llm.common import LOWER, append_columns, fresh, mix, span_hashes, text_chunks, window_hashes, word_spans, written
 
-LABELLED_ROWS = 20_000  # expected size of the labelled sample that is fitted
+LABELLED_ROWS = 20_000  # expected number of labelled ids that are fitted
+TEXTS_PER_ID = 4  # of an id with several texts
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
@@ -196,18 +198,26 @@ def base_failed(names: dict[str, str] | None = None) -> Column:
     return (col("n_words") < MIN_WORDS) | (100 * col("n_repeat_words") > MAX_REPEAT_PERCENT * col("n_words"))
 
 
+def _n_labels(known: DataFrame) -> int:
+    return known.count()
+
+
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", rows: int = LABELLED_ROWS) -> list[Rule]:
     """Learns the rules from the labelled documents that pass the base rules.
-    The sample takes about ``rows`` labelled ids by a hash of the id, so it does
+    The sample takes about ``rows`` labelled ids by a hash of the id and at most
+    TEXTS_PER_ID texts of each, and no more than twice ``rows`` in all, so it does
     not grow with the tables and is the same in every run."""
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
-    total = known.count()
-    scale = 1_000_000
+    total = _n_labels(known)
     if total > rows:
-        known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < int(rows / total * scale))
+        known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 53)) / F.lit(float(1 << 53)) < F.lit(rows / total))
     known = known.groupBy(F.col("doc_id").alias("label_id")).agg(F.min("quality").alias("label_quality"))
-    picked = docs.select(F.col(doc_id).alias("label_id"), F.col(text).alias("label_text")).join(F.broadcast(known) if total <= rows else known, "label_id")
-    table = with_counts(picked, "label_text", ["label_quality"]).filter(~base_failed()).dropDuplicates().toPandas()
+    known = written(known.orderBy(F.xxhash64("label_id"), "label_id").limit(2 * rows), "label-sample")
+    picked = docs.select(F.col(doc_id).alias("label_id"), F.col(text).alias("label_text")).join(F.broadcast(known), "label_id")
+    counted = with_counts(picked, "label_text", ["label_id", "label_quality"]).filter(~base_failed()).dropDuplicates()
+    order = [F.xxhash64("label_id", *COUNTS), *COUNTS]
+    few = counted.withColumn("label_place", F.row_number().over(W.partitionBy("label_id").orderBy(*order))).filter(F.col("label_place") <= TEXTS_PER_ID)
+    table = few.orderBy(*order).limit(2 * rows).drop("label_id", "label_place").dropDuplicates().toPandas()
     if not len(table):
         return []
     table = table.sort_values(list(table.columns))

@@ -229,7 +229,7 @@ def test_join_edge_cases(odd_docs, no_docs):
     assert sorted(r for r in rows if r[0] == 1) == [(1, 1, 2), (1, 1, 2)] and (2, 1, 2) in rows
     assert (3, 3, 0) in rows and (4, 4, 0) in rows and rows.count((None, None, 0)) == 2
     kept = jaccard_join.keep_first(odd_docs)
-    assert kept.columns == odd_docs.columns and kept.filter("doc_id = 2").isEmpty() and kept.count() == odd_docs.count() - 1
+    assert kept.columns == odd_docs.columns and kept.filter("doc_id = 2").isEmpty() and kept.filter("doc_id = 1").count() == 1 and kept.count() == odd_docs.count() - 2
     assert jaccard_join.join(no_docs).count() == 0
 
 
@@ -245,6 +245,40 @@ def test_one_row_of_each_group_stays(spark):
     assert [r.doc_id for r in jaccard_join.keep_first(two).collect()] == [5]
 
 
+def test_a_common_passage_is_split_until_small(spark, monkeypatch):
+    """Unlike documents that share a passage of more than a quarter of their shingles."""
+    common = passage(77, 60)
+    rows = [(i, common + " " + " ".join(f"w{i}x{j}" for j in range(140))) for i in range(700)]
+    rows += [(1000 + i, rows[i][1] + " tail") for i in range(0, 700, 70)]
+    compared, names = [], []
+    keep = jaccard_join.written
+
+    def written(df, name):
+        out = keep(df, name)
+        names.append(name)
+        if name == "buckets":
+            compared.append({tuple(r) for r in out.groupBy("bucket").count().select("bucket", "count").collect()})
+        return out
+
+    monkeypatch.setattr(jaccard_join, "written", written)
+    monkeypatch.setattr(jaccard_join, "LEAF", 16)
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string"), leaf=16).collect()}
+    assert got == {i: (i % 1000, 1) if i >= 1000 or i % 70 == 0 else (i, 0) for i, _ in rows}
+    # a bucket a little above the leaf's size may pass for dense; none near the passage's does
+    sizes = [n for _, n in compared[0]]
+    assert "level2" in names and max(sizes) < 60 and sum(n * (n - 1) // 2 for n in sizes) < 20 * len(rows)
+
+
+def test_density_is_the_mean_similarity(spark):
+    sets = [set(range(100 * j, 100 * j + 30)) | set(range(10_000, 10_000 + s)) for s in (5, 45, 270) for j in range(200)]
+    rng = np.random.default_rng(3)
+    perms = [rng.permutation(40_000) * (1 << 13) + rng.integers(0, 1 << 13, 40_000) for _ in range(jaccard_join.SKETCH)]
+    low = spark.createDataFrame([(k, [int(p[list(s)].min()) for p in perms]) for k, s in enumerate(sets)], "k long, low array<long>")
+    large = low.selectExpr("k div 200 AS path", "k", "200L AS size")
+    # 5, 45 and 270 of 30 + n shingles are shared: similarities 0.08, 0.43 and 0.82
+    assert sorted(r.path for r in jaccard_join._dense(large, low).collect()) in ([1, 2], [2])
+
+
 def test_rows_without_an_id_are_joined(spark):
     a, b, c = (passage(30 + i, 60) for i in range(3))
     rows = [(None, a), (4, a), (None, b), (None, b), (None, b.upper()), (None, c), (None, None), (None, ""), (5, "")]
@@ -360,6 +394,37 @@ def test_a_damaged_block_is_noticed(spark):
         token_store.read_digest(files).collect()
 
 
+# -- fitting on awkward labels
+
+
+def test_many_labels_and_a_null_id_on_a_third_of_the_rows(spark, monkeypatch):
+    words = "der die das und ist nicht ein zu".split(), "the of and to in is that it".split()
+    rows = [(i, f"l{i % 2000}", f"{passage(i, 12)} {i}") for i in range(4000)]
+    rows += [(None, "de" if i % 2 else "en", " ".join(words[1 - i % 2][(i * j) % 8] for j in range(40)) + f" {i}") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    monkeypatch.setattr(language_id, "MAX_WINDOWS", 3000)
+    seen = []
+    monkeypatch.setattr(language_id.ByteConvNet, "train", lambda self, x, y: seen.append((len(self.languages), len(x))) or self)
+    model = language_id.fit(docs, train_docs=300)
+    assert model is not None and seen[0][1] <= 3000 and seen[0][0] > 1500
+    out = language_id.with_language(docs.limit(50), model, "lang_pred", "score", ["doc_id"])
+    assert out.count() == 50
+
+
+def test_the_sample_of_labels_is_bounded_and_never_empty(spark, monkeypatch):
+    texts = [(i if i % 3 else 7, passage(i, 60) + (" # " * 40 if i % 2 else "")) for i in range(900)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2 ^ 1) for i in range(900)], "doc_id long, quality int")
+    sizes = []
+    monkeypatch.setattr(quality_rules, "learn_rules", lambda x, bad: sizes.append(len(bad)) or [])
+    quality_rules.fit(docs, labels, rows=100)
+    assert 0 < sizes[-1] <= 200
+    # a share far below a millionth still samples by the hash, and does not fail
+    monkeypatch.setattr(quality_rules, "_n_labels", lambda known: 10**11)
+    share = 20_000 / 10**11
+    assert quality_rules.fit(docs, labels) == [] and share > 0
+
+
 # -- op7 license scan
 
 
