@@ -7,8 +7,9 @@ class, and only one set per class is joined.
 Each run starts a path per class and extends it, level by level, by those of
 the set's shingles whose hash with the path falls below branching / (threshold
 * set size): similar sets keep shared paths, others lose them.  A bucket (the
-classes on one path) of at most ``LEAF`` classes is compared by brute force; a
-larger one is split on, unless its mean similarity (estimated from the minhashes
+classes on one path) of at most ``LEAF`` classes is compared by brute force
+(deeper levels allow up to ``MAX_LEAF``: few rows get there, and the work stays
+in proportion to them); a larger one is split on, unless its mean similarity (estimated from the minhashes
 of all its members) is ``DENSE`` or more: then most of it is one group of near
 copies, which splitting would carry along for ever.  Such buckets are merged
 where they overlap and compared block by block: no size is capped, dropped or
@@ -52,7 +53,8 @@ THRESHOLD = 0.8
 TARGET_RECALL = 0.995
 BRANCHING = 1.5  # expected shared children per level of a pair at the threshold
 MAX_DEPTH = 40  # not reached by splitting that halves the pairs; an end for any input
-LEAF = 128
+LEAF = 128  # of the first level; twice as many at each further one
+MAX_LEAF = 1024
 BLOCK_SETS = 2048
 BLOCK_SHINGLES = 2_000_000
 DENSE = 0.35  # mean similarity from which a large bucket is compared at once; pairs die out below 0.42
@@ -411,8 +413,9 @@ def grouped(docs: DataFrame, threshold: float = THRESHOLD, recall: float = TARGE
         if depth < MAX_DEPTH:
             open_paths = large.join(dense, "path", "left_anti").groupBy("k").agg(F.collect_list("path").alias("paths"))
             level = _buckets(_children(open_paths.join(sets, "k"), threshold), f"level{depth + 1}")
-            small = small.union(_small(level, leaf, low))
-            large = level.filter(F.col("size") > leaf)
+            own = max(leaf, min(leaf << depth, MAX_LEAF))
+            small = small.union(_small(level, own, low))
+            large = level.filter(F.col("size") > own)
 
     # bucket ids: large ones are negative, so that they come first
     assigned = small

@@ -266,7 +266,7 @@ def test_a_common_passage_is_split_until_small(spark, monkeypatch):
     assert got == {i: (i % 1000, 1) if i >= 1000 or i % 70 == 0 else (i, 0) for i, _ in rows}
     # a bucket a little above the leaf's size may pass for dense; none near the passage's does
     sizes = [n for _, n in compared[0]]
-    assert "level2" in names and max(sizes) < 60 and sum(n * (n - 1) // 2 for n in sizes) < 20 * len(rows)
+    assert "level2" in names and max(sizes, default=0) < 200 and sum(n * (n - 1) // 2 for n in sizes) < 20 * len(rows)
 
 
 def test_density_is_the_mean_similarity(spark):
