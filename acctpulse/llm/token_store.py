@@ -7,25 +7,30 @@ so any block can be decoded, checked and lost on its own.
 
 Coding an id mixes three predictions.  The order-2 and order-1 contexts (hashed
 tables) each name one likely id with a confidence; the order-0 model gives every
-id a share from adaptive counts.  How much weight each order gets is learned,
-separately for every pair of confidences.  The mixed interval of the id drives a
-carry-less range coder with a 64-bit state.  All blocks of a segment are coded
-in step, one numpy lane per block.
+id a share from adaptive counts, renewed after 32, 64, 128 ids and then every
+256.  How much weight each order gets is learned, separately for every pair of
+confidences.  Tables and weights learn after 4, 8, 16 and then
+every 32 ids.  The mixed interval of the id drives a range coder whose window of
+62 bits leaves one for the carry.  Blocks are coded in step, one numpy lane per
+block and at most ``TOGETHER`` lanes at once.
 
 The file format is a Parquet table, written by range of doc_id, whose rows are
 segments: shard and seq (their order), the documents' ids and id counts, and the
 blocks (n, crc32, payload).  A segment ends with a document.
 
 Defined results: a null or empty text has only the end id; documents of equal
-doc_id are ordered by text; a null doc_id comes first; an empty table gives an
-empty table."""
+doc_id are ordered by text; identical rows are stored as often as they occur; a
+null doc_id comes first; an empty table gives an empty table.  A very long text
+is tokenised in slices of about ``SLICE`` bytes and coded ``TOGETHER`` blocks at a
+time, so beside the text only its ids (4 bytes each) and its payloads are held.  Rows of one doc_id are
+one range of the order and thus one task.  Columns besides doc_id and text are
+not read, whatever their names."""
 
 from __future__ import annotations
 
-import re
 import zlib
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,105 +39,116 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from acctpulse.llm.common import written
+from acctpulse.llm.common import text_chunks, written
 
 END_ID = 2
 BLOCK = 4096  # most ids of a block
 LEAST_BLOCK = 512
 LANES = 512  # blocks that a segment has at least, if they keep LEAST_BLOCK ids
-SEGMENT = 1024 * BLOCK  # ids from which a segment ends
-MEMO_UNITS = 400_000
+TOGETHER = 2048  # most blocks that are coded in step
+SEGMENT = 2048 * BLOCK  # ids from which a segment ends
+SLICE = 4 << 20  # bytes of text tokenised at once
+MEMO_UNITS = 1_000_000
 
-_SLOTS = 4096  # of a context table
+_SLOTS = 2048  # of a context table
 _NO_ID = 0xFFFFF
-_FIXED = 1 << 12  # all weights add up to this
+_FIXED = 1 << 12  # the three weights add up to this
 _LEAVES = 1024
-_STEP = 24
-_TOP, _LEAST = np.uint64(1 << 48), np.uint64(1 << 48)
-_16, _48 = np.uint64(16), np.uint64(48)
+_STEPS = 32  # ids after which the models learn
+_COUNTED = 1 << 14  # the order-0 shares of all leaves add up to this
+_WINDOW = 62  # bits of the coder's window
+_DIGIT = _WINDOW - 16
+_LEAST = 1 << _DIGIT  # a smaller interval moves one digit of 16 bits out
 
 
-def _leaf_tables(vocabulary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+def _leaf_tables(vocabulary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """Order-0 leaves: 512 single ids, 224 groups of 16, and equal groups for the
-    rest.  Leaf of each id, its first id, its size, and the size of the largest."""
+    rest.  Leaf of each id, first id of each leaf, how much of a leaf's share one
+    id has, and into how many parts each share is cut."""
     rest = max(1, vocabulary - 4096)
     size = 256
     while size * (_LEAVES - 736) < rest:
         size *= 2
     sizes = np.concatenate([np.ones(512, np.int64), np.full(224, 16), np.full(_LEAVES - 736, size)])
-    first = np.cumsum(sizes) - sizes
-    leaf = np.repeat(np.arange(_LEAVES), sizes)
-    return leaf, first, sizes, size // sizes, size
+    return np.repeat(np.arange(_LEAVES), sizes), np.cumsum(sizes) - sizes, size // sizes, size
+
+
+def _parts(block: int):
+    """(first step, end, whether the order-0 shares are renewed before it) of the parts of a block."""
+    edges = [0, 4, 8, 16, *range(_STEPS, block, _STEPS)]
+    edges = [e for e in edges if e < block] + [block]
+    for a, b in zip(edges, edges[1:]):
+        yield a, b, a in (0, 32, 64, 128) or a % 256 == 0
 
 
 class _Mixer:
-    """The models of all lanes."""
+    """The models of all lanes.  They learn after each part of a block, from all lanes and
+    steps at once, in the order of the ids where two meet in one slot."""
 
     def __init__(self, lanes: int, vocabulary: int):
-        self.leaf_of, self.first, self.sizes, self.unit, self.scale = _leaf_tables(vocabulary)
+        self.leaf_of, self.first, self.unit, self.scale = _leaf_tables(vocabulary)
+        self.bits = (_COUNTED * self.scale).bit_length() - 1  # of an order-0 interval
+        self.shift = self.bits + _FIXED.bit_length() - 1  # of a mixed interval
         self.lane = np.arange(lanes, dtype=np.int64)
-        self.at2, self.at1 = self.lane * _SLOTS, self.lane * _SLOTS
+        self.base, self.row32 = self.lane * _SLOTS, self.lane * 32
         self.guess2 = np.full(lanes * _SLOTS, _NO_ID << 2, np.int32)  # id << 2 | confidence
         self.guess1 = np.full(lanes * _SLOTS, _NO_ID << 2, np.int32)
-        self.weight2 = np.full(lanes * 32, 1024, np.int64)
-        self.weight1 = np.full(lanes * 32, 1024, np.int64)
-        # order-0 counts as running sums: before each group of 32 leaves, and inside each group
-        self.groups = np.tile(np.arange(0, _LEAVES + 1, 32, dtype=np.int32), (lanes, 1))
-        self.inside = np.tile(np.arange(33, dtype=np.int32), (lanes * 32, 1))
-        self.row = self.lane * 32
-        self.after = _STEP * (np.arange(33) > np.arange(32)[:, None]).astype(np.int32)  # what a hit adds
-        self.total = _LEAVES
-        self.before1 = np.zeros(lanes, np.int64)
-        self.before2 = np.zeros(lanes, np.int64)
-
-    def weights(self) -> None:
-        """The two named ids and the weights of the three orders."""
-        self.slot2 = self.at2 + (((self.before1 * 0x9E3779B1 + self.before2 * 0x85EBCA77) >> 15) & (_SLOTS - 1))
-        self.slot1 = self.at1 + (((self.before1 * 0x9E3779B1) >> 13) & (_SLOTS - 1))
-        g2, g1 = self.guess2[self.slot2], self.guess1[self.slot1]
-        self.id2, self.id1 = g2 >> 2, g1 >> 2
-        self.sure2, self.sure1 = g2 & 3, g1 & 3
-        self.context = self.lane * 32 + self.sure2 * 8 + self.sure1 * 2 + (self.id2 == self.id1)
-        self.w2 = self.weight2[self.context]
-        rest = _FIXED - self.w2
-        self.w1 = np.maximum((rest * self.weight1[self.context]) >> 12, 1)
-        self.w0 = rest - self.w1
-
-    def learn(self, x: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, leaf: np.ndarray) -> None:
-        w = self.w2
-        self.weight2[self.context] = np.clip(w + np.where(hit2, (_FIXED - w) >> 4, -(w >> 4)), 32, _FIXED - 32)
-        w = self.weight1[self.context]
-        moved = np.clip(w + np.where(hit1, (_FIXED - w) >> 4, -(w >> 4)), 32, _FIXED - 64)
-        self.weight1[self.context] = np.where(hit2, w, moved)
-        right1 = self.id1 == x
-        for table, slot, named, sure, right in ((self.guess2, self.slot2, self.id2, self.sure2, hit2), (self.guess1, self.slot1, self.id1, self.sure1, right1)):
-            keep = right | (sure > 1)
-            sure = np.where(right, np.minimum(sure + 1, 3), np.where(keep, sure - 1, 1))
-            table[slot] = (np.where(keep, named, x) << 2) | sure
-        group, place = leaf >> 5, leaf & 31
-        self.groups += self.after[group]
-        self.inside[self.row + group] += self.after[place]
-        self.total += _STEP
-        self.before2, self.before1 = self.before1, x
-
-    def share0(self, x: np.ndarray, leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and size of the id's order-0 interval, in units of total * scale."""
-        group, place = leaf >> 5, leaf & 31
-        row = self.row + group
-        start = self.inside[row, place].astype(np.int64)
-        size = (self.inside[row, place + 1] - start) * self.unit[leaf]
-        return (self.groups[self.lane, group] + start) * self.scale + (x - self.first[leaf]) * size, size
-
-    def find0(self, target: np.ndarray) -> np.ndarray:
-        """The id whose order-0 interval holds the target."""
-        left = target // self.scale
-        group = (self.groups[:, 1:] <= left[:, None]).sum(axis=1)
-        row, before = self.row + group, self.groups[self.lane, group]
-        place = (self.inside[row, 1:] <= (left - before)[:, None]).sum(axis=1)
-        leaf = group * 32 + place
-        start = before + self.inside[row, place].astype(np.int64)
-        size = (self.inside[row, place + 1] - self.inside[row, place]) * self.unit[leaf]
-        return self.first[leaf] + (target - start * self.scale) // size
+        self.met, self.hits2, self.hits1 = (np.zeros(lanes * 32, np.int64) for _ in range(3))
+        self.counts = np.zeros((lanes, _LEAVES), np.int32)
+        self.share = np.empty((lanes, _LEAVES + 1), np.int32)  # running sums of the shares
+        self.ramp = np.arange(_LEAVES + 1, dtype=np.int32)
+        self.seen = 0
+        self._weigh()
+
+    def _weigh(self) -> None:
+        """Ends of the order-2 and order-1 intervals by context, from how often each was right."""
+        w2 = np.clip(((4 * self.hits2 + 2) << 12) // (4 * self.met + 8), 32, _FIXED - 32)
+        w1 = np.clip(((4 * self.hits1 + 2) << 12) // (4 * (self.met - self.hits2) + 8), 32, _FIXED - 32)
+        w1 = np.maximum(((_FIXED - w2) * w1) >> 12, 1)
+        self.after2, self.after1 = w2 << self.bits, (w2 + w1) << self.bits
+
+    def renew(self, ids: np.ndarray) -> None:
+        """Order-0 shares with the ids met since the last renewal (steps x lanes)."""
+        lanes, share = len(self.lane), self.share
+        if len(ids):
+            leaves = self.leaf_of.take(ids, mode="clip")
+            self.counts += np.bincount((leaves + self.lane * _LEAVES).ravel(), minlength=lanes * _LEAVES).reshape(lanes, _LEAVES)
+            self.seen += len(ids)
+        if self.seen:
+            share[:, 0] = 0
+            np.cumsum(self.counts, axis=1, dtype=np.int32, out=share[:, 1:])
+            share *= _COUNTED - _LEAVES
+            share //= self.seen
+            share += self.ramp
+        else:
+            share[:] = self.ramp * (_COUNTED // _LEAVES)
+
+    def slots(self, near: np.ndarray, far: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the order-2 and order-1 contexts: the id before, and the one before that."""
+        return (((near * 0x9E3779B1 + far * 0x85EBCA77) >> 15) & (_SLOTS - 1)) + self.base, (near & (_SLOTS - 1)) + self.base
+
+    def contexts(self, g2: np.ndarray, g1: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The two named ids, and the pair of confidences with whether the two agree."""
+        id2, id1 = g2 >> 2, g1 >> 2
+        return id2, id1, self.row32 + (((g2 & 3) << 3) + ((g1 & 3) << 1) + (id2 == id1))
+
+    def learn(self, x: np.ndarray, slots2: np.ndarray, slots1: np.ndarray, contexts: np.ndarray) -> None:
+        g2, g1 = self.guess2.take(slots2), self.guess1.take(slots1)
+        hit2, right1 = (g2 >> 2) == x, (g1 >> 2) == x
+        new = (x << 2) | 1
+        for table, slots, g, right in ((self.guess2, slots2, g2, hit2), (self.guess1, slots1, g1, right1)):
+            sure = g & 3
+            table[slots] = np.where(right, g + (sure < 3), np.where(sure > 1, g - 1, new))
+        for counts, at in ((self.met, contexts.ravel()), (self.hits2, contexts[hit2]), (self.hits1, contexts[right1 & ~hit2])):
+            counts += np.bincount(at, minlength=len(counts))
+        self._weigh()
+
+    def share0(self, x: np.ndarray, leaf: np.ndarray, lane: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and size of the ids' order-0 intervals."""
+        at, flat = lane * (_LEAVES + 1) + leaf, self.share.reshape(-1)
+        start = flat.take(at).astype(np.int64)
+        size = (flat.take(at + 1) - start) * self.unit.take(leaf)
+        return start * self.scale + (x - self.first.take(leaf)) * size, size
 
 
 def block_sizes(n: int) -> list[int]:
@@ -141,120 +157,178 @@ def block_sizes(n: int) -> list[int]:
     return [min(size, n - i) for i in range(0, n, size)]
 
 
+def _groups(blocks: list) -> list[list]:
+    """The blocks in groups of about equal size, at most TOGETHER each."""
+    groups = max(1, -(-len(blocks) // TOGETHER))
+    size = max(1, -(-len(blocks) // groups))
+    return [blocks[k : k + size] for k in range(0, len(blocks), size)]
+
+
 def encode_blocks(ids: np.ndarray, vocabulary: int) -> list[bytes]:
     """The payloads of the blocks of an id array."""
-    n = len(ids)
-    if not n:
-        return []
-    sizes = block_sizes(n)
-    lanes, block = len(sizes), sizes[0]
-    x = np.zeros(lanes * block, np.int64)
-    x[:n] = ids
+    sizes = block_sizes(len(ids))
+    payloads, at = [], 0
+    for own in _groups(sizes):
+        payloads += _encode_lanes(ids[at : at + sum(own)], own, vocabulary)
+        at += sum(own)
+    return payloads
+
+
+def _encode_lanes(ids: np.ndarray, sizes: list[int], vocabulary: int) -> list[bytes]:
+    """Codes blocks of one size, of which only the last may be shorter."""
+    lanes, block, last = len(sizes), sizes[0], sizes[-1]
+    x = np.zeros(lanes * block, np.int32)
+    x[: len(ids)] = ids
     x = np.ascontiguousarray(x.reshape(lanes, block).T)
     mixer = _Mixer(lanes, vocabulary)
-    leaves = mixer.leaf_of[x]
-    low, size = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
-    out = np.zeros((lanes, block * 3 + 8), ">u2")
-    flat, used = out.reshape(-1), np.arange(lanes) * out.shape[1]
-    last = sizes[-1]
-    length = [0] * lanes
-    for t in range(block):
-        own, leaf = x[t], leaves[t]
-        mixer.weights()
-        hit2 = own == mixer.id2
-        hit1 = (own == mixer.id1) & ~hit2
-        start0, size0 = mixer.share0(own, leaf)
-        whole0 = mixer.total * mixer.scale
-        start = np.where(hit2, 0, np.where(hit1, mixer.w2 * whole0, (mixer.w2 + mixer.w1) * whole0 + mixer.w0 * start0))
-        part = np.where(hit2, mixer.w2 * whole0, np.where(hit1, mixer.w1 * whole0, mixer.w0 * size0))
-        r = size // np.uint64(_FIXED * whole0)
-        low += r * start.astype(np.uint64)
-        size = r * part.astype(np.uint64)
-        while True:
-            settled = (low ^ (low + size)) < _TOP
-            tight = ~settled & (size < _LEAST)
-            if not (settled | tight).any():
-                break
-            size = np.where(tight, (~low + np.uint64(1)) & (_LEAST - np.uint64(1)), size)
-            move = np.flatnonzero(settled | tight)
-            flat[used[move]] = low[move] >> _48
-            used[move] += 1
-            low[move] <<= _16
-            size[move] <<= _16
-        mixer.learn(own, hit2, hit1, leaf)
-        if t == last - 1:
-            length[-1] = int(used[-1]) - (lanes - 1) * out.shape[1]
-            tail = int(low[-1])
-    payloads = []
-    for k in range(lanes):
-        words = length[k] if k == lanes - 1 else int(used[k]) - k * out.shape[1]
-        end = tail if k == lanes - 1 else int(low[k])
-        payloads.append(out[k, :words].tobytes() + end.to_bytes(8, "big"))
-    return payloads
+    bits, shift = mixer.bits, mixer.shift
+    low, size = np.zeros(lanes, np.int64), np.full(lanes, (1 << _WINDOW) - 1, np.int64)
+    # digits by place and lane, a carry still in bit 16; the last column takes what a finished lane writes
+    out = np.zeros((block * 3 + 8, lanes + 1), np.int32)
+    flat, place = out.reshape(-1), np.arange(lanes)
+    digits = np.zeros(lanes, np.int64)
+    before, renewed = np.zeros((2, lanes), np.int64), 0
+    for a, b, renew in _parts(block):
+        if renew:
+            mixer.renew(x[renewed:a])
+            renewed = a
+        own = x[a:b].astype(np.int64)
+        before = np.concatenate([before, own])
+        slots2, slots1 = mixer.slots(before[1:-1], before[:-2])
+        before = before[-2:]
+        id2, id1, contexts = mixer.contexts(mixer.guess2.take(slots2), mixer.guess1.take(slots1))
+        after2, after1 = mixer.after2.take(contexts), mixer.after1.take(contexts)
+        start0, part0 = mixer.share0(own, mixer.leaf_of.take(own), mixer.lane)
+        weight0 = _FIXED - (after1 >> bits)
+        hit2, right1 = id2 == own, id1 == own
+        starts = np.where(hit2, 0, np.where(right1, after2, after1 + weight0 * start0))
+        parts = np.where(hit2, after2, np.where(right1, after1 - after2, weight0 * part0))
+        for t in range(b - a):
+            r = size >> shift
+            low += r * starts[t]
+            size = r * parts[t]
+            move = np.flatnonzero(size < _LEAST)
+            while len(move):
+                held, at = low[move], place[move]
+                flat[at] = held >> _DIGIT
+                place[move] = at + (lanes + 1)
+                low[move] = (held & (_LEAST - 1)) << 16
+                grown = size[move] << 16
+                size[move] = grown
+                move = move[grown < _LEAST]
+            if a + t == last - 1 < block - 1:
+                flat[place[-1]] = (low[-1] + _LEAST - 1) >> _DIGIT
+                digits[-1] = place[-1] // (lanes + 1) + 1
+                place[-1] = lanes
+        mixer.learn(x[a:b], slots2, slots1, contexts)
+    done = lanes if last == block else lanes - 1
+    flat[place[:done]] = (low[:done] + _LEAST - 1) >> _DIGIT
+    digits[:done] = place[:done] // (lanes + 1) + 1
+    for k in range(int(digits.max()) - 1, 0, -1):
+        out[k - 1] += out[k] >> 16
+    rows = np.ascontiguousarray(out[: int(digits.max()), :lanes].astype(np.uint16).T).astype(">u2")
+    return [rows[k, :n].tobytes().rstrip(b"\0") for k, n in enumerate(digits)]  # a reader goes on with zeros
 
 
 def decode_blocks(payloads: list[bytes], sizes: list[int], vocabulary: int) -> np.ndarray:
     """The ids of blocks, in order; a block's size is its number of ids."""
-    if not payloads:
-        return np.zeros(0, np.int32)
+    parts = [_decode_lanes(p, n, vocabulary) for p, n in zip(_groups(payloads), _groups(sizes))]
+    return np.concatenate(parts) if parts else np.zeros(0, np.int32)
+
+
+def _divided(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a // b of positive numbers."""
+    return (a.view(np.uint64) // b.view(np.uint64)).view(np.int64)
+
+
+def _decode_lanes(payloads: list[bytes], sizes: list[int], vocabulary: int) -> np.ndarray:
     lanes, longest = len(payloads), max(sizes)
     mixer = _Mixer(lanes, vocabulary)
-    width = max(map(len, payloads)) // 2 + 8
-    words = np.zeros((lanes, width), np.uint64)
+    bits, shift = mixer.bits, mixer.shift
+    held = np.zeros((lanes, max(map(len, payloads)) // 2 + 8), np.uint16)
     for k, p in enumerate(payloads):
-        own = np.frombuffer(p, ">u2")
-        words[k, : len(own)] = own
-    flat, used = words.reshape(-1), np.arange(lanes) * width
-    end = used + width - 1
-    code = np.zeros(lanes, np.uint64)
-    for _ in range(4):
-        code = (code << _16) | flat[used]
-        used += 1
-    low, size = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
+        own = np.frombuffer(p + b"\0" * (len(p) & 1), ">u2")
+        held[k, : len(own)] = own
+    # the window has 62 bits: all digits move two bits down, so that it starts with four whole words
+    words = held >> 2
+    words[:, 1:] |= (held[:, :-1] & 3) << 14
+    words = np.ascontiguousarray(words.T)
+    flat, place = words.reshape(-1), np.arange(lanes) + 4 * lanes
+    code = np.zeros(lanes, np.int64)
+    for k in range(4):
+        code = (code << 16) | words[k]
+    size = np.full(lanes, (1 << _WINDOW) - 1, np.int64)
     out = np.zeros((longest, lanes), np.int32)
-    for t in range(longest):
-        mixer.weights()
-        whole0 = mixer.total * mixer.scale
-        r = size // np.uint64(_FIXED * whole0)
-        target = np.minimum((code - low) // r, np.uint64(_FIXED * whole0 - 1)).astype(np.int64)
-        after2 = mixer.w2 * whole0
-        after1 = after2 + mixer.w1 * whole0
-        hit2 = target < after2
-        hit1 = ~hit2 & (target < after1)
-        literal = mixer.find0(np.maximum(target - after1, 0) // mixer.w0)
-        own = np.where(hit2, mixer.id2, np.where(hit1, mixer.id1, literal)).astype(np.int64)
-        own = np.minimum(own, len(mixer.leaf_of) - 1)  # a finished lane reads on past its block
-        leaf = mixer.leaf_of[own]
-        start0, size0 = mixer.share0(own, leaf)
-        start = np.where(hit2, 0, np.where(hit1, after2, after1 + mixer.w0 * start0))
-        part = np.where(hit2, after2, np.where(hit1, after1 - after2, mixer.w0 * size0))
-        low += r * start.astype(np.uint64)
-        size = r * part.astype(np.uint64)
-        while True:
-            settled = (low ^ (low + size)) < _TOP
-            tight = ~settled & (size < _LEAST)
-            if not (settled | tight).any():
-                break
-            size = np.where(tight, (~low + np.uint64(1)) & (_LEAST - np.uint64(1)), size)
-            move = np.flatnonzero(settled | tight)
-            code[move] = (code[move] << _16) | flat[np.minimum(used[move], end[move])]
-            used[move] += 1
-            low[move] <<= _16
-            size[move] <<= _16
-        mixer.learn(own, hit2, hit1, leaf)
-        out[t] = own
-    return np.concatenate([out[:n, k] for k, n in enumerate(sizes)])
+    whole, bound = (1 << shift) - 1, np.arange(lanes, dtype=np.int32) * _COUNTED
+    near, far = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+    slots2, slots1, contexts = (np.empty((_STEPS, lanes), np.int64) for _ in range(3))
+    share, renewed, depth = mixer.share.reshape(-1), 0, mixer.scale.bit_length() - 1
+    for a, b, renew in _parts(longest):
+        if renew:
+            mixer.renew(out[renewed:a])
+            renewed = a
+            keys = (mixer.share[:, :-1] + bound[:, None]).reshape(-1)
+        for t in range(b - a):
+            slots2[t], slots1[t] = slot2, slot1 = mixer.slots(near, far)
+            id2, id1, context = mixer.contexts(mixer.guess2.take(slot2), mixer.guess1.take(slot1))
+            contexts[t] = context
+            after2, after1 = mixer.after2.take(context), mixer.after1.take(context)
+            r = size >> shift
+            target = np.minimum(_divided(code, r), whole)
+            beyond2 = target >= after2
+            own = np.where(beyond2, id1, id2).astype(np.int64)
+            start = after2 * beyond2
+            part = np.where(beyond2, after1 - after2, after2)
+            rare = np.flatnonzero(target >= after1)
+            base, lane = after1[rare], mixer.lane[rare]
+            weight = _FIXED - (base >> bits)
+            inner = _divided(target[rare] - base, weight)
+            leaf = np.searchsorted(keys, (inner >> depth).astype(np.int32) + bound[rare], "right") - 1 - lane * _LEAVES
+            at = lane * (_LEAVES + 1) + leaf
+            from0 = share.take(at).astype(np.int64)
+            size0 = (share.take(at + 1) - from0) * mixer.unit.take(leaf)
+            from0 <<= depth
+            nth = _divided(inner - from0, size0)
+            own[rare] = mixer.first.take(leaf) + nth
+            start[rare] = base + weight * (from0 + nth * size0)
+            part[rare] = weight * size0
+            code -= r * start
+            size = r * part
+            move = np.flatnonzero(size < _LEAST)
+            while len(move):
+                at = place[move]
+                code[move] = (code[move] << 16) | flat.take(at, mode="clip")  # a finished lane reads on past its block
+                place[move] = at + lanes
+                grown = size[move] << 16
+                size[move] = grown
+                move = move[grown < _LEAST]
+            out[a + t] = own
+            near, far = own, near
+        mixer.learn(out[a:b], slots2[: b - a], slots1[: b - a], contexts[: b - a])
+    out = np.ascontiguousarray(out.T)
+    return np.concatenate([out[k, :n] for k, n in enumerate(sizes)])
 
 
 def crc(ids: np.ndarray) -> int:
     """Unsigned crc32 of the ids as little-endian unsigned 32-bit integers."""
-    return zlib.crc32(ids.astype("<u4").tobytes())
+    return zlib.crc32(np.ascontiguousarray(ids, "<u4"))
+
+
+_BYTES = np.arange(256)
+#: bytes before which a space begins a unit: all but white space and the first bytes of white space beyond ASCII
+_AFTER_CUT = (_BYTES > 32) & ~np.isin(_BYTES, [0xC2, 0xE1, 0xE2, 0xE3])
+_LETTER = ((_BYTES | 32) >= 97) & ((_BYTES | 32) <= 122)
+_MARK = np.isin(_BYTES, list(b",.;:!?)"))
+_END = np.array([END_ID], np.int32)
 
 
 class TextEncoder:
     """Ids of whole texts by the tokenizers library, which encodes each distinct
-    unit once: the vocabulary's words never reach over a space that follows
-    anything and precedes a character that is not white space."""
+    unit once: the pattern of the byte-level vocabularies always ends a word before a
+    space that precedes a character that is not white space, and between an ASCII
+    letter and one of ``,.;:!?)``.  Units are found on the byte buffer of a column and
+    made distinct by Arrow; the ids of the first ``MEMO_UNITS`` distinct units are
+    kept end to end in one array, from which the ids of all texts are gathered."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -262,23 +336,67 @@ class TextEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
         self.vocabulary = self.library.get_vocab_size()
-        self.memo: dict[str, tuple[int, ...]] = {}
+        self.number: dict[str, int] = {}
+        self.ids, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int32)
+
+    def _lists(self, units: list[str]) -> tuple[pa.ListArray, np.ndarray]:
+        """Lists of ids, and the number of each distinct unit's list among them."""
+        number = np.fromiter(map(self.number.get, units, repeat(-1)), np.int64, len(units))
+        ids, ends = self.ids, self.ends
+        unknown = np.flatnonzero(number < 0)
+        if len(unknown):
+            new = [units[i] for i in unknown.tolist()]
+            found = [e.ids for e in self.library.encode_batch_fast(new, add_special_tokens=False)]
+            upto = np.cumsum(np.fromiter(map(len, found), np.int32, len(found)), dtype=np.int32)
+            ids = np.concatenate([ids, np.fromiter(chain.from_iterable(found), np.int32, int(upto[-1]))])
+            ends = np.concatenate([ends, ends[-1] + upto])
+            first = len(self.number)
+            number[unknown] = first + np.arange(len(new))
+            kept = min(len(new), max(0, MEMO_UNITS - first))
+            if kept:
+                self.number.update(zip(new[:kept], range(first, first + kept)))
+                self.ends = ends[: first + kept + 1].copy()
+                self.ids = ids[: self.ends[-1]].copy()
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(ids)), number
+
+    def _slice(self, data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the units between the cuts, and how many lie before each cut."""
+        own = np.ascontiguousarray(data[cuts[0] : cuts[-1]])
+        units = pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts - cuts[0]), pa.py_buffer(own)).dictionary_encode()
+        lists, number = self._lists(units.dictionary.to_pylist())
+        found = lists.take(pa.array(number[units.indices.to_numpy(zero_copy_only=False)]))
+        return found.flatten().to_numpy(), np.concatenate(([0], np.cumsum(found.value_lengths().to_numpy(zero_copy_only=False))))
+
+    def encode_column(self, column: pa.Array):
+        """Arrays of ids, one for each text of a column, in order."""
+        for _, data, offsets in text_chunks(column, SLICE):
+            yield from self._chunk(data, offsets)
+
+    def _chunk(self, data: np.ndarray, offsets: np.ndarray):
+        held, text, first, step = [], 0, 0, SLICE
+        while text < len(offsets) - 1:
+            bound = min(first + step, len(data))
+            space = first + np.flatnonzero(data[first:bound] == 32)
+            space = space[space + 1 < len(data)]
+            cut = np.zeros(bound - first + 1, bool)
+            cut[0] = True
+            cut[space[_AFTER_CUT[data[space + 1]]] - first] = True
+            cut[1:-1] |= _LETTER[data[first : bound - 1]] & _MARK[data[first + 1 : bound]]
+            cut[offsets[np.searchsorted(offsets, first) : np.searchsorted(offsets, bound, "right")] - first] = True
+            cuts = first + np.flatnonzero(cut)
+            if len(cuts) < 2 and bound < len(data):  # one unit reaches over the whole slice
+                step *= 2
+                continue
+            ids, upto = self._slice(data, cuts)
+            done, last = 0, int(np.searchsorted(offsets, cuts[-1], "right")) - 1
+            for end in upto[np.searchsorted(cuts, offsets[text + 1 : last + 1])].tolist():
+                yield np.concatenate([*held, ids[done:end], _END])
+                held, done = [], end
+            held.append(ids[done:])
+            text, first, step = max(text, last), int(cuts[-1]), SLICE
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [re.split(r"(?= \S)", t) if re.search(r" \s|^ ", t) else self._cut(t) for t in texts]
-        new = set(chain.from_iterable(cut)).difference(self.memo)
-        if len(self.memo) + len(new) > MEMO_UNITS:
-            self.memo.clear()
-            new = set(chain.from_iterable(cut))
-        new = sorted(new)
-        for unit, e in zip(new, self.library.encode_batch(new, add_special_tokens=False)):
-            self.memo[unit] = tuple(e.ids)
-        get = self.memo.__getitem__
-        return [np.array([*chain.from_iterable(map(get, units)), END_ID], np.int32) for units in cut]
-
-    @staticmethod
-    def _cut(text: str) -> list[str]:
-        return text.replace(" ", "\0 ").split("\0") if "\0" not in text else re.split(r"(?= \S)", text)
+        return list(self.encode_column(pa.array(texts, pa.string())))
 
 
 @lru_cache(2)
@@ -315,15 +433,13 @@ def store(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     def run(batches):
         encoder, seq, doc_ids, parts, held = _encoder(path), 0, [], [], 0
         for batch in batches:
-            for i in range(0, len(batch), 500):
-                own = batch.slice(i, 500)
-                for doc_id, ids in zip(own.column(0).to_pylist(), encoder.encode([t or "" for t in own.column(1).to_pylist()])):
-                    doc_ids.append(doc_id)
-                    parts.append(ids)
-                    held += len(ids)
-                    if held >= SEGMENT:
-                        yield segment(seq, doc_ids, parts)
-                        seq, doc_ids, parts, held = seq + 1, [], [], 0
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode_column(batch.column(1))):
+                doc_ids.append(doc_id)
+                parts.append(ids)
+                held += len(ids)
+                if held >= SEGMENT:
+                    yield segment(seq, doc_ids, parts)
+                    seq, doc_ids, parts, held = seq + 1, [], [], 0
         if parts:
             yield segment(seq, doc_ids, parts)
 

@@ -387,6 +387,33 @@ def test_units_give_the_library_ids():
         assert ids.tolist() == encoder.library.encode(text, add_special_tokens=False).ids + [2]
 
 
+def test_slices_and_groups_change_nothing(monkeypatch):
+    encoder = token_store.TextEncoder(token_store.default_tokenizer())
+    texts = ["", passage(3, 400), "x" * 900, " lead, and (more). It's 5.5!", None, "é è ,à; ü:ö " * 60, "a" * 300 + " " + "b" * 300, ""]
+    expected = [encoder.library.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+    for size in (1, 7, 64, 1 << 20):
+        monkeypatch.setattr(token_store, "SLICE", size)
+        monkeypatch.setattr(token_store, "MEMO_UNITS", size)
+        own = token_store.TextEncoder(token_store.default_tokenizer())
+        for _ in range(2):  # the second time from what was kept
+            assert [x.tolist() for x in own.encode(texts)] == expected
+            assert len(own.number) <= size
+    ids = np.random.default_rng(4).zipf(1.4, 40_000) % 50257
+    whole = token_store.encode_blocks(ids, 50257)
+    monkeypatch.setattr(token_store, "TOGETHER", 13)
+    assert token_store.encode_blocks(ids, 50257) == whole  # a block's bytes do not depend on the others
+    assert (token_store.decode_blocks(whole, token_store.block_sizes(len(ids)), 50257) == ids).all()
+
+
+def test_a_very_long_text_and_clashing_columns_are_stored(spark):
+    long = passage(5, 3000) + "z" * 200_000 + " end."
+    docs = spark.createDataFrame([(1, long, 7, "c", 9), (1, long, 7, "c", 9), (2, "t", 1, "c", 2)], "doc_id long, text string, shard int, ids string, start long")
+    library = token_store.TextEncoder(token_store.default_tokenizer()).library
+    n = len(library.encode(long, add_special_tokens=False).ids) + 1
+    got = sorted((r.start, r.doc_id, r.n_tokens) for r in token_store.report(docs).collect())
+    assert got == [(0, 1, n), (n, 1, n), (2 * n, 2, 2)]
+
+
 def test_a_damaged_block_is_noticed(spark):
     docs = spark.createDataFrame([(1, passage(1, 50))], "doc_id long, text string")
     files = token_store.store(docs).withColumn("blocks", F.transform("blocks", lambda b: b.withField("crc", b["crc"] + 1)))
