@@ -2,8 +2,8 @@
 
 The listed canonical URLs are rules (host, path, verdict); a rule fits its host
 and all subdomains if the url's path starts with the rule's path.  A url's keys
-are all pairs of a host suffix and a path prefix of a listed length.  The Bloom
-filter puts each listed key's bits into one 64-bit block; the keys whose block
+are all pairs of a host suffix, of at most as many labels as the longest listed host,
+and a path prefix of a listed length.  The Bloom filter puts each listed key's bits into one 64-bit block; the keys whose block
 has all their bits go to an exact hash join with the list, which removes the
 false positives.  The longest fitting rule wins (then the longer host).
 
@@ -14,7 +14,10 @@ Defined results: a null url, or one without ``://``, has an empty host and path
 and, like any url that no rule fits, the verdict allow and a null rule; of
 several verdicts for one rule, block wins; rules with a null or empty host, a
 null path or another verdict than allow or block are ignored; repeated urls are
-judged alike; empty tables give no rows."""
+judged alike, and ties between rules of one length go to the longer host; empty
+tables give no rows.  Very long urls are judged whole: a url's keys are as many as
+labels times path lengths of the list, whatever its own length.  Columns besides
+page_id and url are not read, whatever their names."""
 
 from __future__ import annotations
 
@@ -28,7 +31,7 @@ BITS_PER_KEY = 16
 PROBES = 4
 MAX_BLOCKS = 1 << 20  # of 8 bytes each
 BROADCAST_RULES = 200_000
-MAX_PREFIX_LENGTHS = 4_096  # distinct path lengths in the list
+MAX_PREFIX_LENGTHS = 4_096  # distinct path lengths of a list up to which they are constants of the query; more are joined as a table
 
 #: Host, path, verdict.
 RULES = [
@@ -73,22 +76,33 @@ def bloom_filter(keys: DataFrame, n_keys: int) -> tuple[DataFrame, int]:
     return keys.groupBy(_block(F.col("key"), blocks).alias("block")).agg(F.bit_or(_mask(F.col("key"))).alias("bits")), blocks
 
 
+def _labels(name: Column) -> Column:
+    """How many labels a host has."""
+    return F.length(name) - F.length(F.replace(name, F.lit("."), F.lit(""))) + 1
+
+
+def _with_prefixes(keys: DataFrame, lengths: DataFrame) -> DataFrame:
+    """Each key with its path's prefixes of the listed lengths."""
+    sizes = sorted(r[0] for r in lengths.limit(MAX_PREFIX_LENGTHS + 1).collect())
+    if len(sizes) <= MAX_PREFIX_LENGTHS:
+        prefixes = F.array(*[F.substring("path", 1, n) for n in sizes]).cast("array<string>")
+        return keys.select("host", "path", "suffix", F.explode(F.array_distinct(prefixes)).alias("prefix"))
+    each = keys.withColumn("size", F.explode(F.sequence(F.lit(0), F.length("path"))))
+    return each.join(lengths, "size").select("host", "path", "suffix", F.substring("path", F.lit(1), F.col("size")).alias("prefix"))
+
+
 def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFrame:
     """page_id, host, path, rule and verdict of each page."""
     rules = rules.filter("rule_host is not null and rule_host != '' and rule_path is not null and verdict in ('allow', 'block')")
     rules = rules.groupBy(lower_ascii(F.col("rule_host")).alias("rule_host"), "rule_path").agg(F.max("verdict").alias("rule_verdict"))
     listed = rules.select(F.concat("rule_host", "rule_path").alias("rule"), F.concat_ws("\0", "rule_host", "rule_path").alias("key"), F.length("rule_host").alias("host_length"), "rule_verdict")
-    n_rules = listed.count()
-    lengths = [r[0] for r in rules.select(F.length("rule_path")).distinct().limit(MAX_PREFIX_LENGTHS + 1).collect()]
-    if len(lengths) > MAX_PREFIX_LENGTHS:
-        raise ValueError(f"rules of more than {MAX_PREFIX_LENGTHS} path lengths")
+    n_rules, most_labels = rules.select(F.count(F.lit(1)), F.coalesce(F.max(_labels(F.col("rule_host"))), F.lit(0))).first()
+    lengths = rules.select(F.length("rule_path").alias("size")).distinct()
 
     out = pages.select("page_id", "url", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
-    labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    prefixes = F.array(*[F.substring("path", 1, n) for n in sorted(lengths)]).cast("array<string>")
-    keys = out.select("host", "path").distinct().filter("host != ''").select("host", "path", F.explode(suffixes).alias("suffix"))
-    keys = keys.select("host", "path", "suffix", F.explode(F.array_distinct(prefixes)).alias("prefix"))
+    suffixes = F.transform(F.sequence(F.lit(1), F.least(_labels(F.col("host")), F.lit(most_labels))), lambda k: F.call_function("substring_index", "host", F.lit("."), -k))
+    keys = out.select("host", "path").distinct().filter(F.col("host") != "").filter(F.lit(most_labels > 0)).select("host", "path", F.explode(suffixes).alias("suffix"))
+    keys = _with_prefixes(keys, lengths)
     keys = keys.select("host", "path", F.concat_ws("\0", "suffix", "prefix").alias("key"))
 
     bloom, blocks = bloom_filter(listed, n_rules)

@@ -1,5 +1,6 @@
 import hashlib
 import html
+import itertools
 import re
 
 import duckdb
@@ -14,7 +15,7 @@ SF = "/root/testdata/sf0.01"
 def same_as_sql(spark, name):
     got = registry.queries()[name](spark, SF)
     con = duckdb.connect()
-    for table in ("pages", "conversations", "documents", "benchmark"):
+    for table in ("pages", "conversations", "documents", "benchmark", "embeddings"):
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     want = con.sql(registry.oracle_sql()[name])
     assert sorted(got.columns) == sorted(want.columns)
@@ -65,6 +66,18 @@ def test_exact_join_removes_false_positives(spark, monkeypatch):
     assert all((r.verdict == "block") == (r.page_id < 400) for r in rows) and len(rows) == 800
 
 
+def test_any_number_of_path_lengths_and_very_long_urls(spark, monkeypatch):
+    deep = ".".join(["a"] * 20_000)
+    rules = [("example.com", "/" + "p" * k, "block" if k % 2 else "allow") for k in range(30)] + [("b.example.com", "/", "allow"), ("com", "", "block")]
+    urls = [(i, f"http://{h}/{'p' * k}{t}") for i, (h, k, t) in enumerate(itertools.product(["example.com", "b.example.com", f"{deep}.example.com", "x.com.", "..com", "other.org"], [0, 7, 30, 50_000], ["", "q/"]))]
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    want = sorted((i, *plain_verdict(u, rules)) for i, u in urls)
+    for most in (4096, 5):  # as constants, and joined as a table
+        monkeypatch.setattr(url_filter, "MAX_PREFIX_LENGTHS", most)
+        key = lambda r: (r[0], r[1], r[2], r[3] or "", r[4])
+        assert sorted((tuple(r) for r in url_filter.judge(pages, url_filter.rule_table(spark, rules)).collect()), key=key) == sorted(want, key=key)
+
+
 def test_filter_holds_every_listed_key(spark):
     keys = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("key"))
     bloom, blocks = url_filter.bloom_filter(keys, 5000)
@@ -140,7 +153,6 @@ def test_labels_of_unseen_pages():
 
 
 def test_viterbi_is_the_best_path():
-    import itertools
 
     import numpy as np
 
