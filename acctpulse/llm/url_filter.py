@@ -87,7 +87,8 @@ def _with_prefixes(keys: DataFrame, lengths: DataFrame) -> DataFrame:
     if len(sizes) <= MAX_PREFIX_LENGTHS:
         prefixes = F.array(*[F.substring("path", 1, n) for n in sizes]).cast("array<string>")
         return keys.select("host", "path", "suffix", F.explode(F.array_distinct(prefixes)).alias("prefix"))
-    each = keys.withColumn("size", F.explode(F.sequence(F.lit(0), F.length("path"))))
+    longest = lengths.agg(F.max("size")).first()[0]
+    each = keys.withColumn("size", F.explode(F.sequence(F.lit(0), F.least(F.length("path"), F.lit(longest)))))
     return each.join(lengths, "size").select("host", "path", "suffix", F.substring("path", F.lit(1), F.col("size")).alias("prefix"))
 
 
