@@ -16,6 +16,11 @@ def _nulls(c) -> F.Column:
     return F.sum(F.when(c, F.lit(1)).otherwise(F.lit(0)))
 
 
+def _rows(n) -> F.Column:
+    """A count; over an empty table, footers give NULL for it."""
+    return F.greatest(n, F.lit(0).cast("bigint"))
+
+
 def _blank(name: str) -> F.Column:
     return F.col(name).isNull() | (F.col(name) == "")
 
@@ -23,7 +28,7 @@ def _blank(name: str) -> F.Column:
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """R1."""
     return reduce(DataFrame.unionByName, [
-        df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), _rows("row_count").alias("row_count"))
         for name, df in tables.items()])
 
 
@@ -38,7 +43,7 @@ def schema_report(tables: dict[str, DataFrame]) -> DataFrame:
         kinds = [NEUTRAL_TYPES.get(f.dataType.typeName().split("(")[0], f.dataType.typeName()) for f in df.schema]
         stack = ", ".join(f"'{f.name}', '{k}', c{i}" for i, (f, k) in enumerate(zip(df.schema, kinds)))
         parts.append(filled.selectExpr("row_count", f"stack({len(kinds)}, {stack}) AS (column_name, data_type, filled)").select(
-            F.lit(name).alias("table_name"), "column_name", "data_type", "row_count", "filled"))
+            F.lit(name).alias("table_name"), "column_name", "data_type", _rows("row_count").alias("row_count"), _rows("filled").alias("filled")))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -106,12 +111,14 @@ def submission_date_range(events: DataFrame) -> DataFrame:
 
 
 def submissions_nulls(events: DataFrame) -> DataFrame:
-    """R10."""
+    """R10, by plain counts, which stored tables answer from their footers
+    (``laid_out.read_with_statistics``); NULL on an empty table."""
+    rows = F.nullif(F.count(F.lit(1)), F.lit(0))
     return events.agg(
-        _nulls(F.col("account_id").isNull()).alias("account_id_nulls"),
-        _nulls(F.col("user_id").isNull()).alias("user_id_nulls"),
-        _nulls(F.col("product").isNull()).alias("product_nulls"),
-        _nulls(F.col("submission_date").isNull()).alias("date_nulls"),
+        (rows - F.count("account_id")).alias("account_id_nulls"),
+        (rows - F.count("user_id")).alias("user_id_nulls"),
+        (rows - F.count("product")).alias("product_nulls"),
+        (rows - F.count("submission_date")).alias("date_nulls"),
     )
 
 

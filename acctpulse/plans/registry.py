@@ -8,6 +8,7 @@ from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import FIXTURE_CONFIG, FIXTURE_QUARTERS_CONFIG, FIXTURE_WINDOWS
 from ..functions.portable import portable
@@ -16,6 +17,7 @@ from ..operators import profiling as R
 from ..operators import quality as Q
 from ..operators.benchmarks import segment_benchmarks
 from ..operators.mart import account_base, exclude_shells, own_scores, score_accounts, score_window_sets, scored_accounts, stage_all
+from ..operators.range_checks import FIGURES, check_ranges, totals
 from ..operators.windows import window_activity
 from ..sources.fixtures import raw_tables
 from . import oracle as O
@@ -81,6 +83,14 @@ def _raw_checks(kind: str) -> Query:
     return run
 
 
+def _key_ranges(spark, sf_dir):
+    """Q2 of the submission ids and Q4 of their accounts on the raw tables, by ranges of hashes."""
+    raw = raw_tables(spark, sf_dir)
+    ids = totals(check_ranges(raw["submissions"], "submission_id")).select(F.lit("submission_id").alias("key_name"), *FIGURES)
+    accounts = totals(check_ranges(raw["submissions"], "account_id", raw["accounts"])).select(F.lit("account_id").alias("key_name"), *FIGURES)
+    return portable(ids.unionByName(accounts))
+
+
 def _mart_check(fn) -> Query:
     return lambda spark, sf_dir: portable(fn(score_accounts(raw_tables(spark, sf_dir), FIXTURE_CONFIG)))
 
@@ -131,6 +141,7 @@ def queries() -> dict[str, Query]:
         "dq_raw_unique": _raw_checks("unique"),
         "dq_raw_accepted_values": _raw_checks("accepted_values"),
         "dq_raw_relationships": _raw_checks("relationships"),
+        "dq_key_ranges": _key_ranges,
         "dq_no_negative_arr": _mart_check(Q.no_negative_arr),
         "dq_score_range": _mart_check(Q.score_range),
         "dq_percentile_range": _mart_check(Q.percentile_range),

@@ -24,6 +24,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.parquet.filterPushdown", "true")
+        .config("spark.sql.parquet.aggregatePushdown", "true")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
@@ -50,6 +51,7 @@ def cluster_conf(shuffle_bytes: int, executors_cores: int, checkpoint_dir: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.files.maxPartitionBytes": "512m",
         "spark.sql.session.timeZone": "UTC",
+        "spark.sql.parquet.aggregatePushdown": "true",
         "spark.checkpoint.dir": checkpoint_dir,
     }
 
