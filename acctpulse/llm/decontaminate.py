@@ -8,15 +8,21 @@ a window's rarest and second rarest term, shifted by their offsets in the
 window, are intersected to starts; each surviving start is then compared with
 the document's words, so matches are exact.
 
-``proximity`` additionally returns documents that hold all terms of a window
-within a span of ``slack`` extra words, in any order, found from the same index.
+Proximity matches come from the same index: a document is near an item if a span
+of it, ``SLACK`` words longer than one of the item's windows, holds all different
+terms of the window, in any order.  Places are told apart by cells as wide as such
+a span; cells that the two rarest terms reach are compared with the document's
+words.  Every phrase match is a proximity match too.
 
 Words are the maximal runs of ASCII letters, digits and non-ASCII characters,
 with A-Z lower-cased.  Defined results: null texts and texts without words have
 no words and no windows; items with the same window all count; the windows of an
 item with a null item_id are searched like any other (n_hit, contaminated), but
 n_items and items_sha256 have no id to count or list; rows with a null doc_id, and rows that repeat a doc_id, are each
-judged by their own text; empty tables give no hits."""
+judged by their own text; empty tables give no hits; a very long text is split
+into words whole, in one task, and its postings are spread like any others; ties
+between equally rare terms go to the first in the window; of other columns,
+``keep_clean`` keeps all and the rest read none, whatever their names."""
 
 from __future__ import annotations
 
@@ -29,6 +35,7 @@ from pyspark.sql import Window as W
 from acctpulse.llm.common import fresh, written
 
 WINDOW = 10
+SLACK = 5
 BROADCAST_ROWS = 200_000  # bound on the benchmark-side rows that are broadcast
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -84,16 +91,22 @@ def index(docs: DataFrame, row: str, terms: DataFrame, n_terms: int) -> DataFram
     return tokens.join(_small(terms, n_terms), "term", "left_semi")
 
 
-def occurrences(docs: DataFrame, benchmark: DataFrame, row: str, size: int = WINDOW) -> DataFrame:
-    """(row, start, length, item_ids) of all windows in all documents."""
+def _indexed(docs: DataFrame, benchmark: DataFrame, row: str, size: int) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """The windows, their lookups, the postings of the looked-up terms and the number of windows."""
     windows = test_windows(benchmark, size)
     windows = written(windows.select(F.xxhash64("terms").alias("window_id"), "terms", "item_ids"), "windows")
-    n_windows = windows.count()
     terms = written(windows.select(F.explode("terms").alias("term")).distinct(), "terms")
     looked = written(lookups(windows, _term_counts(docs, terms, terms.count())), "lookups")
     wanted = written(looked.select(F.explode(F.array("term1", "term2")).alias("term")).distinct(), "wanted")
-    postings = written(index(docs, row, wanted, wanted.count()), "postings")
+    return windows, looked, written(index(docs, row, wanted, wanted.count()), "postings"), windows.count()
+
+
+def occurrences(docs: DataFrame, benchmark: DataFrame, row: str, size: int = WINDOW) -> DataFrame:
+    """(row, start, length, item_ids) of all windows in all documents."""
+    return _phrases(docs, row, *_indexed(docs, benchmark, row, size))
+
 
+def _phrases(docs: DataFrame, row: str, windows: DataFrame, looked: DataFrame, postings: DataFrame, n_windows: int) -> DataFrame:
     # all lists of a document meet in one task; a start that the rarest and the
     # second rarest term agree on has both bits
     spots = looked.select("window_id", F.explode(F.array(
@@ -121,9 +134,12 @@ def _with_row(docs: DataFrame) -> tuple[DataFrame, str, bool]:
 
 
 def report(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated of each document."""
+    """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated of each document by
+    phrase matches; n_near_items and near_items_sha256 by proximity matches."""
     docs, row, _ = _with_row(docs.select("doc_id", "text"))
-    hits = written(occurrences(docs, benchmark, row, size).distinct(), "hits")
+    windows, looked, postings, n_windows = _indexed(docs, benchmark, row, size)
+    hits = written(_phrases(docs, row, windows, looked, postings, n_windows).distinct(), "hits")
+    near = _near_items(_near(docs, row, looked, postings, n_windows, SLACK), windows).groupBy(row).agg(F.sort_array(F.collect_list("item")).alias("near"))
     items = hits.select(row, F.explode("item_ids").alias("item")).groupBy(row).agg(F.sort_array(F.collect_set("item")).alias("items"))
     # words in the union of the occurrences: what each adds beyond the furthest end before it
     span = hits.groupBy(row, "start").agg(F.max(F.col("start") + F.col("length")).alias("end"))
@@ -132,33 +148,56 @@ def report(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFra
     hit = added.groupBy(row).agg(F.sum(F.greatest(F.col("end") - F.col("from"), F.lit(0))).alias("n_hit"))
     found = hit.join(items, row, "left")
     counted = docs.select("doc_id", *([row] if row != "doc_id" else []), n_words(words(F.col("text"))).alias("n_words"))
-    out = counted.join(found, row, "left")
+    out = counted.join(found, row, "left").join(near, row, "left")
     none = F.array().cast("array<string>")
     return out.select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.size(F.coalesce("items", none)).cast("long").alias("n_items"),
         F.sha2(F.array_join(F.coalesce("items", none), ","), 256).alias("items_sha256"),
-        F.col("n_hit").isNotNull().alias("contaminated"))
-
-
-def proximity(docs: DataFrame, benchmark: DataFrame, slack: int = 5, size: int = WINDOW) -> DataFrame:
-    """(doc_id, item_id) whose document holds all terms of one of the item's
-    windows within size + slack words, in any order, by postings of all terms."""
-    windows = test_windows(benchmark, size).select(F.xxhash64("terms").alias("window_id"), "terms", "item_ids")
-    windows = written(windows, "proximity-windows")
-    n_windows = windows.count()
-    terms = written(windows.select(F.explode("terms").alias("term")).distinct(), "proximity-terms")
-    looked = written(lookups(windows, _term_counts(docs, terms, terms.count())), "proximity-lookups")
-    rare = looked.select("window_id", F.col("term1").alias("term"), F.array_distinct("terms").alias("needed"), F.size("terms").alias("length"), "item_ids")
-    wanted = written(rare.select("term").distinct(), "proximity-wanted")
-    postings = index(docs.select("doc_id", "text"), "doc_id", wanted, wanted.count())
-    near = postings.join(_small(rare, n_windows), "term").join(docs.select("doc_id", words(F.col("text")).alias("w")), "doc_id")
-    # every span of the allowed width that holds this place of the rarest term
-    width = F.col("length") + slack
-    begin = F.sequence(F.greatest(F.col("place") - width + 1, F.lit(0)), F.col("place"))
-    holds = F.exists(begin, lambda b: F.size(F.array_except("needed", F.slice("w", b + 1, width))) == 0)
-    found = near.filter(holds).select("doc_id", F.explode("item_ids").alias("item_id")).distinct()
-    return found.select("doc_id", F.col("item_id").cast(benchmark.schema["item_id"].dataType).alias("item_id"))
+        F.col("n_hit").isNotNull().alias("contaminated"),
+        F.size(F.coalesce("near", none)).cast("long").alias("n_near_items"),
+        F.sha2(F.array_join(F.coalesce("near", none), ","), 256).alias("near_items_sha256"))
+
+
+def proximity(docs: DataFrame, benchmark: DataFrame, slack: int = SLACK, size: int = WINDOW) -> DataFrame:
+    """(doc_id, item_id), each once, of the documents near an item; items without an
+    id are not listed, rows without a doc_id are listed under null."""
+    docs, row, _ = _with_row(docs.select("doc_id", "text"))
+    windows, looked, postings, n_windows = _indexed(docs, benchmark, row, size)
+    items = _near_items(_near(docs, row, looked, postings, n_windows, slack), windows)
+    named = items if row == "doc_id" else items.join(docs.select(row, "doc_id").distinct(), row)
+    return named.select("doc_id", F.col("item").cast(benchmark.schema["item_id"].dataType).alias("item_id")).distinct()
+
+
+def _near(docs: DataFrame, row: str, looked: DataFrame, postings: DataFrame, n_windows: int, slack: int) -> DataFrame:
+    """(row, window_id) with a span of the window's length and ``slack`` more words that holds all its terms."""
+    width = F.col("width")
+    spots = looked.select("window_id", (F.size("terms") + slack).alias("width"), F.explode(F.array(
+        F.struct(F.col("term1").alias("term"), F.lit(1).alias("role")), F.struct(F.col("term2").alias("term"), F.lit(2).alias("role")))).alias("s"))
+    spots = spots.select("window_id", "width", "s.*")
+    met = postings.repartition(row).join(_small(spots, 2 * n_windows), "term").withColumn("own", F.floor(F.col("place") / width))
+    # a span around the second term ends at most one cell from it: the first term is listed in the cells beside its own too
+    reach = F.when(F.col("role") == 1, F.array(F.col("own") - 1, F.col("own"), F.col("own") + 1)).otherwise(F.array("own"))
+    cells = (met.select(row, "window_id", "role", F.explode(reach).alias("cell"))
+             .groupBy(row, "window_id", "cell").agg(F.bit_or("role").alias("roles")).filter("roles = 3 AND cell >= 0"))
+    cells = written(cells.select(row, "window_id", "cell"), "near-cells")
+
+    rows = cells.select(row).distinct()
+    texts = docs.join(_small(rows, rows.count()), row, "left_semi").select(row, words(F.col("text")).alias("w"))
+    needed = looked.select("window_id", F.array_distinct("terms").alias("needed"), (F.size("terms") + slack).alias("width"))
+    # an empty first or last string of the split holds no term: it can only shorten a span
+    begin = F.greatest((F.col("cell") - 1) * width, F.lit(0)).cast("int")
+    around = cells.join(_small(needed, n_windows), "window_id").join(texts, row).select(
+        row, "window_id", "needed", "width", F.slice("w", begin + 1, 3 * width).alias("around"))
+    holds = lambda words_: F.size(F.array_except("needed", words_)) == 0
+    spans = F.sequence(F.lit(1), F.greatest(F.size("around") - width + 1, F.lit(1)))
+    found = around.filter(holds(F.col("around"))).filter(F.exists(spans, lambda b: holds(F.slice("around", b, width))))
+    return found.select(row, "window_id").distinct()
+
+
+def _near_items(near: DataFrame, windows: DataFrame) -> DataFrame:
+    """(row, item), each once; the items of a window are rows of their own."""
+    return near.join(windows.select("window_id", F.explode("item_ids").alias("item")), "window_id").drop("window_id").distinct()
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -185,9 +224,26 @@ dw AS (
 hits AS (SELECT dw.doc_id, dw.i, dw.size, bw.item_id FROM dw JOIN bw USING (terms)),
 places AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hits) GROUP BY doc_id),
 items AS (
-  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
-  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+  SELECT doc_id, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id),
+tw AS (
+  SELECT row_number() OVER () AS window_id, terms, len(list_distinct(terms)) AS needed, len(terms) + 5 AS width
+  FROM (SELECT DISTINCT terms FROM bw)),
+wt AS (SELECT window_id, needed, width, unnest(list_distinct(terms)) AS term FROM tw),
+seen AS (
+  SELECT doc_id, window_id, needed, width, term, p
+  FROM (SELECT doc_id, unnest(w) AS term, unnest(range(1, len(w) + 1)) AS p FROM d) JOIN wt USING (term)),
+whole AS (SELECT doc_id, window_id FROM seen GROUP BY doc_id, window_id, needed HAVING count(DISTINCT term) = needed),
+spans AS (
+  SELECT doc_id, window_id, needed,
+    count(DISTINCT term) OVER (PARTITION BY doc_id, window_id ORDER BY p RANGE BETWEEN CURRENT ROW AND width - 1 FOLLOWING) AS held
+  FROM seen SEMI JOIN whole USING (doc_id, window_id)),
+near AS (
+  SELECT doc_id, count(item) AS n_near, string_agg(item, ',' ORDER BY item) AS near_listed
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM spans JOIN tw USING (window_id) JOIN bw USING (terms) WHERE held = spans.needed)
+  GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
-  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(listed, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
-FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(listed, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated,
+  CAST(coalesce(n_near, 0) AS BIGINT) AS n_near_items, sha256(coalesce(near_listed, '')) AS near_items_sha256
+FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN near USING (doc_id)
 """

@@ -1,3 +1,4 @@
+import hashlib
 import itertools
 import random
 import re
@@ -342,6 +343,35 @@ def test_proximity_finds_reordered_terms(spark):
     assert sorted(tuple(r) for r in decontaminate.proximity(docs, bench).collect()) == [(1, 9), (3, 9)]
 
 
+def plain_near(text, items, slack=5, size=10):
+    words, found = plain_words(text), set()
+    for item, t in items:
+        own = plain_words(t)
+        for w in [own[i : i + size] for i in range(max(1, len(own) - size + 1))] if own else []:
+            width = len(w) + slack
+            if any(set(w) <= set(words[b : b + width]) for b in range(max(1, len(words) - width + 1))):
+                found.add(item)
+    return found
+
+
+def test_proximity_matches_brute_force(spark, odd_docs):
+    rng = random.Random(5)
+    vocabulary = passage(21, 14).split()
+    texts = [" ".join(rng.choices(vocabulary, k=rng.randrange(60))) for _ in range(60)] + ["", None, "!!" + " ".join(vocabulary[:12][::-1])]
+    rows = [(i if i % 9 else None, t) for i, t in enumerate(texts)] + [(1, texts[2]), (1, texts[1])]
+    items = [(i, " ".join(rng.sample(vocabulary, rng.randrange(1, 13)))) for i in range(12)] + [(None, vocabulary[0]), (3, vocabulary[1]), (20, None), (21, f"{vocabulary[2]} {vocabulary[2]} {vocabulary[3]}")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    known = [(i, t) for i, t in items if i is not None]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter((r.doc_id, r.n_near_items, r.near_items_sha256) for r in decontaminate.report(docs, bench).collect())
+    listed = lambda t: sorted(map(str, plain_near(t, known)))
+    assert got == Counter((i, len(listed(t)), hashlib.sha256(",".join(listed(t)).encode()).hexdigest()) for i, t in rows)
+    pairs = Counter(tuple(r) for r in decontaminate.proximity(docs, bench).collect())
+    assert pairs == Counter({(i, item) for i, t in rows for item in plain_near(t, known)})
+    odd = [(r.doc_id, r.text) for r in odd_docs.collect()]
+    assert Counter((r.doc_id, r.n_near_items) for r in decontaminate.report(odd_docs, bench).collect()) == Counter((i, len(plain_near(t, known))) for i, t in odd)
+
+
 # -- op2 token store
 
 
