@@ -15,12 +15,16 @@ joined in page order by a line break.
 
 Defined results: a null or empty html, or a page without article blocks, gives
 an empty text; a null page_id or url is kept; repeated rows are read alike; an
-empty table gives no rows."""
+empty table gives no rows; a very long page is read whole, in time and memory that
+grow with its length, however its tags nest or stay open; of two labellings of the
+same score the one with more furniture, from the end, is taken; other columns are
+not read."""
 
 from __future__ import annotations
 
 import html as references
 import re
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -37,8 +41,9 @@ _ATTRIBUTES = (
     r"(?:[^>=\"'/]++|=\s*+(?:\"[^\"]*\"|'[^']*'|(?:[^\s>/\"']|/(?!\s*>))(?:[^\s>/]|/(?!\s*>))*+)|[=\"']|/(?!\s*>))*+")
 _TAG = re.compile(
     rf"<!--.*?(?:-->|\Z)|<svg(?=[\s/>]){_ATTRIBUTES}/\s*>"
-    rf"|<({_SKIPPED})(?=[\s/>]){_ATTRIBUTES}/?\s*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)|<[!?][^>]*(?:>|\Z)"
+    rf"|<({_SKIPPED})(?=[\s/>]){_ATTRIBUTES}/?\s*>.*?(?:</\1(?=[\s/>])[^>]*(?:>|\Z)|\Z)|<[!?][^>]*(?:>|\Z)"
     rf"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)({_ATTRIBUTES}/?)\s*>", re.S | re.I)
+_UNCLOSED = re.compile(r"<[!?].*\Z|(\Z)(\Z)(\Z)(\Z)", re.S)  # after the last ">" nothing else can be a tag
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -46,45 +51,95 @@ _INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i img i
 _CONTAINERS = frozenset("article main section div aside nav header footer form body ul ol table".split())
 
 
+_ITEMS = frozenset("li tr td th dt dd option".split())
+_NOTHING: frozenset[str] = frozenset()
+PADDED = 1 << 17   # places that the pages decoded together may have, padding included
+
+
+class Element:
+    """An open element with what it and its ancestors say; what adds nothing shares its parent's sets."""
+
+    __slots__ = ("tag", "tags", "names", "own", "container", "main", "linked", "nearest")
+
+    def __init__(self, tag: str, names: frozenset[str], main: bool, number: int, parent: "Element | None", place: int, known: dict | None):
+        above = parent.tags if parent else _NOTHING
+        counts = tag not in above and (known is None or f"in:{tag}" in known)
+        self.tag, self.tags = tag, above | {tag} if counts else above
+        above = parent.names if parent else _NOTHING
+        self.names = above if names <= above else above | names
+        self.own = tag if tag not in _INLINE else parent.own if parent else ""
+        self.container = number if tag in _CONTAINERS else parent.container if parent else 0
+        self.main = main or bool(parent and parent.main)
+        self.linked = tag == "a" or bool(parent and parent.linked)
+        # the places of the open paragraph and items that the next block may close, up to the nearest container
+        self.nearest = {} if tag in _CONTAINERS or not parent else parent.nearest
+        if tag == "p" or tag in _ITEMS:
+            self.nearest = {**self.nearest, tag: place}
+
+
+_ROOT = Element("", _NOTHING, False, 0, None, -1, {})
+
+
 class Block:
-    __slots__ = ("text", "linked", "tags", "names", "container", "main")
+    __slots__ = ("text", "linked", "inside")
 
-    def __init__(self, text: str, linked: int, stack: list[tuple]):
-        self.text, self.linked = text, linked
-        self.tags = [e[0] for e in stack]
-        self.names = {n for e in stack for n in e[1]}
-        self.container = next((e[3] for e in reversed(stack) if e[0] in _CONTAINERS), 0)
-        self.main = any(e[2] for e in stack)
+    def __init__(self, text: str, linked: int, inside: Element):
+        self.text, self.linked, self.inside = text, linked, inside
 
+    @property
+    def container(self) -> int:
+        return self.inside.container
 
-def blocks(page: str) -> list[Block]:
-    """The leaf blocks of a page, in order."""
+    @property
+    def main(self) -> bool:
+        return self.inside.main
+
+
+def _tags(page: str):
+    """The tags, comments and skipped elements of a page; each character is looked at a bounded number of times."""
+    last, at = page.rfind(">"), 0
+    while (at := page.find("<", at)) >= 0:
+        m = (_TAG if at < last else _UNCLOSED).match(page, at)
+        if m:
+            yield m
+        at = m.end() if m else at + 1
+
+
+def blocks(page: str, known: dict | None = None) -> list[Block]:
+    """The leaf blocks of a page, in order; with ``known`` features, only those are kept of tags and names."""
     out: list[Block] = []
-    stack: list[tuple] = []  # (tag, names, labelled as main, number)
+    stack: list[Element] = []
+    opened: Counter[str] = Counter()
     pieces: list[str] = []
     linked = number = at = 0
-    owner: list[tuple] = []
+    owner: Element | None = None
+
+    def top() -> Element:
+        return stack[-1] if stack else _ROOT
+
+    def close(k: int) -> None:
+        opened.subtract(e.tag for e in stack[k:])
+        del stack[k:]
 
     def text(raw: str) -> None:
         nonlocal linked, owner
         if raw:
             if not raw.isspace():
-                if not any(p.strip() for p in pieces):
-                    owner = list(stack)
-                if any(e[0] == "a" for e in stack):
+                owner = owner or top()
+                if top().linked:
                     linked += len(raw.strip())
             pieces.append(raw)
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, owner
         if pieces:
             whole = " ".join(references.unescape("".join(pieces)).split())
             if whole:
-                out.append(Block(whole, linked, owner or list(stack)))
+                out.append(Block(whole, linked, owner or top()))
             pieces.clear()
-        linked = 0
+        linked, owner = 0, None
 
-    for m in _TAG.finditer(page):
+    for m in _tags(page):
         text(page[at : m.start()])
         at = m.end()
         tag = (m[3] or "").lower()
@@ -95,24 +150,21 @@ def blocks(page: str) -> list[Block]:
         elif tag == "br":
             pieces.append(" ")
         if m[2]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
+            if opened[tag]:
+                close(next(k for k in range(len(stack) - 1, -1, -1) if stack[k].tag == tag))
         elif tag not in _VOID:
             if tag not in _INLINE:  # a block ends an open paragraph, and an item the item before it
-                closes = ("p",) if tag not in ("li", "tr", "td", "th", "dt", "dd", "option") else ("p", tag)
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] in closes:
-                        del stack[k:]
-                        break
-                    if stack[k][0] in _CONTAINERS:
-                        break
+                nearest = top().nearest
+                k = max(nearest.get("p", -1), nearest.get(tag, -1) if tag in _ITEMS else -1)
+                if k >= 0:
+                    close(k)
             number += 1
             attributes = m[4] or ""
-            names = frozenset(w for found in _NAMED.findall(attributes) for w in _WORD.findall(" ".join(found).lower())) if "=" in attributes else frozenset()
+            names = frozenset(w for found in _NAMED.findall(attributes) for w in _WORD.findall(" ".join(found).lower())
+                              if known is None or f"name:{w}" in known) if "=" in attributes else _NOTHING
             if not (m[4] or "").rstrip().endswith("/"):
-                stack.append((tag, names, "data-main" in attributes, number))
+                stack.append(Element(tag, names, "data-main" in attributes, number, top(), len(stack), known))
+                opened[tag] += 1
     text(page[at:])
     flush()
     return out
@@ -122,9 +174,8 @@ def block_features(b: Block) -> list[str]:
     n = len(b.text)
     share = b.linked / n
     last = b.text[-1]
-    own = next((t for t in reversed(b.tags) if t not in _INLINE), "")
     return [
-        "bias", f"own:{own}", *{f"in:{t}" for t in b.tags}, *(f"name:{w}" for w in b.names),
+        "bias", f"own:{b.inside.own}", *(f"in:{t}" for t in b.inside.tags), *(f"name:{w}" for w in b.inside.names),
         f"size:{min(n.bit_length(), 10)}", f"links:{0 if share == 0 else 1 if share < 0.5 else 2}",
         f"ends:{'stop' if last in '.!?…' else 'letter' if last.isalpha() else 'other'}",
         "mark:copyright" if "©" in b.text else "mark:none", f"commas:{min(b.text.count(','), 3)}",
@@ -217,8 +268,11 @@ class ChainField:
         """The best labels of each page."""
         out = [np.zeros(0, int)] * len(pages)
         order = sorted((i for i, p in enumerate(pages) if p), key=lambda i: len(pages[i]))
-        for k in range(0, len(order), 128):  # pages of like length together
-            own = order[k : k + 128]
+        while order:  # pages of like length together, at most PADDED places or one page
+            size = 1
+            while size < min(128, len(order)) and (size + 1) * len(pages[order[size]]) <= PADDED:
+                size += 1
+            own, order = order[:size], order[size:]
             group = [pages[i] for i in own]
             there, same = self._pad(group)
             score = self._scores([self._rows(p) for p in group], there.shape[1])
@@ -242,7 +296,7 @@ def trained() -> ChainField:
 
 
 def main_texts(model: ChainField, pages: list[str | None]) -> list[str]:
-    parsed = [blocks(p) if p else [] for p in pages]
+    parsed = [blocks(p, model.features) if p else [] for p in pages]
     return ["\n".join(b.text for b, y in zip(page, labels) if y) for page, labels in zip(parsed, model.decode(parsed))]
 
 

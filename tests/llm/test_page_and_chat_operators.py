@@ -1,3 +1,4 @@
+import time
 import hashlib
 import html
 import itertools
@@ -169,6 +170,21 @@ def test_viterbi_is_the_best_path():
         assert np.isclose(total(model.decode([page])[0].tolist()), total(best))
 
 
+def test_pages_of_unclosed_tags_are_read_in_linear_time():
+    model = html_extract.trained()
+    for unit in ("<a ", "<div>x", "<p>x", "<b>x", "<h1>x", "<q1>x</i>", "<script></script ", "</p", "<!", "<a b='"):
+        begin = time.process_time()
+        page = unit * (300_000 // len(unit))
+        html_extract.main_texts(model, [page])
+        assert time.process_time() - begin < 12, unit
+    deep = "".join(f'<n{i} class="w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}">x' for i in range(3000))
+    read = html_extract.blocks(deep, model.features)
+    assert len(read) == 3000 and len(read[-1].inside.tags) <= len(model.features)
+    long = "<article>" + "<p>One sentence, and one more.</p>" * 20_000 + "</article>"
+    short, whole = html_extract.main_texts(model, ["<article><p>One sentence, and one more.</p></article>", long])
+    assert whole.count("\n") == 19_999 and short
+
+
 def test_html_edge_cases(spark):
     long = "<article>" + "<p>word and word, again.</p>" * 5000 + "</article>"
     pages = [
