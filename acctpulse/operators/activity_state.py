@@ -1,22 +1,21 @@
-"""Activity as a stored, mergeable state of day bitmaps (D7-D10 for any windows).
+"""Activity as a stored, mergeable state of daily counts (D7-D10 for any windows).
 
-``activity_state`` folds staged events, once, into rows of one account each:
+``activity_state`` folds staged events, once, into one row per account, user,
+product and day: ``n``, the number of submissions.  Repeated submissions are
+combined map-side, before the only shuffle.
 
-* kind ``u``: the days on which a user was active, kind ``p``: the days on which
-  a product was used, as 64-day bitmaps (``era`` counts the 64-day spans since
-  1970, bit i is the span's day i);
-* kind ``d``: the number of submissions of one day (``era`` is the day itself).
-
-States merge by OR of the bits and sum of the counts (``merge_states``), in any
-order: new or late days are absorbed without the events before them, provided
-that each event is folded into one state only.  ``engagement_from_state``
-answers any recent / prior windows and as-of date from the state with the same
-rows as ``engagement_summary`` has from the events: a window is a mask over an
-era's bits.  The state has at most one row per account, user or product and era
-with activity, and one per account and day, however many events there were."""
+States merge by the sum of the counts (``merge_states``), in any order: new or
+late days are absorbed without the events before them, provided that each event
+is folded into one state only.  ``engagement_from_state`` answers any recent /
+prior windows and as-of date from the state with the same rows as
+``engagement_summary`` has from the events, and ``engagement_of_windows``
+several window sets in one pass.  The state has at most one row per event,
+however often a day is submitted to; reading it emits a row by user, and one by
+product only for days in a recent window."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 from functools import reduce
 
@@ -26,79 +25,72 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT_CONFIG, ScoreConfig
 from .engagement import ENGAGEMENT_COLUMNS, _churn_rate, _growth_columns
 
-ERA_DAYS = 64
-STATE_COLUMNS = ("account_id", "kind", "key", "era", "bits", "n")
+STATE_COLUMNS = ("account_id", "user_id", "product", "day", "n")
 _EPOCH = date(1970, 1, 1)
+#: the columns of ``engagement_summary`` that depend on the windows
+WINDOW_COLUMNS = ("recent_submissions", "prior_submissions", "recent_mau", "prior_mau", "products_active_recent",
+                  "retained_users", "new_users", "resurrected_users", "churned_users")
 
 
 def activity_state(stg_submissions: DataFrame) -> DataFrame:
-    """The state of the events: combined per (account, user, product, day), then
-    emitted once per user, product and day."""
-    day = F.unix_date("submission_date")
-    daily = stg_submissions.groupBy("account_id", "user_id", "product", day.alias("day")).agg(F.count(F.lit(1)).alias("n"))
-    # a date of NULL is in no window: no bit, but its account, user and product are known
-    era = F.floor(F.col("day") / ERA_DAYS).cast("int")
-    bit = F.coalesce(F.expr(f"shiftleft(1L, cast(pmod(day, {ERA_DAYS}) AS int))"), F.lit(0).cast("long"))
-    none = F.lit(0).cast("long")
-
-    def row(kind: str, key: Column, span: Column, bits: Column, n: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), key.cast("string").alias("key"), span.alias("era"), bits.alias("bits"), n.alias("n"))
-
-    rows = daily.select("account_id", F.explode(F.array(
-        row("u", F.col("user_id"), era, bit, none), row("p", F.col("product"), era, bit, none),
-        row("d", F.lit(None), F.col("day"), none, F.col("n")))).alias("s")).select("account_id", "s.*")
-    return _folded(rows)
-
-
-def _folded(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("account_id", "kind", "key", "era").agg(F.bit_or("bits").alias("bits"), F.sum("n").alias("n")).select(*STATE_COLUMNS)
+    """The state of the events; a date of NULL is in no window, but its account, user and product are known."""
+    rows = stg_submissions.select("account_id", "user_id", "product", F.unix_date("submission_date").alias("day"))
+    return rows.groupBy("account_id", "user_id", "product", "day").agg(F.count(F.lit(1)).alias("n"))
 
 
 def merge_states(*states: DataFrame) -> DataFrame:
     """The state of all the events of the states."""
-    return _folded(reduce(DataFrame.unionByName, states))
+    rows = reduce(DataFrame.unionByName, states)
+    return rows.groupBy("account_id", "user_id", "product", "day").agg(F.sum("n").alias("n")).select(*STATE_COLUMNS)
 
 
 def _day(d: date) -> int:
     return (d - _EPOCH).days
 
 
-def _mask(first: int | None, last: int) -> Column:
-    """The bits of an era's days from ``first`` (None: any) to ``last``."""
-    low = f"greatest({first} - era * {ERA_DAYS}, 0)" if first is not None else "0"
-    high = f"least({last} - era * {ERA_DAYS}, {ERA_DAYS - 1})"
-    return F.expr(f"CASE WHEN {low} <= {high} THEN shiftleft(-1L, {low}) & shiftrightunsigned(-1L, {ERA_DAYS - 1} - {high}) ELSE 0L END")
+def _inside(first: date, last: date) -> Column:
+    return F.coalesce(F.col("day").between(_day(first), _day(last)), F.lit(False))
+
+
+def _periods(cfg: ScoreConfig) -> tuple[Column, Column, Column]:
+    """Whether a day is recent, prior or before; as in the period tags, a day of both windows is a recent one."""
+    recent = _inside(cfg.recent_start, cfg.recent_end)
+    before = F.coalesce(F.col("day") < _day(cfg.prior_start), F.lit(False))
+    return recent, _inside(cfg.prior_start, cfg.prior_end) & ~recent, before & ~recent
+
+
+def engagement_of_windows(state: DataFrame, configs: Sequence[ScoreConfig]) -> DataFrame:
+    """One row per account of the state: account_id, last_submission_date, and for the i-th
+    config its ``WINDOW_COLUMNS`` as ``w<i>_<column>``.  State rows -> (account, kind, key) -> account."""
+    periods = [_periods(cfg) for cfg in configs]
+    user = F.struct(F.lit("u").alias("kind"), F.col("user_id").alias("key"))
+    product = F.struct(F.lit("p").alias("kind"), F.col("product").alias("key"))
+    any_recent = reduce(Column.__or__, [recent for recent, _, _ in periods])
+    keyed = state.select("account_id", "day", "n", F.explode(F.when(any_recent, F.array(user, product)).otherwise(F.array(user))).alias("k"))
+    is_user, known = F.col("kind") == "u", F.col("key").isNotNull()
+    counted = lambda inside: F.sum(F.when(inside & (F.col("k.kind") == "u"), F.col("n")).otherwise(F.lit(0)))
+    flags = []
+    for i, (recent, prior, before) in enumerate(periods):
+        flags += [F.max(recent).alias(f"r{i}"), F.max(prior).alias(f"p{i}"), F.max(before).alias(f"h{i}"),
+                  counted(recent).alias(f"rc{i}"), counted(prior).alias(f"pc{i}")]
+    per_key = keyed.groupBy("account_id", F.col("k.kind").alias("kind"), F.col("k.key").alias("key")).agg(F.max("day").alias("last"), *flags)
+    columns = []
+    for i in range(len(periods)):
+        r, p, h = (is_user & F.col(f"{c}{i}") for c in "rph")
+        columns += [F.sum(f"rc{i}"), F.sum(f"pc{i}"), F.count_if(r & known), F.count_if(p & known),
+                    F.count_if(~is_user & known & F.col(f"r{i}")), *_growth_columns(r, p, h)]
+    names = [f"w{i}_{c}" for i in range(len(periods)) for c in WINDOW_COLUMNS]
+    return per_key.groupBy("account_id").agg(
+        F.date_from_unix_date(F.max("last")).alias("last_submission_date"), *[c.alias(name) for c, name in zip(columns, names)])
+
+
+def of_window(i: int, cfg: ScoreConfig) -> dict[str, Column]:
+    """The columns of ``engagement_summary``, but account_id and last_submission_date, from those of the i-th config."""
+    return ({c: F.col(f"w{i}_{c}") for c in WINDOW_COLUMNS} | {
+        "days_since_last_submission": F.datediff(F.lit(cfg.as_of), F.col("last_submission_date")),
+        "user_churn_rate": _churn_rate(f"w{i}_retained_users", f"w{i}_churned_users")})
 
 
 def engagement_from_state(state: DataFrame, cfg: ScoreConfig = DEFAULT_CONFIG) -> DataFrame:
-    """``engagement_summary`` for the windows of ``cfg``: state rows -> (account, kind, key) -> account."""
-    recent, prior = [(_day(a), _day(b)) for a, b in ((cfg.recent_start, cfg.recent_end), (cfg.prior_start, cfg.prior_end))]
-    in_recent = _mask(*recent)
-    # as in the period tags, a day of both windows is a recent one
-    in_prior = _mask(*prior).bitwiseAND(F.bitwise_not(in_recent))
-    before = _mask(None, prior[0] - 1).bitwiseAND(F.bitwise_not(in_recent))
-    active = lambda mask: F.max(F.col("bits").bitwiseAND(mask) != 0)
-    day = F.col("kind") == "d"
-    is_recent = F.col("era").between(*recent)
-    is_prior = F.col("era").between(*prior) & ~is_recent
-    submissions = lambda inside: F.sum(F.when(day & inside, F.col("n")).otherwise(F.lit(0)))
-    per_key = state.groupBy("account_id", "kind", "key").agg(
-        active(in_recent).alias("r"), active(in_prior).alias("p"), active(before).alias("h"),
-        submissions(is_recent).alias("rc"), submissions(is_prior).alias("pc"),
-        F.max(F.when(day, F.col("era"))).alias("last"),
-    )
-    user, known = F.col("kind") == "u", F.col("key").isNotNull()
-    r, p, h = (user & F.coalesce(F.col(c), F.lit(False)) for c in "rph")
-    retained, new, resurrected, churned = _growth_columns(r, p, h)
-    per_account = per_key.groupBy("account_id").agg(
-        F.date_from_unix_date(F.max("last")).alias("last_submission_date"),
-        F.sum("rc").alias("recent_submissions"), F.sum("pc").alias("prior_submissions"),
-        F.count_if(r & known).alias("recent_mau"), F.count_if(p & known).alias("prior_mau"),
-        F.count_if((F.col("kind") == "p") & known & F.col("r")).alias("products_active_recent"),
-        retained.alias("retained_users"), new.alias("new_users"), resurrected.alias("resurrected_users"),
-        churned.alias("churned_users"),
-    )
-    return (per_account
-            .withColumn("days_since_last_submission", F.datediff(F.lit(cfg.as_of), F.col("last_submission_date")))
-            .withColumn("user_churn_rate", _churn_rate())
-            .select(*ENGAGEMENT_COLUMNS))
+    """``engagement_summary`` for the windows of ``cfg``."""
+    return engagement_of_windows(state, [cfg]).withColumns(of_window(0, cfg)).select(*ENGAGEMENT_COLUMNS)

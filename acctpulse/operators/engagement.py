@@ -16,7 +16,7 @@ Tests assert both shapes agree.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_CONFIG, ScoreConfig
@@ -34,6 +34,10 @@ def subscription_summary(stg_subscriptions: DataFrame) -> DataFrame:
     )
 
 
+def days_to_renewal(cfg: ScoreConfig) -> dict[str, Column]:
+    return {"days_to_renewal": F.datediff(F.col("renewal_date"), F.lit(cfg.as_of))}
+
+
 def account_dimensions(stg_accounts: DataFrame, stg_subscriptions: DataFrame,
                        cfg: ScoreConfig = DEFAULT_CONFIG) -> DataFrame:
     """Every account, days to renewal from the as-of date, subscription totals (0 if none)."""
@@ -41,7 +45,7 @@ def account_dimensions(stg_accounts: DataFrame, stg_subscriptions: DataFrame,
     return stg_accounts.join(summary, "account_id", "left").select(
         "account_id", "account_name", "division", "region", "segment", "country",
         "customer_since", "csm_owner", "renewal_date",
-        F.datediff(F.col("renewal_date"), F.lit(cfg.as_of)).alias("days_to_renewal"),
+        days_to_renewal(cfg)["days_to_renewal"].alias("days_to_renewal"),
         F.coalesce(F.col("total_arr"), F.lit(0).cast("decimal(28,4)")).alias("total_arr"),
         F.coalesce(F.col("products_subscribed"), F.lit(0).cast("bigint")).alias("products_subscribed"),
     )

@@ -17,8 +17,8 @@ from ..config import DEFAULT_CONFIG, ScoreConfig
 from ..functions import scores as S
 from ..session import broadcast_if_bounded, cut_lineage
 from .benchmarks import MEDIAN_COL, segment_benchmarks
-from .activity_state import activity_state, engagement_from_state
-from .engagement import account_dimensions, engagement_summary, plain_engagement
+from .activity_state import activity_state, engagement_from_state, engagement_of_windows, of_window
+from .engagement import account_dimensions, days_to_renewal, engagement_summary, plain_engagement
 from .percentile import peer_percentile
 from .staging import stage_accounts, stage_submissions, stage_subscriptions
 
@@ -86,14 +86,27 @@ def account_base(staged: Staged, cfg: ScoreConfig = DEFAULT_CONFIG, engagement:
     build = engagement_summary if engagement == "fused" else plain_engagement
     eng = build(staged.submissions, cfg) if state is None else engagement_from_state(state, cfg)
     eng = eng.withColumn("_has_events", F.lit(True))
-    base = dims.join(eng, "account_id", "left").select(
-        *[F.col(c) for c in dims.columns if c != "account_id"], "account_id",
+    base = _with_zeros(dims.join(eng, "account_id", "left"), dims.columns)
+    return cut_lineage(base, "account_base") if materialize else base
+
+
+def _with_zeros(joined: DataFrame, dims: list[str]) -> DataFrame:
+    return joined.select(
+        *[F.col(c) for c in dims if c != "account_id"], "account_id",
         "last_submission_date", "days_since_last_submission",
         *[F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c) for c in COUNT_COLUMNS],
         "user_churn_rate",   # NULL without prior users; the mart shows 0
         F.coalesce(F.col("_has_events"), F.lit(False)).alias("_has_events"),
     )
-    return cut_lineage(base, "account_base") if materialize else base
+
+
+def account_bases(staged: Staged, configs: list[ScoreConfig], state: DataFrame) -> list[DataFrame]:
+    """The account bases of configs that differ in their windows only: the state is
+    read once for all of them, and the accounts and subscriptions too."""
+    dims = account_dimensions(staged.accounts, staged.subscriptions, configs[0])
+    eng = engagement_of_windows(state, configs).withColumn("_has_events", F.lit(True))
+    wide = cut_lineage(dims.join(eng, "account_id", "left"), "account_bases")
+    return [_with_zeros(wide.withColumns(days_to_renewal(cfg) | of_window(i, cfg)), dims.columns) for i, cfg in enumerate(configs)]
 
 
 def with_history(base: DataFrame) -> DataFrame:
@@ -190,12 +203,16 @@ def score_accounts(raw: dict[str, DataFrame], cfg: ScoreConfig = DEFAULT_CONFIG,
 def score_window_sets(raw: dict[str, DataFrame], configs: dict[str, ScoreConfig], state: DataFrame | None = None) -> DataFrame:
     """The marts of several window sets (``window_set`` names them), all from one
     activity state: the events are read once, or not at all if their state is given."""
-    marts = []
+    first = next(iter(configs.values()))
+    alike: dict[ScoreConfig, list[str]] = {}
     for name, cfg in configs.items():
-        staged = stage_all(raw, cfg)
+        alike.setdefault(cfg.with_windows(first.as_of, (first.recent_start, first.recent_end), (first.prior_start, first.prior_end)), []).append(name)
+    marts = {}
+    for shared, names in alike.items():
+        staged = stage_all(raw, shared)
         if state is None:
             state = cut_lineage(activity_state(staged.submissions), "activity_state")
-        base = account_base(staged, cfg, state=state)
-        scored = score_base(base, cfg, staged.n_peer_groups, n_accounts=staged.n_accounts)
-        marts.append(exclude_shells(scored).select(F.lit(name).alias("window_set"), *MART_COLUMNS))
-    return reduce(DataFrame.unionByName, marts)
+        for name, base in zip(names, account_bases(staged, [configs[name] for name in names], state)):
+            scored = score_base(base, configs[name], staged.n_peer_groups, n_accounts=staged.n_accounts)
+            marts[name] = exclude_shells(scored).select(F.lit(name).alias("window_set"), *MART_COLUMNS)
+    return reduce(DataFrame.unionByName, [marts[name] for name in configs])

@@ -11,6 +11,9 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import DEFAULT_CONFIG
+from ..session import broadcast_if_bounded
+
 # Fixed values of the adapter (FIXTURES.md section 2).
 DIVISION_BY_KEY_MOD4 = ("K12", "Higher Ed", "k12", "highered")
 NULL_REGION_EVERY = 37
@@ -105,10 +108,10 @@ def raw_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     shipped = F.col("l_shipdate").cast("timestamp_ntz")
     quiet = ((F.col("c_mktsegment") == QUIET_SEGMENT) & (cust % 5 < 3)
              & (shipped >= F.lit(QUIET_FROM).cast("timestamp_ntz")))
+    # customers join the orders, so that the events are not shuffled on the customer as well
     joined = (
-        li.join(o, li.l_orderkey == o.o_orderkey)
-        .join(p, li.l_partkey == p.p_partkey)
-        .join(c, cust == c.c_custkey)
+        li.join(o.join(c, cust == c.c_custkey), li.l_orderkey == o.o_orderkey)
+        .join(broadcast_if_bounded(p, p.count(), DEFAULT_CONFIG.broadcast_max_rows), li.l_partkey == p.p_partkey)
         .withColumn("happened", F.when(quiet, shipped - F.expr(f"INTERVAL {QUIET_SHIFT_DAYS} DAYS")).otherwise(shipped))
     )
     return joined.select(

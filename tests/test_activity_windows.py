@@ -9,6 +9,7 @@ import duckdb
 from acctpulse.config import FIXTURE_CONFIG, FIXTURE_QUARTERS_CONFIG, FIXTURE_WINDOWS
 from acctpulse.operators import activity_state as A
 from acctpulse.operators import engagement as E
+from acctpulse.operators import mart
 from acctpulse.operators import windows as W
 from acctpulse.operators.mart import score_accounts, score_window_sets, stage_all
 from tests.test_plans import plan
@@ -70,6 +71,22 @@ def test_marts_of_two_window_sets_from_one_state(spark, raw_small):
     assert "lineitem.parquet" not in plan(both)   # the events were read once, into the state
 
 
+def test_a_state_has_at_most_one_row_per_event(spark):
+    rows = [(f"a{i % 7}", f"u{i}", f"P{i % 3}", date(1999, 1, 1) + timedelta(days=3 * i)) for i in range(200)]
+    events = spark.createDataFrame(rows + rows[:50] + [("a0", None, None, None)] * 2, EVENT)
+    assert A.activity_state(events).count() == 201
+
+
+def test_window_sets_read_the_state_once(spark, raw_small, monkeypatch):
+    names, cut = [], mart.cut_lineage
+    monkeypatch.setattr(mart, "cut_lineage", lambda df, name: names.append(name) or cut(df, name))
+    sets = {"years": FIXTURE_CONFIG, "regions": replace(FIXTURE_QUARTERS_CONFIG, unknown_region="nowhere"), "quarters": FIXTURE_QUARTERS_CONFIG}
+    marts = score_window_sets(raw_small, sets)
+    assert names == ["activity_state", "account_bases", "account_bases"]   # one for each way of cleaning the accounts
+    for name, cfg in sets.items():
+        assert same(marts.filter(marts.window_set == name).drop("window_set"), score_accounts(raw_small, cfg)), name
+
+
 def tagged_in_sql(events, windows):
     con = duckdb.connect()
     con.register("events", events.toPandas())
