@@ -174,8 +174,11 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
-    """The documents whose language is known, with their own columns.  A ``min_score``
-    above 0 also drops clean texts in several languages: the score is a mean over windows."""
+    """The documents whose language is known, with their own columns; ``lang`` has the
+    language predicted from the whole text, so that what follows does not go by a missing
+    or wrong label.  A ``min_score`` above 0 also drops clean texts in several languages:
+    the score is a mean over windows."""
     lang, score = fresh("lang_pred", docs), fresh("lang_score", docs)
     out = with_language(docs, fit(docs), lang, score)
-    return out.filter((F.col(lang) != NONE) & (F.col(score) >= min_score)).select(*docs.columns)
+    known = out.filter((F.col(lang) != NONE) & (F.col(score) >= min_score))
+    return known.select(*[F.col(lang).alias(c) if c.lower() == "lang" else F.col(c) for c in docs.columns])

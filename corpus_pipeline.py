@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 each result as Parquet in the shared checkpoint folder and reads it back as the
 next stage's docs.  All but the last return the columns of ``documents``; the
-last returns piece ids in place of texts.
+last returns piece ids in place of texts.  From the second stage on ``lang`` is the
+language predicted from the text, up to the last stage's rows.
 
 No stage is SQL-expressible as a whole (learned rules, a trained network, a
 randomised join), so ORACLE_SQL is None and tests hold each stage against its
@@ -25,7 +26,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a known language go."""
+    """Documents without a known language go; the others' ``lang`` becomes the predicted one."""
     return language_id.keep_known(docs)
 
 

@@ -26,6 +26,17 @@ def test_stages_against_their_operators(spark):
     assert {r.doc_id: r.ids for r in last} == {d: model.encode([t])[0].tolist() for d, t in texts.items()}
 
 
+def test_predicted_languages_reach_the_last_stage(spark, tmp_path):
+    speech = {"a": "bab dab gab ", "b": "lil nil sil ", "c": "tut put kut "}
+    rows = [(3 * i + j, t * (20 + i), name) for i in range(40) for j, (name, t) in enumerate(speech.items())]
+    rows += [(900, speech["b"] * 300, None), (901, speech["c"] * 400, "a"), (902, "12 34", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    (_, language), (_, pieces) = corpus_pipeline.STAGES[1], corpus_pipeline.STAGES[-1]
+    known = corpus_pipeline.written(language(spark, docs, str(tmp_path)), "t5")
+    got = {r.doc_id: r.lang for r in pieces(spark, known, str(tmp_path)).collect()}
+    assert got == {d: lang for d, _, lang in rows if d < 900} | {900: "b", 901: "c"}
+
+
 def test_run_survives_odd_documents(spark, odd_docs, tmp_path):
     for name in ("labels", "benchmark"):
         spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
