@@ -40,6 +40,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -336,9 +337,8 @@ def _plausible(members: DataFrame, low: DataFrame) -> DataFrame:
     return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "bucket long, k long")
 
 
-def _small(level: DataFrame, leaf: int, low: DataFrame) -> DataFrame:
-    """(bucket, k) of the buckets to compare at once; equal buckets count as one."""
-    small = level.filter(F.col("size") <= leaf)
+def _small(small: DataFrame, low: DataFrame) -> DataFrame:
+    """(bucket, k) of the buckets (path, k) to compare at once; equal buckets count as one."""
     lists = small.groupBy("path").agg(F.sort_array(F.collect_list("k")).alias("ks"))
     lists = lists.groupBy("ks").agg(F.min("path").alias("path"))
     members = lists.select(F.col("path").bitwiseAND(F.lit((1 << 62) - 1)).alias("bucket"), F.explode("ks").alias("k"))
@@ -390,11 +390,12 @@ def grouped(docs: DataFrame, threshold: float = THRESHOLD, recall: float = TARGE
     named = marks.filter("n > 0")
     # a class is read from one of its rows; two rows with one key are told apart by their sets
     classes = written(named.groupBy("k").agg(F.min("doc_id").alias("rep"), F.min("row").alias("row"), F.count(F.lit(1)).alias("w")), "classes")
-    reps = marks.join(classes.select("k", "row"), ["k", "row"]).dropDuplicates(["k"])
+    # written: every level joins the minhashes
+    reps = written(marks.join(classes.select("k", "row"), ["k", "row"]).dropDuplicates(["k"]).select("k", F.array_distinct("paths").alias("paths"), "low"), "representatives")
 
     low = reps.select("k", "low")
-    level = _buckets(reps.select(F.explode(F.array_distinct("paths")).alias("path"), "k"), "level1")
-    small, giants = _small(level, leaf, low), None
+    level = _buckets(reps.select(F.explode("paths").alias("path"), "k"), "level1")
+    small, giants = _small(level.filter(F.col("size") <= leaf), low), None
     large = level.filter(F.col("size") > leaf)
 
     # the sets of the classes that are still in some bucket
@@ -404,6 +405,7 @@ def grouped(docs: DataFrame, threshold: float = THRESHOLD, recall: float = TARGE
     sets = _sets(texts.select("k", "text"))
     sets = written(sets.dropDuplicates(["k"]) if _repeats(named) else sets, "sets")
 
+    deeper = []  # the small buckets of the further levels, pruned in one go
     for depth in range(1, MAX_DEPTH + 1):
         if large.isEmpty():
             break
@@ -414,10 +416,12 @@ def grouped(docs: DataFrame, threshold: float = THRESHOLD, recall: float = TARGE
             open_paths = large.join(dense, "path", "left_anti").groupBy("k").agg(F.collect_list("path").alias("paths"))
             level = _buckets(_children(open_paths.join(sets, "k"), threshold), f"level{depth + 1}")
             own = max(leaf, min(leaf << depth, MAX_LEAF))
-            small = small.union(_small(level, own, low))
+            deeper.append(level.filter(F.col("size") <= own))
             large = level.filter(F.col("size") > own)
 
     # bucket ids: large ones are negative, so that they come first
+    if deeper:
+        small = small.union(_small(reduce(DataFrame.unionByName, deeper), low))
     assigned = small
     if giants is not None:
         big = giants.select((-1 - F.col("path").bitwiseAND(F.lit((1 << 62) - 1))).alias("bucket"), "k").distinct()

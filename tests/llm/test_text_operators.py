@@ -270,6 +270,19 @@ def test_a_common_passage_is_split_until_small(spark, monkeypatch):
     assert "level2" in names and max(sizes, default=0) < 200 and sum(n * (n - 1) // 2 for n in sizes) < 20 * len(rows)
 
 
+def test_levels_share_the_written_representatives(spark, monkeypatch):
+    """However many levels: one table of representatives, and small buckets are pruned twice at most."""
+    common = passage(77, 60)
+    rows = [(i, common + " " + " ".join(f"w{i}x{j}" for j in range(140))) for i in range(300)] + [(i, passage(i, 80)) for i in (400, 401)]
+    rows += [(1000 + i, rows[i][1] + " tail") for i in range(0, 300, 30)]
+    names, keep = [], jaccard_join.written
+    monkeypatch.setattr(jaccard_join, "written", lambda df, name: names.append(name) or keep(df, name))
+    monkeypatch.setattr(jaccard_join, "LEAF", 2)
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string"), leaf=2).collect()}
+    assert got == {i: (i % 1000, 1) if i >= 1000 or i < 300 and i % 30 == 0 else (i, 0) for i, _ in rows}
+    assert "level3" in names and names.count("small") == 2 and names.count("representatives") == 1
+
+
 def test_density_is_the_mean_similarity(spark):
     sets = [set(range(100 * j, 100 * j + 30)) | set(range(10_000, 10_000 + s)) for s in (5, 45, 270) for j in range(200)]
     rng = np.random.default_rng(3)
