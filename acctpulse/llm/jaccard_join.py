@@ -407,14 +407,17 @@ def grouped(docs: DataFrame, threshold: float = THRESHOLD, recall: float = TARGE
 
     deeper = []  # the small buckets of the further levels, pruned in one go
     for depth in range(1, MAX_DEPTH + 1):
-        if large.isEmpty():
+        n_large = large.count()
+        if not n_large:
             break
         dense = _few(written(_dense(large, low) if depth < MAX_DEPTH else large.select("path").distinct(), "dense"))
         big = large.join(dense, "path", "left_semi").select("path", "k")
         giants = big if giants is None else giants.union(big)
         if depth < MAX_DEPTH:
             open_paths = large.join(dense, "path", "left_anti").groupBy("k").agg(F.collect_list("path").alias("paths"))
-            level = _buckets(_children(open_paths.join(sets, "k"), threshold), f"level{depth + 1}")
+            if n_large <= BROADCAST_IDS:  # the sets stay where they are
+                open_paths = F.broadcast(open_paths)
+            level = _buckets(_children(sets.join(open_paths, "k"), threshold), f"level{depth + 1}")
             own = max(leaf, min(leaf << depth, MAX_LEAF))
             deeper.append(level.filter(F.col("size") <= own))
             large = level.filter(F.col("size") > own)
@@ -427,7 +430,8 @@ def grouped(docs: DataFrame, threshold: float = THRESHOLD, recall: float = TARGE
         big = giants.select((-1 - F.col("path").bitwiseAND(F.lit((1 << 62) - 1))).alias("bucket"), "k").distinct()
         assigned = small.union(_merged(written(big, "giants")))
     assigned = written(assigned, "buckets")
-    rows = sets.join(classes.select("k", "w"), "k").join(assigned.groupBy("k").agg(F.sort_array(F.collect_set("bucket")).alias("ids")), "k")
+    places = written(assigned.groupBy("k").agg(F.sort_array(F.collect_set("bucket")).alias("ids")).join(classes.select("k", "w"), "k"), "places")
+    rows = sets.join(F.broadcast(places) if assigned.count() <= BROADCAST_IDS else places, "k")
 
     leaves = rows.select(F.explode(F.filter("ids", lambda x: x >= 0)).alias("cell"), "k", "w", "ids", "shingles").select("*", F.col("cell").alias("bucket"), F.lit(2).alias("side"))
     found = _compared(leaves, threshold, ["cell"])
