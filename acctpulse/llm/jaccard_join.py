@@ -63,6 +63,8 @@ SKETCH = 16
 SIGNS = 2  # signs of each minhash in the estimate
 AGREE = 5
 BROADCAST_IDS = 500_000
+TASK_ROWS = 20_000  # counted rows that a task of a small table gets at least
+LEAST_TASKS = 8
 SLICE = 4096
 
 
@@ -177,7 +179,9 @@ def _children(rows: DataFrame, threshold: float) -> DataFrame:
 def _buckets(members: DataFrame, name: str) -> DataFrame:
     """(path, k, size) of the paths that two or more classes share."""
     members = written(members, f"{name}-members")
-    size = written(members.groupBy("path").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), f"{name}-sizes")
+    size = written(_packed(members.groupBy("path").agg(F.count(F.lit(1)).alias("size")), members.count()).filter("size > 1"), f"{name}-sizes")
+    if size.count() <= BROADCAST_IDS:
+        return written(members.join(F.broadcast(size), "path"), name)
     # the sizes of hot paths go to their members; only the others meet by a shuffle
     hot = size.filter(F.col("size") > LEAF)
     n_hot = hot.count()
@@ -188,9 +192,19 @@ def _buckets(members: DataFrame, name: str) -> DataFrame:
     return written(members.join(size, "path"), name)
 
 
-def _few(df: DataFrame) -> DataFrame:
-    """Broadcast if its counted rows are within the bound."""
-    return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
+def _few(df: DataFrame, rows: int | None = None, bound: int | None = None) -> DataFrame:
+    """Broadcast if its rows (counted, or known to be ``rows`` at most) are within the bound."""
+    return F.broadcast(df) if (df.count() if rows is None else rows) <= (BROADCAST_IDS if bound is None else bound) else df
+
+
+def _packed(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` of at most ``rows`` rows in no more tasks than they are worth; a large table keeps its partitions."""
+    return df.coalesce(max(LEAST_TASKS, -(-rows // TASK_ROWS)))
+
+
+def _marks(low: DataFrame, rows: int) -> DataFrame:
+    """The minhashes of ``rows`` classes, broadcast while they are as large as BROADCAST_IDS rows of two values."""
+    return _few(low, rows, BROADCAST_IDS // (SKETCH // 2))
 
 
 def _dense(large: DataFrame, low: DataFrame) -> DataFrame:
@@ -200,10 +214,10 @@ def _dense(large: DataFrame, low: DataFrame) -> DataFrame:
     with itself) that agree in the minhash.  So one sum a path and sign, taken over
     all members and combined before the shuffle, tells the mean similarity to some
     25 % (it only decides how a bucket is compared)."""
-    signs = [(F.shiftright(F.col("low")[j], b).bitwiseAND(F.lit(1)) * 2 - 1) for j in range(SKETCH) for b in range(SIGNS)]
-    sums = large.join(low, "k").groupBy("path", "size").agg(*[F.sum(s).alias(f"s{i}") for i, s in enumerate(signs)])
-    agreeing = sum((F.col(f"s{i}").cast("double") * F.col(f"s{i}") for i in range(len(signs))), F.lit(0.0)) / len(signs) - F.col("size")
-    return sums.filter(agreeing >= DENSE * F.col("size") * (F.col("size") - 1.0)).select("path")
+    signs = [f"(shiftright(low[{j}], {b}) & 1) * 2 - 1" for j in range(SKETCH) for b in range(SIGNS)]
+    sums = large.join(low, "k").groupBy("path", "size").agg(*[F.expr(f"sum({s}) AS s{i}") for i, s in enumerate(signs)])
+    agreeing = " + ".join(f"CAST(s{i} AS double) * s{i}" for i in range(len(signs)))
+    return sums.filter(f"({agreeing}) / {len(signs)} - size >= {DENSE}D * size * (size - 1D)").select("path")
 
 
 def _shared(rows_a: list[np.ndarray], rows_b: list[np.ndarray] | None) -> np.ndarray:
@@ -305,8 +319,8 @@ def _compared(rows: DataFrame, threshold: float, order: list[str]) -> DataFrame:
     return rows.repartition("cell").sortWithinPartitions(*order).mapInArrow(run, "k long, links long, root long")
 
 
-def _plausible(members: DataFrame, low: DataFrame) -> DataFrame:
-    """(bucket, k) of small buckets' members that agree with another in AGREE minhashes."""
+def _plausible(members: DataFrame, low: DataFrame, count: int) -> DataFrame:
+    """(bucket, k) of small buckets' members (at most ``count``) that agree with another in AGREE minhashes."""
 
     def flush(held: list[tuple], out: list[tuple]) -> None:
         if len(held) > 1:
@@ -334,48 +348,52 @@ def _plausible(members: DataFrame, low: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["bucket", "k"])
 
     rows = members.join(low, "k").select("bucket", "k", "low")
-    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "bucket long, k long")
+    return _packed(rows.repartition("bucket"), count).sortWithinPartitions("bucket").mapInArrow(run, "bucket long, k long")
 
 
 def _small(small: DataFrame, low: DataFrame) -> DataFrame:
     """(bucket, k) of the buckets (path, k) to compare at once; equal buckets count as one."""
-    lists = small.groupBy("path").agg(F.sort_array(F.collect_list("k")).alias("ks"))
-    lists = lists.groupBy("ks").agg(F.min("path").alias("path"))
+    count = small.count()
+    lists = _packed(small.groupBy("path").agg(F.sort_array(F.collect_list("k")).alias("ks")), count)
+    lists = _packed(lists.groupBy("ks").agg(F.min("path").alias("path")), count)
     members = lists.select(F.col("path").bitwiseAND(F.lit((1 << 62) - 1)).alias("bucket"), F.explode("ks").alias("k"))
-    return written(_plausible(members, low), "small")
+    return written(_plausible(members, low, count), "small")
 
 
 def _merged(giants: DataFrame) -> DataFrame:
     """(bucket, k): large buckets that share half of their members with the first
     bucket of those members become one bucket."""
-    first = giants.groupBy("k").agg(F.min("bucket").alias("least"))
-    pairs = giants.join(first, "k").groupBy("bucket", "least").agg(F.count(F.lit(1)).alias("c"))
-    size = giants.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
-    into = pairs.join(size, "bucket").filter("least < bucket and 2 * c >= size").select(F.col("bucket").alias("from"), F.col("least").alias("to"))
+    count = giants.count()
+    first = _packed(giants.groupBy("k").agg(F.min("bucket").alias("least")), count)
+    pairs = _packed(giants.join(_few(first, count), "k").groupBy("bucket", "least").agg(F.count(F.lit(1)).alias("c")), count)
+    size = _packed(giants.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")), count)
+    into = pairs.join(_few(size, count), "bucket").filter("least < bucket and 2 * c >= size").select(F.col("bucket").alias("from"), F.col("least").alias("to"))
+    into = written(into, "merged")
     hop = into.select(F.col("from").alias("to"), F.col("to").alias("end"))
-    into = into.join(hop, "to", "left").select("from", F.coalesce("end", "to").alias("to"))
-    return giants.join(into, giants.bucket == into["from"], "left").select(F.coalesce("to", "bucket").alias("bucket"), "k").distinct()
+    into = into.join(_few(hop, count), "to", "left").select("from", F.coalesce("end", "to").alias("to"))
+    moved = giants.join(_few(into, count), giants.bucket == into["from"], "left").select(F.coalesce("to", "bucket").alias("bucket"), "k")
+    return _packed(moved.distinct(), count)
 
 
 def connected(edges: DataFrame) -> DataFrame:
     """(k, root): the smallest key of each node's component, by alternating stars;
     each round is written, so that no lineage grows and nothing is gathered."""
-    edges = written(edges.filter("k != root").distinct(), "edges")
+    edges = written(_packed(edges.filter("k != root").distinct(), edges.count()), "edges")
     state = None
     while True:
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("k", "root").cast("decimal(38,0)"))).first()
         if tuple(now) == state or not now[0]:
             return edges
-        state = tuple(now)
+        state, count = tuple(now), 2 * now[0]  # no step has more rows than the edges both ways
         # every larger neighbour of a node points to the node's least neighbour
         both = edges.select("k", "root").union(edges.select(F.col("root"), F.col("k")))
-        least = both.groupBy("k").agg(F.min("root").alias("m")).select("k", F.least("k", "m").alias("m"))
-        large = both.join(least, "k").filter("root > k").select(F.col("root").alias("k"), F.col("m").alias("root")).distinct()
+        least = _packed(both.groupBy("k").agg(F.min("root").alias("m")).select("k", F.least("k", "m").alias("m")), count)
+        large = both.join(_few(least, count), "k").filter("root > k").select(F.col("root").alias("k"), F.col("m").alias("root"))
         # a node and its smaller neighbours point to the least of them
         down = large.filter("root < k")
-        least = down.groupBy("k").agg(F.min("root").alias("m"))
-        small = down.join(least, "k").select(F.col("root").alias("k"), F.col("m").alias("root")).union(least.select("k", F.col("m").alias("root")))
-        edges = written(small.filter("k != root").distinct(), "edges")
+        least = _packed(down.groupBy("k").agg(F.min("root").alias("m")), count)
+        small = down.join(_few(least, count), "k").select(F.col("root").alias("k"), F.col("m").alias("root")).union(least.select("k", F.col("m").alias("root")))
+        edges = written(_packed(small.filter("k != root").distinct(), count), "edges")
 
 
 def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_RECALL, leaf: int = LEAF) -> DataFrame:
@@ -388,35 +406,39 @@ def grouped(docs: DataFrame, threshold: float = THRESHOLD, recall: float = TARGE
     without words), class_id and n_links of every document."""
     marks = written(sketches(docs, threshold, runs_needed(recall)), "sketches")
     named = marks.filter("n > 0")
+    n_docs = marks.count()
+    repeats = _repeats(named)
     # a class is read from one of its rows; two rows with one key are told apart by their sets
-    classes = written(named.groupBy("k").agg(F.min("doc_id").alias("rep"), F.min("row").alias("row"), F.count(F.lit(1)).alias("w")), "classes")
+    classes = written(_packed(named.groupBy("k").agg(F.min("doc_id").alias("rep"), F.min("row").alias("row"), F.count(F.lit(1)).alias("w")), n_docs), "classes")
+    n_classes = classes.count()
     # written: every level joins the minhashes
-    reps = written(marks.join(classes.select("k", "row"), ["k", "row"]).dropDuplicates(["k"]).select("k", F.array_distinct("paths").alias("paths"), "low"), "representatives")
+    reps = marks.join(_few(classes.select("k", "row"), n_classes), ["k", "row"])
+    reps = reps.dropDuplicates(["k"]) if repeats else reps
+    reps = written(reps.select("k", F.array_distinct("paths").alias("paths"), "low"), "representatives")
 
-    low = reps.select("k", "low")
+    low = _marks(reps.select("k", "low"), n_classes)
     level = _buckets(reps.select(F.explode("paths").alias("path"), "k"), "level1")
     small, giants = _small(level.filter(F.col("size") <= leaf), low), None
     large = level.filter(F.col("size") > leaf)
 
     # the sets of the classes that are still in some bucket
-    open_ = small.select("k").union(large.select("k")).distinct()
-    alive = written(classes.join(open_, "k", "left_semi").select("k", "row"), "alive")
-    texts = docs.select(row_key().alias("row"), "text").join(F.broadcast(alive) if alive.count() <= BROADCAST_IDS else alive, "row")
+    open_ = _packed(small.select("k").union(large.select("k")).distinct(), n_classes)
+    alive = written(classes.join(_few(open_, n_classes), "k", "left_semi").select("k", "row"), "alive")
+    texts = docs.select(row_key().alias("row"), "text").join(_few(alive), "row")
     sets = _sets(texts.select("k", "text"))
-    sets = written(sets.dropDuplicates(["k"]) if _repeats(named) else sets, "sets")
+    sets = written(sets.dropDuplicates(["k"]) if repeats else sets, "sets")
 
     deeper = []  # the small buckets of the further levels, pruned in one go
     for depth in range(1, MAX_DEPTH + 1):
         n_large = large.count()
         if not n_large:
             break
-        dense = _few(written(_dense(large, low) if depth < MAX_DEPTH else large.select("path").distinct(), "dense"))
+        dense = _few(written(_packed(_dense(large, low) if depth < MAX_DEPTH else large.select("path").distinct(), n_large), "dense"))
         big = large.join(dense, "path", "left_semi").select("path", "k")
         giants = big if giants is None else giants.union(big)
         if depth < MAX_DEPTH:
-            open_paths = large.join(dense, "path", "left_anti").groupBy("k").agg(F.collect_list("path").alias("paths"))
-            if n_large <= BROADCAST_IDS:  # the sets stay where they are
-                open_paths = F.broadcast(open_paths)
+            open_paths = _packed(large.join(dense, "path", "left_anti").groupBy("k").agg(F.collect_list("path").alias("paths")), n_large)
+            open_paths = _few(open_paths, n_large)  # the sets stay where they are
             level = _buckets(_children(sets.join(open_paths, "k"), threshold), f"level{depth + 1}")
             own = max(leaf, min(leaf << depth, MAX_LEAF))
             deeper.append(level.filter(F.col("size") <= own))
@@ -430,14 +452,18 @@ def grouped(docs: DataFrame, threshold: float = THRESHOLD, recall: float = TARGE
         big = giants.select((-1 - F.col("path").bitwiseAND(F.lit((1 << 62) - 1))).alias("bucket"), "k").distinct()
         assigned = small.union(_merged(written(big, "giants")))
     assigned = written(assigned, "buckets")
-    places = written(assigned.groupBy("k").agg(F.sort_array(F.collect_set("bucket")).alias("ids")).join(classes.select("k", "w"), "k"), "places")
-    rows = sets.join(F.broadcast(places) if assigned.count() <= BROADCAST_IDS else places, "k")
+    n_assigned = assigned.count()
+    places = _packed(assigned.groupBy("k").agg(F.sort_array(F.collect_set("bucket")).alias("ids")), n_assigned)
+    places = written(classes.select("k", "w").join(_few(places, n_assigned), "k"), "places")
+    rows = sets.join(_few(places, n_assigned), "k")
 
     leaves = rows.select(F.explode(F.filter("ids", lambda x: x >= 0)).alias("cell"), "k", "w", "ids", "shingles").select("*", F.col("cell").alias("bucket"), F.lit(2).alias("side"))
     found = _compared(leaves, threshold, ["cell"])
     if giants is not None:
-        size = assigned.filter("bucket < 0").join(sets.select("k", F.size("shingles").alias("n")), "k").groupBy("bucket").agg(
+        members = _few(assigned.filter("bucket < 0"), n_assigned)
+        size = members.join(sets.select("k", F.size("shingles").alias("n")), "k").groupBy("bucket").agg(
             F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+        size = _few(written(_packed(size, n_assigned), "blocks"))
         spread = rows.select(F.explode(F.filter("ids", lambda x: x < 0)).alias("bucket"), "*").join(size, "bucket").withColumn("own", F.pmod(F.xxhash64("k"), "blocks").cast("int"))
         cells = spread.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("far")).select(
             F.xxhash64("bucket", F.least("own", "far"), F.greatest("own", "far")).alias("cell"), "bucket",
@@ -445,13 +471,14 @@ def grouped(docs: DataFrame, threshold: float = THRESHOLD, recall: float = TARGE
         found = found.union(_compared(cells, threshold, ["cell", "side"]))
     found = written(found, "found")
 
-    links = found.groupBy("k").agg(F.sum("links").alias("links"))
+    n_found = found.count()
+    links = _packed(found.groupBy("k").agg(F.sum("links").alias("links")), n_found)
     root = connected(found.select("k", "root"))
-    known = classes.join(links, "k", "left").join(root, "k", "left").select("k", "rep", "w", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "k").alias("root"))
+    known = classes.join(_few(links, n_found), "k", "left").join(_few(root), "k", "left").select("k", "rep", "w", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "k").alias("root"))
     known = written(known, "known")
-    least = known.groupBy("root").agg(F.min("rep").alias("class_id"))
-    final = known.join(least, "root").select("k", "root", "class_id", (F.col("links") + F.col("w") - 1).alias("n_links"))
-    joined = named.select("doc_id", "row", "k").join(final, "k").select("doc_id", "row", "root", "class_id", "n_links")
+    least = _packed(known.groupBy("root").agg(F.min("rep").alias("class_id")), n_classes)
+    final = known.join(_few(least, n_classes), "root").select("k", "root", "class_id", (F.col("links") + F.col("w") - 1).alias("n_links"))
+    joined = named.select("doc_id", "row", "k").join(_few(final, n_classes, BROADCAST_IDS // 2), "k").select("doc_id", "row", "root", "class_id", "n_links")
     alone = marks.filter("n = 0").select("doc_id", "row", F.lit(None).cast("long").alias("root"), F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
     return joined.union(alone)
 

@@ -283,6 +283,32 @@ def test_levels_share_the_written_representatives(spark, monkeypatch):
     assert "level3" in names and names.count("small") == 2 and names.count("representatives") == 1
 
 
+def test_small_tables_take_few_tasks(spark, monkeypatch):
+    """Many shuffle partitions that nothing merges: a small join's tables still have few parts, with the same rows."""
+    base = passage(5, 200).split()
+    rows = [(i, " ".join(base[:i] + [f"edit{i}"] + base[i + 1 :])) for i in range(150)] + [(500 + i, passage(40 + i, 70)) for i in range(8)] + [(600, passage(40, 70))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    parts, keep = {}, jaccard_join.written
+
+    def written(df, name):
+        out = keep(df, name)
+        parts[name] = max(parts.get(name, 0), len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "written", written)
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        got = joined(df)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == plain_join(rows)
+    assert max(parts[n] for n in ("classes", "level1-sizes", "level1", "small", "edges", "known")) <= jaccard_join.LEAST_TASKS
+
+
 def test_density_is_the_mean_similarity(spark):
     sets = [set(range(100 * j, 100 * j + 30)) | set(range(10_000, 10_000 + s)) for s in (5, 45, 270) for j in range(200)]
     rng = np.random.default_rng(3)
