@@ -1,15 +1,16 @@
 """SentencePiece encoding and decoding by suffix-array matching.
 
 Encoding a batch: the texts are cut where no piece can span (before each run of
-word marks), and the distinct units not met before are concatenated and indexed
-by a suffix array.  Every piece of the vocabulary is binary-searched for its
+word marks) on their byte buffer, Arrow makes the units distinct, and those not
+met before are concatenated and indexed by a suffix array.  Every piece of the vocabulary is binary-searched for its
 range of suffixes; the ranges give the edges (place, length, piece), which are
 sorted by place.  The edges are then relaxed in the order the model asks for: a
 byte-pair model joins, unit by unit, the adjacent pair whose edge has the best
 score, leftmost first, until no edge joins two neighbours.  Characters without
 a piece become byte pieces.  The ids equal the reference library's.
 
-A worker remembers the ids of up to ``MEMO_UNITS`` units; this only saves work.
+A worker remembers the ids of up to ``MEMO_UNITS`` units, and when these are
+full those met in two or more batches since; this only saves work.
 
 Defined results: a null or empty text has no ids and decodes to ""; a word mark
 in the text decodes to a space, as in the library; repeated rows are encoded
@@ -22,7 +23,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from acctpulse.llm.common import append_columns, list_column
+from acctpulse.llm.common import append_columns, text_chunks
 
 MARK = "▁"
 MEMO_UNITS = 300_000
@@ -67,10 +68,15 @@ class PieceModel:
         self.longest = int(self.length.max())
         #: a unit may start at each run of marks if no piece has a mark after another character
         self.split = not any(re.search(f"[^{MARK}]{MARK}", p) for p in own)
-        self.memo: dict[str, tuple[int, ...]] = {}
+        self._forget()
         byte = {int(i): b for b, i in enumerate(self.byte_ids)}
         self.spelled = [bytes([byte[i]]) if i in byte else b"" if special[i] else self.pieces[i].replace(MARK, " ").encode() for i in range(n)]
 
+    def _forget(self) -> None:
+        """An empty memo: each unit's number, the numbered units' ids end to end, and in how many batches they were met."""
+        self.number: dict[str, int] = {}
+        self.known, self.ends, self.met = np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(0, np.int32)
+
     # -- matching
 
     def edges(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -85,7 +91,12 @@ class PieceModel:
         for j in range(per_key):
             packed = (packed << np.uint64(bits)) | padded[j : j + len(packed)]
         keys = [packed[k * per_key : k * per_key + len(text)] for k in range(n_keys)]
-        order = np.lexsort(keys[::-1])  # the suffix array, as deep as a piece can reach
+        order = np.argsort(keys[0])  # the suffix array, as deep as a piece can reach
+        new = np.concatenate(([True], np.diff(keys[0][order]) != 0))
+        tied = np.flatnonzero(~(new & np.append(new[1:], True)))
+        if len(tied) and n_keys > 1:  # only equal beginnings are ordered by what follows
+            own = order[tied]
+            order[tied] = own[np.lexsort([*(k[own] for k in keys[:0:-1]), np.cumsum(new)[tied]])]
         keys = [k[order] for k in keys]
 
         # pieces of the text's own characters; others cannot occur
@@ -129,10 +140,10 @@ class PieceModel:
 
     # -- relaxing
 
-    def _encode_units(self, units: list[str]) -> None:
-        """Adds the ids of the units to the memo."""
-        text = np.frombuffer("".join(f"{u}\0" for u in units).encode("utf-32-le", "surrogatepass"), np.uint32)
-        size = np.array([len(u) for u in units])
+    def _encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the units end to end, and how many each has."""
+        text = np.frombuffer("\0".join([*units, ""]).encode("utf-32-le"), np.uint32)
+        size = np.fromiter(map(len, units), np.int64, len(units))
         start = np.concatenate(([0], np.cumsum(size + 1)))[:-1]
         place, length, piece = self.edges(text)
         width = self.longest + 1
@@ -149,34 +160,41 @@ class PieceModel:
             own = self._relax_long(int(start[u]), int(size[u]), edge, width)
             done.append((np.full(len(own) - 1, u), own[:-1], own[1:]))
         unit, token, end = unit[~long], token[~long], end[~long]
+
+        def price(at: np.ndarray) -> np.ndarray:
+            """Cost of joining each of these tokens with the next one of its unit."""
+            after = np.minimum(at + 1, len(unit) - 1)
+            span = end[after] - token[at]
+            fits = (unit[after] == unit[at]) & (after > at) & (span < width)
+            return np.where(fits, rank[edge[token[at] * width + np.where(fits, span, 0)]], _NEVER)
+
+        cost, count = price(np.arange(len(unit))), size[size <= LONG_UNIT]
         while len(unit):
-            span = end[1:] - token[:-1]
-            fits = (unit[1:] == unit[:-1]) & (span < width)
-            cost = np.full(len(unit), _NEVER, np.int64)
-            cost[:-1] = np.where(fits, rank[edge[token[:-1] * width + np.where(fits, span, 0)]], _NEVER)
-            head = np.flatnonzero(np.concatenate(([True], unit[1:] != unit[:-1])))
-            best = np.minimum.reduceat((cost << 32) | np.arange(len(unit)), head)
+            best = np.minimum.reduceat((cost << 32) | np.arange(len(unit)), np.cumsum(count) - count)
             joins = (best >> 32) < _NEVER
-            going = np.repeat(joins, np.diff(np.append(head, len(unit))))
+            going = np.repeat(joins, count)
             done.append((unit[~going], token[~going], end[~going]))
             left = (best & 0xFFFFFFFF)[joins]
             end[left] = end[left + 1]
             going[left + 1] = False
-            unit, token, end = unit[going], token[going], end[going]
+            at = (np.cumsum(going) - 1)[left]
+            unit, token, end, cost, count = unit[going], token[going], end[going], cost[going], count[joins] - 1
+            at = np.concatenate((at, at[at > 0] - 1))  # only the joined tokens and those before them have new neighbours
+            cost[at] = price(at)
         unit, token, end = (np.concatenate(x) for x in zip(*done)) if done else (np.zeros(0, np.int64),) * 3
-        order = np.argsort(token, kind="stable")
+        order = np.argsort(token)
         unit, token, end = unit[order], token[order], end[order]
         found = edge[token * width + (end - token)]
-        ids = np.where(found >= 0, self.ids[found], -1)
-        cut = np.searchsorted(unit, np.arange(len(units) + 1))
-        plain = ids.tolist()
-        unknown = set(unit[ids < 0].tolist())
-        for u, text_unit in enumerate(units):
-            own = plain[cut[u] : cut[u + 1]]
-            if u in unknown:
-                chars = [text_unit[a : a + 1] for a in (token[cut[u] : cut[u + 1]] - start[u]).tolist()]
-                own = list(chain.from_iterable([i] if i >= 0 else self.byte_ids[list(c.encode("utf-8", "replace"))].tolist() for i, c in zip(own, chars)))
-            self.memo[text_unit] = tuple(own)
+        ids, unknown = self.ids[found], found < 0
+        if unknown.any():  # a character without a piece becomes its UTF-8 bytes
+            char = text[token].astype(np.int64)
+            n = np.where(unknown, 1 + (char >= 0x80) + (char >= 0x800) + (char >= 0x10000), 1)
+            nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            ids, unit, char, unknown, n = (np.repeat(x, n) for x in (ids, unit, char, unknown, n))
+            head = np.where(n == 1, 0, (0xFF00 >> n) & 0xFF) | (char >> (6 * (n - 1)))
+            byte = np.where(nth == 0, head, 0x80 | ((char >> (6 * (n - 1 - nth))) & 0x3F))
+            ids = np.where(unknown, self.byte_ids[np.where(unknown, byte, 0)], ids)
+        return ids.astype(np.int32), np.bincount(unit, minlength=len(units))
 
     def _relax_long(self, start: int, size: int, edge: np.ndarray, width: int) -> np.ndarray:
         """Token boundaries of one unit: the same joins, with neighbours in a heap."""
@@ -208,17 +226,66 @@ class PieceModel:
 
     # -- whole texts
 
+    def _lists(self, units: list[str]) -> tuple[pa.LargeListArray, np.ndarray]:
+        """Lists of ids, and the number of each distinct unit's list among them."""
+        number = np.fromiter(map(self.number.get, units, repeat(-1)), np.int64, len(units))
+        unknown = np.flatnonzero(number < 0)
+        self.met[number[number >= 0]] += 1
+        ids, ends = self.known, self.ends
+        if len(unknown):
+            new = [units[i] for i in unknown.tolist()]
+            found, count = self._encode_units(new)
+            ids, ends = np.concatenate([ids, found]), np.concatenate([ends, ends[-1] + np.cumsum(count)])
+            number[unknown] = len(self.number) + np.arange(len(new))
+        lists = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(ids, pa.int32()))
+        if len(unknown) and len(ends) - 1 <= MEMO_UNITS:
+            self.number.update(zip(new, range(len(self.number), len(ends) - 1)))
+            self.known, self.ends, self.met = ids, ends, np.concatenate([self.met, np.zeros(len(new), np.int32)])
+        elif len(unknown):
+            self._renew(lists)
+        return lists, number
+
+    def _renew(self, lists: pa.LargeListArray) -> None:
+        """Keeps the remembered units that came again, if they leave half of the room."""
+        keep = np.flatnonzero(self.met > 1)
+        names = list(self.number)
+        self._forget()
+        if len(keep) <= MEMO_UNITS // 2:
+            own = lists.take(pa.array(keep))
+            self.number = {names[i]: n for n, i in enumerate(keep.tolist())}
+            self.known = own.flatten().to_numpy().copy()
+            self.ends = np.concatenate(([0], np.cumsum(own.value_lengths().to_numpy(zero_copy_only=False)))).astype(np.int64)
+            self.met = np.zeros(len(keep), np.int32)
+
+    def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of a column's texts end to end, and where each text's ids begin and end."""
+        column = column.cast(pa.large_string()).fill_null("")
+        mark = pa.scalar(MARK, pa.large_string())
+        marked = pc.binary_join_element_wise(mark, pc.replace_substring(column, " ", MARK), pa.scalar("", pa.large_string()))
+        marked = pc.if_else(pc.equal(pc.binary_length(column), 0), pa.scalar("", pa.large_string()), marked)
+        parts, upto = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
+        for _, data, offsets in text_chunks(marked, 1 << 62):
+            cut = np.zeros(len(data) + 1, bool)
+            if self.split and len(data) > 2:
+                is_mark = (data[:-2] == 0xE2) & (data[1:-1] == 0x96) & (data[2:] == 0x81)
+                cut[: len(is_mark)] = is_mark
+                cut[3 : len(is_mark)] &= ~is_mark[:-3]
+            cut[offsets] = True
+            cuts = np.flatnonzero(cut)
+            if len(cuts) > 1:
+                units = pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(data))).dictionary_encode()
+                lists, number = self._lists(units.dictionary.to_pylist())
+                own = lists.take(pa.array(number[units.indices.to_numpy(zero_copy_only=False)]))
+                parts.append(own.flatten().to_numpy())
+                before = np.concatenate(([0], np.cumsum(own.value_lengths().to_numpy(zero_copy_only=False))))
+            else:
+                before = np.zeros(1, np.int64)
+            upto.append(upto[-1][-1] + before[np.searchsorted(cuts, offsets[1:])])
+        return np.concatenate(parts), np.concatenate(upto)
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        unit = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+") if self.split else re.compile("(?s).+")
-        cut = [unit.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        new = set(chain.from_iterable(cut)).difference(self.memo)
-        if len(self.memo) + len(new) > MEMO_UNITS:
-            self.memo.clear()
-            new = set(chain.from_iterable(cut))
-        if new:
-            self._encode_units(sorted(new))
-        get = self.memo.__getitem__
-        return [np.array(list(chain.from_iterable(map(get, units))), np.int32) for units in cut]
+        ids, upto = self.encode_column(pa.array(texts, pa.string()))
+        return [ids[a:b] for a, b in zip(upto[:-1].tolist(), upto[1:].tolist())]
 
     def decode(self, ids: np.ndarray) -> str:
         text = b"".join(map(self.spelled.__getitem__, ids.tolist())).decode("utf-8", "replace")
@@ -230,14 +297,14 @@ def load(path: str) -> PieceModel:
     return PieceModel(path)
 
 
-def _by_chars(column: pa.Array) -> Iterator[list[str | None]]:
+def _by_chars(column: pa.Array) -> Iterator[pa.Array]:
     """The texts of a column in slices of about BATCH_CHARS bytes."""
     n, first = len(column), 0
     size = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)) if n else []
     while first < n:
         done = size[first - 1] if first else 0
         last = max(first + 1, int(np.searchsorted(size, done + BATCH_CHARS, "right")))
-        yield column.slice(first, last - first).to_pylist()
+        yield column.slice(first, last - first)
         first = last
 
 
@@ -246,7 +313,10 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", path: str | No
     path = path or default_model()
 
     def run(column: pa.Array) -> list[pa.Array]:
-        return [list_column(list(chain.from_iterable(map(load(path).encode, _by_chars(column)))), np.int32)]
+        found = [load(path).encode_column(own) for own in _by_chars(column)]
+        counts = np.concatenate([np.zeros(1, np.int64), *(np.diff(upto) for _, upto in found)])
+        flat = np.concatenate([np.zeros(0, np.int32), *(own for own, _ in found)])
+        return [pa.ListArray.from_arrays(pa.array(np.cumsum(counts), pa.int32()), pa.array(flat, pa.int32()))]
 
     return append_columns(docs, text, [T.StructField(ids, T.ArrayType(T.IntegerType()))], run, keep)
 
@@ -280,8 +350,10 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(column: pa.Array) -> list[pa.Array]:
         model, rows = load(path), []
-        for texts in _by_chars(column):
-            for text, ids in zip(texts, model.encode(texts)):
+        for own in _by_chars(column):
+            found, upto = model.encode_column(own)
+            for text, a, b in zip(own.to_pylist(), upto[:-1].tolist(), upto[1:].tolist()):
+                ids = found[a:b]
                 rows.append((len(ids), crc(ids), model.decode(ids) == (text or "").replace(MARK, " ")))
         n, checks, same = zip(*rows) if rows else ((), (), ())
         return [pa.array(n, pa.int64()), pa.array(checks, pa.int64()), pa.array(same, pa.bool_())]

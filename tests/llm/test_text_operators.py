@@ -149,6 +149,21 @@ def test_piece_edge_cases(odd_docs, no_docs):
     assert piece_codec.round_trip(no_docs).count() == 0
 
 
+def test_frequent_units_stay_remembered(monkeypatch):
+    """A full memo forgets what came once, not the words of every batch."""
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=piece_codec.default_model())
+    monkeypatch.setattr(piece_codec, "MEMO_UNITS", 60)
+    model, met = piece_codec.PieceModel(piece_codec.default_model()), Counter()
+    keep = model._encode_units
+    monkeypatch.setattr(model, "_encode_units", lambda units: met.update(units) or keep(units))
+    for b in range(12):
+        texts = ["the of and " + " ".join(f"w{b}x{j}ßğ漢\U00020000😀é" for j in range(20)), None, "", "of\u2581\u2581the", "z" * 300 + f"\U00010348{b}"]
+        assert [ids.tolist() for ids in model.encode(texts)] == [library.encode(t or "") for t in texts]
+    assert met["▁the"] == met["▁of"] == met["▁and"] == 1 and len(model.number) <= 60
+
+
 # -- op8 Jaccard join
 
 
