@@ -2,17 +2,22 @@
 
 Whole texts are encoded with a byte-level vocabulary, an end id is appended to
 each, and the ids of all documents in ascending doc_id order are cut into
-blocks of ``BLOCK`` ids, or fewer in a short segment.  A block starts from fresh models and carries a crc32,
+blocks of ``BLOCK`` ids.  A block starts from fresh models and carries a crc32,
 so any block can be decoded, checked and lost on its own.
 
 Coding an id mixes three predictions.  The order-2 and order-1 contexts (hashed
 tables) each name one likely id with a confidence; the order-0 model gives every
-id a share from adaptive counts, renewed after 32, 64, 128 ids and then every
+id a share from adaptive counts, renewed after 16, 32, 64, 128 ids and then every
 256.  How much weight each order gets is learned, separately for every pair of
-confidences.  Tables and weights learn after 4, 8, 16 and then
-every 32 ids.  The mixed interval of the id drives a range coder whose window of
-62 bits leaves one for the carry.  Blocks are coded in step, one numpy lane per
-block and at most ``TOGETHER`` lanes at once.
+confidences.  Tables and weights learn after 16, 32 and then every 64 ids.  The
+mixed interval of the id drives a range coder whose window of 62 bits leaves one
+for the carry.
+
+A block is cut into ``STREAMS`` runs of consecutive ids (fewer in a short block),
+each with a range coder of its own, which share the block's models.  All streams of
+at most ``TOGETHER`` blocks are coded in step, one numpy lane per stream; the models
+of the blocks in hand stay within a few MB.  A payload is the numbers of 16-bit
+digits of its streams and then the digits.
 
 The file format is a Parquet table, written by range of doc_id, whose rows are
 segments: shard and seq (their order), the documents' ids and id counts, and the
@@ -30,10 +35,11 @@ from __future__ import annotations
 
 import zlib
 from functools import lru_cache
-from itertools import chain, repeat
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,22 +49,26 @@ from acctpulse.llm.common import text_chunks, written
 
 END_ID = 2
 BLOCK = 4096  # most ids of a block
-LEAST_BLOCK = 512
-LANES = 512  # blocks that a segment has at least, if they keep LEAST_BLOCK ids
-TOGETHER = 2048  # most blocks that are coded in step
+STREAMS = 16  # of a block
+LEAST_STREAM = 64  # ids that each of several streams has at least
+TOGETHER = 256  # most blocks that are coded in step
 SEGMENT = 2048 * BLOCK  # ids from which a segment ends
-SLICE = 4 << 20  # bytes of text tokenised at once
+SLICE = 8 << 20  # bytes of text tokenised at once
 MEMO_UNITS = 1_000_000
+JOINED = 64  # units that the library encodes as one text
 
 _SLOTS = 2048  # of a context table
 _NO_ID = 0xFFFFF
 _FIXED = 1 << 12  # the three weights add up to this
 _LEAVES = 1024
-_STEPS = 32  # ids after which the models learn
+_LEARN = 64  # ids after which the models learn
+_RENEW = 256  # ids after which the order-0 shares are renewed
 _COUNTED = 1 << 14  # the order-0 shares of all leaves add up to this
 _WINDOW = 62  # bits of the coder's window
 _DIGIT = _WINDOW - 16
 _LEAST = 1 << _DIGIT  # a smaller interval moves one digit of 16 bits out
+_HASH = np.array([[0x1E3779B1], [0x05EBCA77]], np.int32)
+_UPTO = np.array([(2 << k) - 1 for k in range(64)], np.uint64)  # the bits of a word up to each
 
 
 def _leaf_tables(vocabulary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
@@ -73,133 +83,171 @@ def _leaf_tables(vocabulary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, i
     return np.repeat(np.arange(_LEAVES), sizes), np.cumsum(sizes) - sizes, size // sizes, size
 
 
-def _parts(block: int):
+def _streams(n: int) -> tuple[int, int]:
+    """How many streams a block of n ids has, and of how many ids each; zeros fill the last."""
+    streams = max(1, min(STREAMS, n // LEAST_STREAM))
+    return streams, -(-n // streams)
+
+
+def _parts(steps: int, streams: int):
     """(first step, end, whether the order-0 shares are renewed before it) of the parts of a block."""
-    edges = [0, 4, 8, 16, *range(_STEPS, block, _STEPS)]
-    edges = [e for e in edges if e < block] + [block]
+    renewed, growth = [0, 1], 1
+    while renewed[-1] < steps:
+        growth = max(growth, min(renewed[-1], renewed[-1] // 2 if renewed[-1] * streams >= _RENEW else renewed[-1]))
+        renewed.append(renewed[-1] + growth)
+    learn = max(1, _LEARN // streams)
+    edges = sorted({*renewed, 2, *range(0, min(steps, 8 * learn), learn), *range(8 * learn, steps, 2 * learn)})
+    edges = [e for e in edges if e < steps] + [steps]
     for a, b in zip(edges, edges[1:]):
-        yield a, b, a in (0, 32, 64, 128) or a % 256 == 0
+        yield a, b, a in renewed
 
 
 class _Mixer:
-    """The models of all lanes.  They learn after each part of a block, from all lanes and
-    steps at once, in the order of the ids where two meet in one slot."""
+    """The models of all blocks, each shared by the block's streams (lanes).  They learn after
+    each part of a block, from all lanes and steps at once; where two meet in one slot, the
+    later step and then the later lane stays."""
 
-    def __init__(self, lanes: int, vocabulary: int):
-        self.leaf_of, self.first, self.unit, self.scale = _leaf_tables(vocabulary)
+    def __init__(self, blocks: int, streams: int, vocabulary: int):
+        self.leaf_of, first, unit, self.scale = _leaf_tables(vocabulary)
         self.bits = (_COUNTED * self.scale).bit_length() - 1  # of an order-0 interval
+        self.kind = np.int32 if self.bits < 31 else np.int64
+        self.first, self.unit = first.astype(self.kind), unit.astype(self.kind)
         self.shift = self.bits + _FIXED.bit_length() - 1  # of a mixed interval
-        self.lane = np.arange(lanes, dtype=np.int64)
-        self.base, self.row32 = self.lane * _SLOTS, self.lane * 32
-        self.guess2 = np.full(lanes * _SLOTS, _NO_ID << 2, np.int32)  # id << 2 | confidence
-        self.guess1 = np.full(lanes * _SLOTS, _NO_ID << 2, np.int32)
-        self.met, self.hits2, self.hits1 = (np.zeros(lanes * 32, np.int64) for _ in range(3))
-        self.counts = np.zeros((lanes, _LEAVES), np.int32)
-        self.share = np.empty((lanes, _LEAVES + 1), np.int32)  # running sums of the shares
+        self.blocks = blocks
+        self.block = np.repeat(np.arange(blocks, dtype=np.int64), streams)  # of each lane
+        self.base, self.row32 = self.block * _SLOTS, self.block * 32
+        # id << 5, and the confidence where a context's number has it
+        self.guess2, self.guess1 = (np.full(blocks * _SLOTS, _NO_ID << 5, np.int32) for _ in range(2))
+        self.hits = np.zeros((3, blocks * 32), np.int32)  # of neither, of order 2, of order 1 alone
+        self.counts = np.zeros((blocks, _LEAVES), np.int32)
+        self.share = np.empty((blocks, _LEAVES + 1), self.kind)  # running sums of the shares
+        self.row = self.block * (_LEAVES + 1)
+        self.marks = np.empty(blocks * _COUNTED, bool)
+        self.ranges = np.arange(blocks)[:, None] * _COUNTED
         self.ramp = np.arange(_LEAVES + 1, dtype=np.int32)
         self.seen = 0
         self._weigh()
 
     def _weigh(self) -> None:
         """Ends of the order-2 and order-1 intervals by context, from how often each was right."""
-        w2 = np.clip(((4 * self.hits2 + 2) << 12) // (4 * self.met + 8), 32, _FIXED - 32)
-        w1 = np.clip(((4 * self.hits1 + 2) << 12) // (4 * (self.met - self.hits2) + 8), 32, _FIXED - 32)
+        missed, hits2, hits1 = self.hits * 4.0
+        missed += hits1 + 8
+        w2, w1 = (hits2 + 2) * _FIXED / (missed + hits2), (hits1 + 2) * _FIXED / missed
+        w2, w1 = (np.minimum(np.maximum(w.astype(np.int32), 32), _FIXED - 32) for w in (w2, w1))
         w1 = np.maximum(((_FIXED - w2) * w1) >> 12, 1)
-        self.after2, self.after1 = w2 << self.bits, (w2 + w1) << self.bits
+        self.after2, self.after1 = w2.astype(np.int64) << self.bits, (w2 + w1).astype(np.int64) << self.bits
+        self.weight0 = _FIXED - (w2 + w1).astype(np.int64)
 
     def renew(self, ids: np.ndarray) -> None:
         """Order-0 shares with the ids met since the last renewal (steps x lanes)."""
-        lanes, share = len(self.lane), self.share
+        share = self.share
         if len(ids):
             leaves = self.leaf_of.take(ids, mode="clip")
-            self.counts += np.bincount((leaves + self.lane * _LEAVES).ravel(), minlength=lanes * _LEAVES).reshape(lanes, _LEAVES)
-            self.seen += len(ids)
+            self.counts += np.bincount((leaves + self.block * _LEAVES).ravel(), minlength=self.counts.size).reshape(self.counts.shape)
+            self.seen += ids.size // self.blocks
         if self.seen:
-            share[:, 0] = 0
-            np.cumsum(self.counts, axis=1, dtype=np.int32, out=share[:, 1:])
-            share *= _COUNTED - _LEAVES
-            share //= self.seen
-            share += self.ramp
+            sums = np.zeros((self.blocks, _LEAVES + 1), np.int32)
+            np.cumsum(self.counts, axis=1, dtype=np.int32, out=sums[:, 1:])
+            sums *= _COUNTED - _LEAVES
+            sums //= self.seen
+            np.add(sums, self.ramp, out=share)
         else:
             share[:] = self.ramp * (_COUNTED // _LEAVES)
 
+    def finder(self) -> tuple[np.ndarray, np.ndarray]:
+        """The starts of the leaves as bits of the blocks' order-0 ranges, end to end in words of 64,
+        and how many lie before each word."""
+        self.marks.fill(False)
+        self.marks[(self.share[:, :-1] + self.ranges).reshape(-1)] = True
+        words = np.packbits(self.marks, bitorder="little").view("<u8")
+        counts = np.bitwise_count(words)
+        return words, np.cumsum(counts, dtype=np.int64) - counts
+
     def slots(self, near: np.ndarray, far: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of the order-2 and order-1 contexts: the id before, and the one before that."""
-        return (((near * 0x9E3779B1 + far * 0x85EBCA77) >> 15) & (_SLOTS - 1)) + self.base, (near & (_SLOTS - 1)) + self.base
+        mixed = near * _HASH[0]
+        mixed += far * _HASH[1]
+        mixed >>= 9
+        mixed &= _SLOTS - 1
+        return mixed + self.base, (near & (_SLOTS - 1)) + self.base
 
     def contexts(self, g2: np.ndarray, g1: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The two named ids, and the pair of confidences with whether the two agree."""
-        id2, id1 = g2 >> 2, g1 >> 2
-        return id2, id1, self.row32 + (((g2 & 3) << 3) + ((g1 & 3) << 1) + (id2 == id1))
-
-    def learn(self, x: np.ndarray, slots2: np.ndarray, slots1: np.ndarray, contexts: np.ndarray) -> None:
-        g2, g1 = self.guess2.take(slots2), self.guess1.take(slots1)
-        hit2, right1 = (g2 >> 2) == x, (g1 >> 2) == x
-        new = (x << 2) | 1
-        for table, slots, g, right in ((self.guess2, slots2, g2, hit2), (self.guess1, slots1, g1, right1)):
-            sure = g & 3
-            table[slots] = np.where(right, g + (sure < 3), np.where(sure > 1, g - 1, new))
-        for counts, at in ((self.met, contexts.ravel()), (self.hits2, contexts[hit2]), (self.hits1, contexts[right1 & ~hit2])):
-            counts += np.bincount(at, minlength=len(counts))
+        id2, id1 = g2 >> 5, g1 >> 5
+        pair = g2 & 24
+        pair |= g1 & 6
+        pair |= id2 == id1
+        return id2, id1, pair + self.row32
+
+    def learn(self, x: np.ndarray, slots2: np.ndarray, slots1: np.ndarray, g2: np.ndarray, g1: np.ndarray, contexts: np.ndarray) -> None:
+        hit2, right1 = (g2 >> 5) == x, (g1 >> 5) == x
+        for table, slots, g, right, one in ((self.guess2, slots2, g2, hit2, np.int32(8)), (self.guess1, slots1, g1, right1, np.int32(2))):
+            sure = g & (3 * one)
+            table[slots] = np.where(right, g + (sure < 3 * one) * one, np.where(sure > one, g - one, (x << 5) | one))
+        which = np.where(hit2, np.int64(1), right1 * np.int64(2)) * self.hits.shape[1]
+        which += contexts
+        self.hits += np.bincount(which.ravel(), minlength=self.hits.size).reshape(self.hits.shape)
         self._weigh()
 
-    def share0(self, x: np.ndarray, leaf: np.ndarray, lane: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def share0(self, x: np.ndarray, leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and size of the ids' order-0 intervals."""
-        at, flat = lane * (_LEAVES + 1) + leaf, self.share.reshape(-1)
-        start = flat.take(at).astype(np.int64)
-        size = (flat.take(at + 1) - start) * self.unit.take(leaf)
+        at, flat = self.row + leaf, self.share.reshape(-1)
+        start = flat.take(at)
+        size = (flat[1:].take(at) - start) * self.unit.take(leaf)
         return start * self.scale + (x - self.first.take(leaf)) * size, size
 
 
 def block_sizes(n: int) -> list[int]:
     """How many ids the blocks of a segment of n ids have."""
-    size = min(BLOCK, max(LEAST_BLOCK, n // LANES))
-    return [min(size, n - i) for i in range(0, n, size)]
+    return [min(BLOCK, n - i) for i in range(0, n, BLOCK)]
 
 
-def _groups(blocks: list) -> list[list]:
-    """The blocks in groups of about equal size, at most TOGETHER each."""
-    groups = max(1, -(-len(blocks) // TOGETHER))
-    size = max(1, -(-len(blocks) // groups))
-    return [blocks[k : k + size] for k in range(0, len(blocks), size)]
+def _groups(sizes: list[int]) -> list[tuple[int, int]]:
+    """(blocks, their size) of groups of successive blocks of one size, at most TOGETHER in each."""
+    groups = []
+    for size, run in groupby(sizes):
+        blocks = len(list(run))
+        n = -(-blocks // TOGETHER)
+        groups += [((k + 1) * blocks // n - k * blocks // n, size) for k in range(n)]
+    return groups
 
 
 def encode_blocks(ids: np.ndarray, vocabulary: int) -> list[bytes]:
     """The payloads of the blocks of an id array."""
-    sizes = block_sizes(len(ids))
     payloads, at = [], 0
-    for own in _groups(sizes):
-        payloads += _encode_lanes(ids[at : at + sum(own)], own, vocabulary)
-        at += sum(own)
+    for blocks, size in _groups(block_sizes(len(ids))):
+        payloads += _encode_lanes(ids[at : at + blocks * size].reshape(blocks, size), vocabulary)
+        at += blocks * size
     return payloads
 
 
-def _encode_lanes(ids: np.ndarray, sizes: list[int], vocabulary: int) -> list[bytes]:
-    """Codes blocks of one size, of which only the last may be shorter."""
-    lanes, block, last = len(sizes), sizes[0], sizes[-1]
-    x = np.zeros(lanes * block, np.int32)
-    x[: len(ids)] = ids
-    x = np.ascontiguousarray(x.reshape(lanes, block).T)
-    mixer = _Mixer(lanes, vocabulary)
+def _encode_lanes(ids: np.ndarray, vocabulary: int) -> list[bytes]:
+    """Codes blocks of one size (blocks x ids)."""
+    blocks, n = ids.shape
+    streams, steps = _streams(n)
+    lanes = blocks * streams
+    x = np.zeros((blocks, streams * steps), np.int32)
+    x[:, :n] = ids
+    x = np.ascontiguousarray(x.reshape(lanes, steps).T)
+    mixer = _Mixer(blocks, streams, vocabulary)
     bits, shift = mixer.bits, mixer.shift
     low, size = np.zeros(lanes, np.int64), np.full(lanes, (1 << _WINDOW) - 1, np.int64)
-    # digits by place and lane, a carry still in bit 16; the last column takes what a finished lane writes
-    out = np.zeros((block * 3 + 8, lanes + 1), np.int32)
+    out = np.zeros((steps * 3 + 8, lanes), np.int32)  # digits by place and lane, a carry still in bit 16
     flat, place = out.reshape(-1), np.arange(lanes)
-    digits = np.zeros(lanes, np.int64)
-    before, renewed = np.zeros((2, lanes), np.int64), 0
-    for a, b, renew in _parts(block):
+    kept = np.array([-1, _LEAST - 1])  # bits of the lower end that stay when no digit or one moves out
+    before, renewed = np.zeros((2, lanes), np.int32), 0
+    for a, b, renew in _parts(steps, streams):
         if renew:
             mixer.renew(x[renewed:a])
             renewed = a
-        own = x[a:b].astype(np.int64)
-        before = np.concatenate([before, own])
+        before = np.concatenate([before, x[a:b]])
         slots2, slots1 = mixer.slots(before[1:-1], before[:-2])
         before = before[-2:]
-        id2, id1, contexts = mixer.contexts(mixer.guess2.take(slots2), mixer.guess1.take(slots1))
-        after2, after1 = mixer.after2.take(contexts), mixer.after1.take(contexts)
-        start0, part0 = mixer.share0(own, mixer.leaf_of.take(own), mixer.lane)
-        weight0 = _FIXED - (after1 >> bits)
+        g2, g1 = mixer.guess2.take(slots2), mixer.guess1.take(slots1)
+        id2, id1, contexts = mixer.contexts(g2, g1)
+        after2, after1, weight0 = mixer.after2.take(contexts), mixer.after1.take(contexts), mixer.weight0.take(contexts)
+        own = x[a:b]
+        start0, part0 = mixer.share0(own, mixer.leaf_of.take(own))
         hit2, right1 = id2 == own, id1 == own
         starts = np.where(hit2, 0, np.where(right1, after2, after1 + weight0 * start0))
         parts = np.where(hit2, after2, np.where(right1, after1 - after2, weight0 * part0))
@@ -207,106 +255,151 @@ def _encode_lanes(ids: np.ndarray, sizes: list[int], vocabulary: int) -> list[by
             r = size >> shift
             low += r * starts[t]
             size = r * parts[t]
+            flat[place] = low >> _DIGIT  # counts only where the place moves on
+            short = (size < _LEAST).astype(np.int64)
+            place += short * lanes
+            low &= kept.take(short)
+            short <<= 4
+            low <<= short
+            size <<= short
             move = np.flatnonzero(size < _LEAST)
             while len(move):
                 held, at = low[move], place[move]
                 flat[at] = held >> _DIGIT
-                place[move] = at + (lanes + 1)
+                place[move] = at + lanes
                 low[move] = (held & (_LEAST - 1)) << 16
                 grown = size[move] << 16
                 size[move] = grown
                 move = move[grown < _LEAST]
-            if a + t == last - 1 < block - 1:
-                flat[place[-1]] = (low[-1] + _LEAST - 1) >> _DIGIT
-                digits[-1] = place[-1] // (lanes + 1) + 1
-                place[-1] = lanes
-        mixer.learn(x[a:b], slots2, slots1, contexts)
-    done = lanes if last == block else lanes - 1
-    flat[place[:done]] = (low[:done] + _LEAST - 1) >> _DIGIT
-    digits[:done] = place[:done] // (lanes + 1) + 1
-    for k in range(int(digits.max()) - 1, 0, -1):
-        out[k - 1] += out[k] >> 16
-    rows = np.ascontiguousarray(out[: int(digits.max()), :lanes].astype(np.uint16).T).astype(">u2")
-    return [rows[k, :n].tobytes().rstrip(b"\0") for k, n in enumerate(digits)]  # a reader goes on with zeros
+        mixer.learn(own, slots2, slots1, g2, g1, contexts)
+    flat[place] = (low + _LEAST - 1) >> _DIGIT
+    place //= lanes
+    longest = int(place.max()) + 1
+    own = np.where(np.arange(longest)[:, None] <= place, out[:longest], 0)  # older values lie behind the last digit
+    for k in range(longest - 1, 0, -1):
+        own[k - 1] += own[k] >> 16
+    rows = np.ascontiguousarray(own.astype(np.uint16).T)
+    digits = ((rows != 0) * np.arange(1, longest + 1)).max(axis=1)  # a reader goes on with zeros
+    data = rows[np.arange(longest) < digits[:, None]].astype(">u2")
+    counts = digits.astype(">u2").reshape(blocks, streams)
+    ends = np.cumsum(digits.reshape(blocks, streams).sum(axis=1))
+    return [c.tobytes() + d.tobytes() for c, d in zip(counts, np.split(data, ends[:-1]))]
 
 
 def decode_blocks(payloads: list[bytes], sizes: list[int], vocabulary: int) -> np.ndarray:
     """The ids of blocks, in order; a block's size is its number of ids."""
-    parts = [_decode_lanes(p, n, vocabulary) for p, n in zip(_groups(payloads), _groups(sizes))]
+    parts, at = [], 0
+    for blocks, size in _groups(sizes):
+        parts.append(_decode_lanes(payloads[at : at + blocks], size, vocabulary))
+        at += blocks
     return np.concatenate(parts) if parts else np.zeros(0, np.int32)
 
 
 def _divided(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """a // b of positive numbers."""
-    return (a.view(np.uint64) // b.view(np.uint64)).view(np.int64)
-
-
-def _decode_lanes(payloads: list[bytes], sizes: list[int], vocabulary: int) -> np.ndarray:
-    lanes, longest = len(payloads), max(sizes)
-    mixer = _Mixer(lanes, vocabulary)
-    bits, shift = mixer.bits, mixer.shift
-    held = np.zeros((lanes, max(map(len, payloads)) // 2 + 8), np.uint16)
-    for k, p in enumerate(payloads):
-        own = np.frombuffer(p + b"\0" * (len(p) & 1), ">u2")
-        held[k, : len(own)] = own
+    """a // b of positive numbers, of 64 or both of 32 bits."""
+    unsigned = f"u{a.itemsize}"
+    return (a.view(unsigned) // b.view(unsigned)).view(a.dtype)
+
+
+def _digits(payload: bytes, streams: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many digits each stream of a payload has, and the digits; none if these do not fit, so that the block's crc32 fails."""
+    words = np.frombuffer(payload[: len(payload) & ~1], ">u2")
+    counts, data = words[:streams].astype(np.int64), words[streams:]
+    return (counts, data) if len(counts) == streams and counts.sum() == len(data) else (np.zeros(streams, np.int64), data[:0])
+
+
+@np.errstate(divide="ignore")  # of a damaged block
+def _decode_lanes(payloads: list[bytes], n: int, vocabulary: int) -> np.ndarray:
+    """The ids of blocks of one size n."""
+    streams, steps = _streams(n)
+    blocks = len(payloads)
+    lanes = blocks * streams
+    mixer = _Mixer(blocks, streams, vocabulary)
+    digits, data = (np.concatenate(own) for own in zip(*(_digits(p, streams) for p in payloads)))
+    held = np.zeros((lanes, int(digits.max()) + 8), np.uint16)
+    held[np.arange(held.shape[1]) < digits[:, None]] = data
     # the window has 62 bits: all digits move two bits down, so that it starts with four whole words
     words = held >> 2
     words[:, 1:] |= (held[:, :-1] & 3) << 14
     words = np.ascontiguousarray(words.T)
-    flat, place = words.reshape(-1), np.arange(lanes) + 4 * lanes
     code = np.zeros(lanes, np.int64)
     for k in range(4):
         code = (code << 16) | words[k]
+    pairs = words[4:].astype(np.uint32) << 16  # each digit with the next
+    pairs[:-1] |= words[5:]
+    flat, place = pairs.reshape(-1), np.arange(lanes)
     size = np.full(lanes, (1 << _WINDOW) - 1, np.int64)
-    out = np.zeros((longest, lanes), np.int32)
-    whole, bound = (1 << shift) - 1, np.arange(lanes, dtype=np.int32) * _COUNTED
-    near, far = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-    slots2, slots1, contexts = (np.empty((_STEPS, lanes), np.int64) for _ in range(3))
-    share, renewed, depth = mixer.share.reshape(-1), 0, mixer.scale.bit_length() - 1
-    for a, b, renew in _parts(longest):
+    out = np.zeros((steps, lanes), np.int32)
+    shift, depth = mixer.shift, mixer.scale.bit_length() - 1
+    near, far = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
+    parts = list(_parts(steps, streams))
+    most = max(b - a for a, b, _ in parts)
+    slots2, slots1, contexts = (np.empty((most, lanes), np.int64) for _ in range(3))
+    guesses2, guesses1 = (np.empty((most, lanes), np.int32) for _ in range(2))
+    share, renewed = mixer.share.reshape(-1), 0
+    share_after = share[1:]
+    found, to_row = mixer.block * (_COUNTED // 64), mixer.block - 1
+    for a, b, renew in parts:
         if renew:
             mixer.renew(out[renewed:a])
             renewed = a
-            keys = (mixer.share[:, :-1] + bound[:, None]).reshape(-1)
+            marks, earlier = mixer.finder()
         for t in range(b - a):
             slots2[t], slots1[t] = slot2, slot1 = mixer.slots(near, far)
-            id2, id1, context = mixer.contexts(mixer.guess2.take(slot2), mixer.guess1.take(slot1))
+            guesses2[t], guesses1[t] = g2, g1 = mixer.guess2.take(slot2), mixer.guess1.take(slot1)
+            id2, id1, context = mixer.contexts(g2, g1)
             contexts[t] = context
-            after2, after1 = mixer.after2.take(context), mixer.after1.take(context)
+            after2, after1, weight = mixer.after2.take(context), mixer.after1.take(context), mixer.weight0.take(context)
             r = size >> shift
-            target = np.minimum(_divided(code, r), whole)
-            beyond2 = target >= after2
-            own = np.where(beyond2, id1, id2).astype(np.int64)
-            start = after2 * beyond2
-            part = np.where(beyond2, after1 - after2, after2)
-            rare = np.flatnonzero(target >= after1)
-            base, lane = after1[rare], mixer.lane[rare]
-            weight = _FIXED - (base >> bits)
-            inner = _divided(target[rare] - base, weight)
-            leaf = np.searchsorted(keys, (inner >> depth).astype(np.int32) + bound[rare], "right") - 1 - lane * _LEAVES
-            at = lane * (_LEAVES + 1) + leaf
-            from0 = share.take(at).astype(np.int64)
-            size0 = (share.take(at + 1) - from0) * mixer.unit.take(leaf)
-            from0 <<= depth
-            nth = _divided(inner - from0, size0)
-            own[rare] = mixer.first.take(leaf) + nth
-            start[rare] = base + weight * (from0 + nth * size0)
-            part[rare] = weight * size0
-            code -= r * start
+            target = _divided(code, r)
+            # all as if of order 0; what a damaged block looks up may lie anywhere, so that places are clipped
+            inner = _divided(np.maximum(target - after1, 0), weight).astype(mixer.kind)
+            nth = inner >> depth
+            word = (nth >> 6) + found
+            at = np.bitwise_count(marks.take(word, mode="clip") & _UPTO.take(nth & 63)) + earlier.take(word, mode="clip")
+            at += to_row
+            leaf = at - mixer.row
+            start0 = share.take(at, mode="clip")
+            size0 = share_after.take(at, mode="clip")
+            size0 -= start0
+            size0 *= mixer.unit.take(leaf, mode="clip")
+            start0 <<= depth
+            inner -= start0
+            nth = _divided(inner, size0)
+            far = near
+            near = mixer.first.take(leaf, mode="clip").astype(np.int32, copy=False)
+            near += nth
+            nth *= size0
+            nth += start0
+            start, part = weight * nth, weight * size0
+            start += after1
+            named = np.flatnonzero(target < after1)
+            if len(named):
+                upto = after2[named]
+                by1 = target[named] >= upto
+                start[named] = upto * by1
+                part[named] = np.where(by1, after1[named] - upto, upto)
+                near[named] = np.where(by1, id1[named], id2[named])
+            start *= r
+            code -= start
             size = r * part
-            move = np.flatnonzero(size < _LEAST)
-            while len(move):
-                at = place[move]
-                code[move] = (code[move] << 16) | flat.take(at, mode="clip")  # a finished lane reads on past its block
-                place[move] = at + lanes
-                grown = size[move] << 16
-                size[move] = grown
-                move = move[grown < _LEAST]
-            out[a + t] = own
-            near, far = own, near
-        mixer.learn(out[a:b], slots2[: b - a], slots1[: b - a], contexts[: b - a])
-    out = np.ascontiguousarray(out.T)
-    return np.concatenate([out[k, :n] for k, n in enumerate(sizes)])
+            digits = ((size < _LEAST).view(np.int8) + (size < _LEAST >> 16).view(np.int8)).astype(np.int64)
+            word = flat.take(place, mode="clip").astype(np.int64)
+            place += digits * lanes
+            digits <<= 4
+            word >>= 32 - digits
+            code <<= digits
+            code |= word
+            size <<= digits
+            if size.min() < _LEAST:
+                move = np.flatnonzero(size < _LEAST)
+                code[move] = (code[move] << 16) | (flat.take(place[move], mode="clip") >> 16)
+                place[move] += lanes
+                size[move] <<= 16
+            out[a + t] = near
+        n_own = b - a
+        mixer.learn(out[a:b], slots2[:n_own], slots1[:n_own], guesses2[:n_own], guesses1[:n_own], contexts[:n_own])
+    return np.ascontiguousarray(out.T).reshape(blocks, streams * steps)[:, :n].reshape(-1)
 
 
 def crc(ids: np.ndarray) -> int:
@@ -327,8 +420,10 @@ class TextEncoder:
     unit once: the pattern of the byte-level vocabularies always ends a word before a
     space that precedes a character that is not white space, and between an ASCII
     letter and one of ``,.;:!?)``.  Units are found on the byte buffer of a column and
-    made distinct by Arrow; the ids of the first ``MEMO_UNITS`` distinct units are
-    kept end to end in one array, from which the ids of all texts are gathered."""
+    made distinct by Arrow; the first ``MEMO_UNITS`` distinct units are kept, and their
+    ids end to end in one array, from which the ids of all texts are gathered.  New units
+    that begin with such a space can follow any text, so the library gets ``JOINED`` of
+    them as one text, whose ids are dealt to the units by the bytes that each id stands for."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -336,35 +431,64 @@ class TextEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
         self.vocabulary = self.library.get_vocab_size()
-        self.number: dict[str, int] = {}
+        self.width = np.zeros(1 + max(self.library.get_vocab().values(), default=0), np.int64)  # bytes of each id
+        for token, i in self.library.get_vocab(with_added_tokens=False).items():
+            self.width[i] = len(token)  # byte-level: one character per byte
+        self.number = pa.array([], pa.large_string())
         self.ids, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int32)
 
-    def _lists(self, units: list[str]) -> tuple[pa.ListArray, np.ndarray]:
-        """Lists of ids, and the number of each distinct unit's list among them."""
-        number = np.fromiter(map(self.number.get, units, repeat(-1)), np.int64, len(units))
+    def _library_ids(self, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The texts' ids end to end, and how many each has."""
+        found = [e.ids for e in self.library.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum())), counts
+
+    def _joined_ids(self, units: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The same of units that can follow any text."""
+        (_, data, offsets), = text_chunks(units, 1 << 62)
+        some = np.unique(np.append(np.arange(0, len(units), JOINED), len(units)))
+        joined = pa.LargeStringArray.from_buffers(len(some) - 1, pa.py_buffer(offsets[some]), pa.py_buffer(data))
+        ids, _ = self._library_ids(joined)
+        upto = np.cumsum(self.width[ids])
+        ends = np.searchsorted(upto, offsets[1:]) + 1
+        if len(upto) != ends[-1] or not (upto[ends - 1] == offsets[1:]).all():
+            return self._library_ids(units)  # ids that do not stand for their characters' bytes
+        return ids, np.diff(ends, prepend=0)
+
+    def _free(self, units: pa.LargeStringArray) -> np.ndarray:
+        """Which units can follow any text."""
+        (_, data, offsets), = text_chunks(units, 1 << 62)
+        free = np.diff(offsets) > 1
+        first = offsets[:-1][free]
+        free[free] = (data[first] == 32) & _AFTER_CUT[data[first + 1]]
+        return free
+
+    def _lists(self, units: pa.LargeStringArray, indices: np.ndarray) -> pa.ListArray:
+        """The list of ids of each unit that the indices name."""
+        number = pc.index_in(units, value_set=self.number).fill_null(-1).to_numpy().astype(np.int64)
         ids, ends = self.ids, self.ends
         unknown = np.flatnonzero(number < 0)
         if len(unknown):
-            new = [units[i] for i in unknown.tolist()]
-            found = [e.ids for e in self.library.encode_batch_fast(new, add_special_tokens=False)]
-            upto = np.cumsum(np.fromiter(map(len, found), np.int32, len(found)), dtype=np.int32)
-            ids = np.concatenate([ids, np.fromiter(chain.from_iterable(found), np.int32, int(upto[-1]))])
-            ends = np.concatenate([ends, ends[-1] + upto])
+            free = self._free(units.take(pa.array(unknown)))
             first = len(self.number)
-            number[unknown] = first + np.arange(len(new))
-            kept = min(len(new), max(0, MEMO_UNITS - first))
-            if kept:
-                self.number.update(zip(new[:kept], range(first, first + kept)))
-                self.ends = ends[: first + kept + 1].copy()
+            for which, found in ((unknown[free], self._joined_ids), (unknown[~free], self._library_ids)):
+                if len(which):
+                    own, counts = found(units.take(pa.array(which)))
+                    number[which] = len(ends) - 1 + np.arange(len(which))
+                    ids, ends = np.concatenate([ids, own]), np.concatenate([ends, ends[-1] + np.cumsum(counts, dtype=np.int32)])
+                    kept = which[: max(0, MEMO_UNITS - len(self.number))]
+                    if len(kept):
+                        self.number = pa.concat_arrays([self.number, units.take(pa.array(kept))])
+            if len(self.number) > first:
+                self.ends = ends[: len(self.number) + 1].copy()
                 self.ids = ids[: self.ends[-1]].copy()
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(ids)), number
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(ids)).take(pa.array(number[indices]))
 
     def _slice(self, data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the units between the cuts, and how many lie before each cut."""
         own = np.ascontiguousarray(data[cuts[0] : cuts[-1]])
         units = pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts - cuts[0]), pa.py_buffer(own)).dictionary_encode()
-        lists, number = self._lists(units.dictionary.to_pylist())
-        found = lists.take(pa.array(number[units.indices.to_numpy(zero_copy_only=False)]))
+        found = self._lists(units.dictionary, units.indices.to_numpy(zero_copy_only=False))
         return found.flatten().to_numpy(), np.concatenate(([0], np.cumsum(found.value_lengths().to_numpy(zero_copy_only=False))))
 
     def encode_column(self, column: pa.Array):

@@ -505,6 +505,59 @@ def test_a_damaged_block_is_noticed(spark):
         token_store.read_digest(files).collect()
 
 
+def test_damaged_payloads_fail_alone():
+    ids = np.random.default_rng(6).zipf(1.4, 20_000) % 50257
+    payloads, sizes = token_store.encode_blocks(ids, 50257), token_store.block_sizes(len(ids))
+    rng = random.Random(7)
+    for damaged in (b"", payloads[1][:-1], payloads[1][:9], payloads[1] + b"xyz", b"\xff" * 400, bytes(b ^ (rng.random() < 0.1) * 85 for b in payloads[1])):
+        got = token_store.decode_blocks([payloads[0], damaged, *payloads[2:]], sizes, 50257)
+        same = np.split(got == ids, np.cumsum(sizes)[:-1])
+        assert not same[1].all() and all(own.all() for k, own in enumerate(same) if k != 1)
+
+
+def test_every_block_length_round_trips():
+    ids = np.random.default_rng(8).zipf(1.3, 12_000) % 300_000
+    for n in (1, 2, 63, 64, 127, 128, 129, 1000, 1023, 1025, 4095, 4096, 4097, 8200, 12_000):
+        for vocabulary in (300_000, 40_000_000):
+            payloads, sizes = token_store.encode_blocks(ids[:n], vocabulary), token_store.block_sizes(n)
+            assert (token_store.decode_blocks(payloads, sizes, vocabulary) == ids[:n]).all()
+
+
+def test_a_block_is_coded_in_many_lanes(monkeypatch):
+    calls = []
+    slots = token_store._Mixer.slots
+    monkeypatch.setattr(token_store._Mixer, "slots", lambda self, *a: calls.append(1) or slots(self, *a))
+    ids = np.random.default_rng(9).zipf(1.4, 4096) % 50257
+    payloads = token_store.encode_blocks(ids, 50257)
+    calls.clear()
+    assert (token_store.decode_blocks(payloads, token_store.block_sizes(4096), 50257) == ids).all()
+    assert len(calls) <= 4096 // 8  # one numpy step per id before
+
+
+def test_new_words_reach_the_library_joined():
+    class Counted:
+        def __init__(self, library):
+            self.library, self.texts = library, 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.texts += len(texts)
+            return self.library.encode_batch_fast(texts, **options)
+
+    encoder = token_store.TextEncoder(token_store.default_tokenizer())
+    encoder.library = counted = Counted(encoder.library)
+    text = "start" + "".join(f" {a}{b}é\n {b}<|endoftext|>{a}" for a in "abcdefghijklmno" for b in "pqrstuvwxyz'#") + " \t end."
+    expected = counted.library.encode(text, add_special_tokens=False).ids + [2]
+    assert [ids.tolist() for ids in encoder.encode([text, text])] == [expected] * 2
+    assert counted.texts < 40  # one for each of about 400 units before
+
+
+def test_vocabularies_whose_ids_are_not_of_the_bytes_width():
+    encoder = token_store.TextEncoder(token_store.default_tokenizer())
+    encoder.width[:] += 1  # as if the ids stood for other bytes: the units are encoded one by one
+    texts = ["one two, three  four. " + passage(4, 300), None, " five"]
+    assert [ids.tolist() for ids in encoder.encode(texts)] == [encoder.library.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+
+
 # -- fitting on awkward labels
 
 
