@@ -7,9 +7,10 @@ so any block can be decoded, checked and lost on its own.
 
 Coding an id mixes three predictions.  The order-2 and order-1 contexts (hashed
 tables) each name one likely id with a confidence; the order-0 model gives every
-id a share from adaptive counts, renewed after 16, 32, 64, 128 ids and then every
-256.  How much weight each order gets is learned, separately for every pair of
-confidences.  Tables and weights learn after 16, 32 and then every 64 ids.  The
+id a share from adaptive counts, renewed after 16, 32, 64, 128, 256 ids and then
+whenever about half as many again are met.  How much weight each order gets is learned, separately
+for every pair of confidences.  Tables and weights learn after 16, 32 and 64 ids, then every 64
+and from 512 on every 128, and whenever the shares are renewed (a block of fewer streams: sooner).  The
 mixed interval of the id drives a range coder whose window of 62 bits leaves one
 for the carry.
 
@@ -61,8 +62,8 @@ _SLOTS = 2048  # of a context table
 _NO_ID = 0xFFFFF
 _FIXED = 1 << 12  # the three weights add up to this
 _LEAVES = 1024
-_LEARN = 64  # ids after which the models learn
-_RENEW = 256  # ids after which the order-0 shares are renewed
+_LEARN = 64  # ids after which the models learn, twice as many later in a block
+_RENEW = 256  # ids up to which the distance between renewals of the order-0 shares doubles
 _COUNTED = 1 << 14  # the order-0 shares of all leaves add up to this
 _WINDOW = 62  # bits of the coder's window
 _DIGIT = _WINDOW - 16
